@@ -5,6 +5,7 @@ from checks.parts import AUC, CODED, FLAT, LONG, METRICS, READINGS, SCALED, SCOR
 
 FE = X.FEATURES
 O = {}
+_IN = ", ".join(FE)
 
 
 def r(expr, digits=6):
@@ -19,7 +20,7 @@ def base(select, *more):
     return with_(READINGS, *more, select=select)
 
 
-O["S1_read_readings"] = base(f'SELECT k, kind AS "Type", {cols(FE)}, failure FROM readings')
+O["S1_read_readings"] = base(f'SELECT k, kind AS "Type", {_IN}, failure FROM readings')
 O["S2_rename_columns"] = base(
     "SELECT failure AS falla, " + ", ".join(f"{r(f'avg({c})')} AS {role}" for role, c in X.ROLES.items()) + " FROM readings GROUP BY failure")
 O["S3_require_columns"] = base("SELECT failure, count(*) AS n FROM readings GROUP BY failure")
@@ -32,7 +33,7 @@ O["S5_schema_profile"] = base(
     'v."column", dtype, nulls FROM (' + " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS dtype, (SELECT count(*) FROM readings WHERE {c} IS NULL) AS nulls"
         for i, (c, t) in enumerate(_types.items(), 1)) + ") v")
-O["S6_preview"] = base(f"SELECT k, {cols(FE)}, failure FROM readings ORDER BY k LIMIT 8")
+O["S6_preview"] = base(f"SELECT k, {_IN}, failure FROM readings ORDER BY k LIMIT 8")
 _names = ",".join(CODED)
 O["S7_write_read_processed"] = base(
     f"""SELECT failure, (SELECT max(n - n_test) FROM sizes) AS n, 'train' AS part, '{_names}' AS features FROM sizes
@@ -45,9 +46,9 @@ O["F1_encode_category"] = base(
     "SELECT k, CAST(dense_rank() OVER (ORDER BY kind) - 1 AS INTEGER) AS code FROM readings")
 O["F2_add_temp_diff"] = base(f"SELECT k, {r('f4 - f3')} AS temp_diff FROM readings")
 O["F3_add_power_w"] = base(f"SELECT k, {r('f1 * f2 * (2 * pi() / 60)', 3)} AS power_w FROM readings")
-O["F4_select_features"] = base(f"SELECT k, {cols(FE)}, failure AS label FROM readings")
+O["F4_select_features"] = base(f"SELECT k, {_IN}, failure AS label FROM readings")
 O["F4_class_counts"] = base("SELECT failure, count(*) AS n FROM readings GROUP BY failure")
-O["F5_by_class"] = base(f"SELECT k, {cols(FE)} FROM readings WHERE failure = 1")
+O["F5_by_class"] = base(f"SELECT k, {_IN} FROM readings WHERE failure = 1")
 O["F6_by_mode"] = base(" UNION ALL ".join(f"SELECT '{m}' AS mode, k, {r('f1')} AS f1 FROM readings WHERE {m} = 1" for m in X.MODES))
 O["F7_failure_mode_index"] = base(
     "SELECT k, CASE " + " ".join(f"WHEN {m} = 1 THEN {i}" for i, m in reversed(list(enumerate(X.MODES, 1)))) + " ELSE 0 END AS mode_index FROM readings")
@@ -96,9 +97,22 @@ O["A4_class_contrast"] = base(
 O["S9_write_stats_csv"] = O["A4_class_contrast"].replace(", 5) + 0.0", ", 6) + 0.0")
 O["T1_t_test_by_class"] = base(
     f"SELECT variable, n0, n1, {cols(['mean0', 'mean1'], 5)}, {r('t', 5)} AS t, df FROM tt", LONG, _T)
+_LENTZ = """start AS (SELECT variable, df / 2.0::DOUBLE AS a, 0.5::DOUBLE AS b, df / (df + t * t) AS x FROM tt),
+side AS (SELECT variable, x > (a + 1) / (a + b + 2) AS flip, CASE WHEN x > (a + 1) / (a + b + 2) THEN b ELSE a END AS a,
+  CASE WHEN x > (a + 1) / (a + b + 2) THEN a ELSE b END AS b, CASE WHEN x > (a + 1) / (a + b + 2) THEN 1 - x ELSE x END AS x FROM start),
+cf AS (SELECT variable, flip, a, b, x, 1 AS m, 1::DOUBLE AS c, 1 / (1 - (a + b) * x / (a + 1)) AS d, 1 / (1 - (a + b) * x / (a + 1)) AS h FROM side
+  UNION ALL SELECT variable, flip, a, b, x, m + 1, c2, d2, h * c1 * d1 * c2 * d2 FROM (
+    SELECT *, 1 / (1 + odd * d1) AS d2, 1 + odd / c1 AS c2 FROM (
+      SELECT *, 1 / (1 + even * d) AS d1, 1 + even / c AS c1 FROM (
+        SELECT *, m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)) AS even, -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)) AS odd
+        FROM cf WHERE m < 300)))),
+tail AS (SELECT variable, abs(CAST(flip AS INTEGER) - exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(x) + b * ln(1 - x)) / a * h) AS p FROM cf WHERE m = 300)"""
+O["T1_p_values"] = "WITH RECURSIVE" + base(
+    f"SELECT variable, {r('p', 5)} AS p, CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE 'n.s.' END AS stars FROM tail",
+    LONG, _T, _LENTZ)[4:]
 _range = f"{r('min(value + 0.0)')} AS min, {r('max(value + 0.0)')} AS max"
 O["A5_describe_features"] = base(
-    f'SELECT variable, count(*) AS "count", {r("avg(value)")} AS mean, {r("stddev_samp(value)")} AS std, {_range}, {_quart} FROM long GROUP BY 1', LONG)
+    f'SELECT variable, count(*) AS "count", {r("avg(value)")} AS mean, {r("stddev_samp(value)")} AS std, {_range}, {_quart} FROM long GROUP BY 1'.replace(", 6)", ", 7)"), LONG)
 _bymode = " UNION ALL ".join(f"SELECT '{m}' AS mode, variable, value FROM long WHERE {m} = 1" for m in X.MODES)
 O["A6_mode_intervals"] = base(f"SELECT mode, variable, count(*) AS n, {_range}, {_quart} FROM ({_bymode}) GROUP BY 1, 2", LONG)
 O["A7_failure_q1_zones"] = base(
@@ -197,7 +211,7 @@ O["H4_scatter_bins"] = base(grid("f2", "f1", ("failure", "failure"), 50))
 _idx = "CASE " + " ".join(f"WHEN {m} = 1 THEN {i}" for i, m in reversed(list(enumerate(X.MODES, 1)))) + " ELSE 0 END"
 O["H4_scatter_by_mode"] = base(grid("f5", "f4", ("modo_idx", _idx), 20))
 O["H4_scatter_sample"] = base(
-    f"SELECT k, {cols(['f1', 'f2'])}, failure FROM readings WHERE ('0x' || substr(md5('42|' || k), 1, 12))::BIGINT / 281474976710656 < CAST(0.05 AS DOUBLE)")
+    f"SELECT k, f1, f2, failure FROM readings WHERE ('0x' || substr(md5('42|' || k), 1, 12))::BIGINT / 281474976710656 < CAST(0.05 AS DOUBLE)")
 
 EVAL = (SCORED, METRICS)
 FULL = (SCORED, METRICS, AUC, FLAT)
@@ -217,7 +231,7 @@ O["H8_kpis"] = base(
     f"model AS best_model, {r('recall')} AS best_recall, CAST(0.8 AS DOUBLE) AS target_recall FROM {_best}", *FULL)
 
 O["P1_stratified_split"] = base("SELECT k, failure, split FROM split", SIZES, SPLIT)
-O["P2_apply_scaler"] = base(f"SELECT k, {cols(CODED)} FROM scaled WHERE split = 'test'", SIZES, SPLIT, SCALED)
+O["P2_apply_scaler"] = base(f"SELECT k, {', '.join(CODED)} FROM scaled WHERE split = 'test'", SIZES, SPLIT, SCALED)
 O["P3_scaler_params"] = base(" UNION ALL ".join(
     f"SELECT '{f}' AS variable, {r(f'mu_{f}')} AS mean, {r(f'sd_{f}')} AS scale FROM params" for f in CODED), SIZES, SPLIT, SCALED)
 _d2 = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in CODED)
@@ -225,9 +239,9 @@ NEAR = f"""minor AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || k), k) -
 near AS (SELECT * FROM (SELECT a.k, b.k AS neighbour, CAST(row_number() OVER (PARTITION BY a.k ORDER BY {_d2}, b.k) - 1 AS INTEGER) AS place
   FROM minor a JOIN minor b ON a.k <> b.k) WHERE place < 5)"""
 O["P4_nearest_neighbours"] = base("SELECT k, place, neighbour FROM near", SIZES, SPLIT, SCALED, NEAR)
-_between = ", ".join(f"{r(f'a.{f} + d.u * (b.{f} - a.{f})')} AS {f}" for f in CODED)
+_between = ", ".join(f"a.{f} + d.u * (b.{f} - a.{f}) AS {f}" for f in CODED)
 O["P4_smote"] = base(
-    f"""SELECT k, failure, {cols(CODED)}, false AS synthetic, NULL AS base_key FROM scaled WHERE split = 'train'
+    f"""SELECT k, failure, {', '.join(CODED)}, false AS synthetic, NULL AS base_key FROM scaled WHERE split = 'train'
 UNION ALL SELECT 'synthetic-1-' || d.i, 1, {_between}, true, a.k
 FROM draws d JOIN minor a ON a.row = d.pair // 5 JOIN near n ON n.k = a.k AND n.place = d.pair % 5 JOIN minor b ON b.k = n.neighbour""",
     SIZES, SPLIT, SCALED, NEAR,
@@ -243,13 +257,13 @@ O["P6_stratified_folds"] = base(
 O["V1_confusion"] = base("SELECT *, concat_ws(',', tn, fp, fn, tp) AS matrix FROM cells", *EVAL)
 O["V2_binary_metrics"] = base(f"SELECT model, tn, fp, fn, tp, {cols(_five[:4])} FROM metrics", *EVAL)
 O["V3_roc_auc"] = base(f"SELECT model, {r('auc_roc')} AS auc_roc FROM auc", SCORED, AUC)
-O["V4_roc_curve"] = base(
-    f"""SELECT model, {r('probability')} AS threshold, {r('fp / n')} AS fpr, {r('tp / p')} AS tpr FROM (
+_curve = f"""SELECT model, {r('probability')} AS threshold, {r('fp / n')} AS fpr, {r('tp / p')} AS tpr FROM (
   SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS n,
     lag(pos) OVER w AS before, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg
   FROM byscore WINDOW w AS (PARTITION BY model ORDER BY probability DESC))
 WHERE before IS NULL OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
-UNION ALL SELECT DISTINCT model, NULL::DOUBLE, 0::DOUBLE, 0::DOUBLE FROM scored""", SCORED, AUC)
+UNION ALL SELECT DISTINCT model, NULL::DOUBLE, 0::DOUBLE, 0::DOUBLE FROM scored"""
+O["V4_roc_curve"] = base(_curve, SCORED, AUC)
 
 
 def side(name, hit, wrong, missed):
@@ -298,7 +312,10 @@ O["R1_metrics_table"] = base(
     f'{klass("tn", "fn", "fp", "Normal")}, {klass("tp", "fp", "fn", "Falla")}, CAST(0.8 AS DOUBLE) AS "Hipotesis_Recall", recall >= 0.8 AS "Hipotesis_Cumplida", '
     f'model = (SELECT model FROM {_best}) AS "Mejor_Modelo" FROM flat', *FULL)
 O["R2_dashboard_payload"] = base(
-    f"SELECT model AS best, recall >= 0.8 AS verified, {r('recall', 4)} AS recall, 'rule_a,rule_b,rule_c' AS names, (SELECT count(*) FROM readings) AS total FROM {_best}", *FULL)
+    f"SELECT model AS best, recall >= 0.8 AS verified, {r('recall', 4)} AS recall, 'rule_a,rule_b,rule_c' AS names, (SELECT count(*) FROM readings) AS total, "
+    "(SELECT string_agg(printf('%.4f', round(f1, 4)), ',' ORDER BY ordinal) FROM flat) AS f1s, (SELECT fn FROM flat WHERE model = 'rule_b') AS rule_b_fn, "
+    f"(SELECT CAST(count(*) AS INTEGER) FROM (SELECT DISTINCT round(fpr, 4), round(tpr, 4) FROM ({_curve}) WHERE model = 'rule_c')) AS rule_c_points, "
+    f"'< 3000.00' AS f2_rule FROM {_best}", *FULL)
 O["R3_dataset_info"] = base(
     f"SELECT count(*) AS total_registros, CAST(sum(failure) AS BIGINT) AS total_fallas, {r('sum(failure) / count(*) * 100', 2)} AS tasa_falla_pct, "
     + ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in X.MODES) + " FROM readings")

@@ -1,9 +1,9 @@
 """Registered queries: each reads the given tables through the stand-in views, whole."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import fixture as X
 from checks import parts as P
@@ -60,10 +60,8 @@ def _(spark, d):
     path = scratch(spark)
     padded = R(spark, d).select(F.col("k").alias(" k"), F.col("kind").alias("Type "), *[F.col(c).alias(f" {c} ") for c in FE], LABEL)
     padded.write.csv(path, header=True)
-    types = {**{c: "double" for c in FE}, LABEL: "int"}
-    from pyspark.sql import types as T
     types = {**{c: T.DoubleType() for c in FE}, LABEL: T.IntegerType()}
-    return rounded(src.read_readings(spark, path, types))
+    return src.read_readings(spark, path, types)
 
 
 @query("S2_rename_columns")
@@ -91,7 +89,7 @@ def _(spark, d):
 
 @query("S6_preview")
 def _(spark, d):
-    return rounded(profile.preview(R(spark, d), "k", [*FE, LABEL], 8))
+    return profile.preview(R(spark, d), "k", [*FE, LABEL], 8)
 
 
 @query("S7_write_read_processed")
@@ -168,7 +166,7 @@ def _(spark, d):
 @query("F4_select_features")
 def _(spark, d):
     out = columns.select_features(R(spark, d), "k", FE, LABEL, as_vector=False)
-    return rounded(out.select("k", *[F.col("features")[i].alias(f) for i, f in enumerate(FE)], F.col("label").cast("int").alias("label")))
+    return out.select("k", *[F.col("features")[i].alias(f) for i, f in enumerate(FE)], F.col("label").cast("int").alias("label"))
 
 
 @query("F4_class_counts")
@@ -178,7 +176,7 @@ def _(spark, d):
 
 @query("F5_by_class")
 def _(spark, d):
-    return rounded(columns.by_class(R(spark, d), 1, LABEL).select("k", *FE))
+    return columns.by_class(R(spark, d), 1, LABEL).select("k", *FE)
 
 
 @query("F6_by_mode")
@@ -247,7 +245,7 @@ def _(spark, d):
 
 @query("A5_describe_features")
 def _(spark, d):
-    return rounded(profile.describe_features(R(spark, d), FE))
+    return rounded(profile.describe_features(R(spark, d), FE), 7)
 
 
 @query("A6_mode_intervals")
@@ -378,7 +376,7 @@ def _(spark, d):
 
 @query("H4_scatter_sample")
 def _(spark, d):
-    return rounded(charts.scatter_sample(R(spark, d), "k", ["f1", "f2", LABEL], 0.05))
+    return charts.scatter_sample(R(spark, d), "k", ["f1", "f2", LABEL], 0.05)
 
 
 @query("H5_metric_table_long")
@@ -411,7 +409,7 @@ def _(spark, d):
 
 @query("P2_apply_scaler")
 def _(spark, d):
-    return rounded(P.scaled(spark, d, "test").select("k", *P.CODED))
+    return P.scaled(spark, d, "test").select("k", *P.CODED)
 
 
 @query("P3_scaler_params")
@@ -428,7 +426,7 @@ def _(spark, d):
 
 @query("P4_smote")
 def _(spark, d):
-    return rounded(P.balanced(spark, d))
+    return P.balanced(spark, d)
 
 
 @query("P5_class_weights")
@@ -633,8 +631,10 @@ def _(spark, d):
     return doc.select(
         F.col("mejor_modelo").alias("best"), F.col("hipotesis.verificada").alias("verified"), F.col("hipotesis.mejor_recall").alias("recall"),
         F.array_join("comparacion.nombres", ",").alias("names"), F.col("dataset.total_registros").alias("total"),
-        F.to_json(F.struct("comparacion", "hipotesis", "modelos", "confusion_matrices", "por_clase")).alias("document"),
-    ).drop("document")
+        F.array_join(F.transform("comparacion.f1", lambda v: F.format_string("%.4f", v)), ",").alias("f1s"),
+        F.col("confusion_matrices")["rule_b"]["fn"].alias("rule_b_fn"), F.size(F.col("roc_curves")["rule_c"]["fpr"]).alias("rule_c_points"),
+        F.col("hipotesis.intervalos")["f2_rpm"].alias("f2_rule"),
+    )
 
 
 @query("R3_dataset_info")

@@ -6,14 +6,11 @@ from pyspark.sql import functions as F
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
 
-_WHOLE = Window.partitionBy(F.lit(0))
-
-
 def _ranked(metrics, min_recall, ordinal):
     """Place 1 is the winner: models passing the recall gate first, if any, then F1, AUC, input order."""
     recall, f1, auc = (F.round(c, 4) for c in ("recall", "f1", "auc_roc"))
     return metrics.withColumn("__place", F.row_number().over(
-        _WHOLE.orderBy(F.desc(recall >= min_recall), F.desc(f1), F.desc_nulls_last(auc), ordinal)
+        Window.partitionBy(F.lit(0)).orderBy(F.desc(recall >= min_recall), F.desc(f1), F.desc_nulls_last(auc), ordinal)
     ))
 
 

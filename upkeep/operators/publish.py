@@ -78,7 +78,11 @@ def dashboard_payload(
         "ordinal", "model", "accuracy", "precision", "recall", "f1", "auc_roc", "cv_f1_mean", "cv_f1_std",
         "hipotesis", "confusion_matrix", "por_clase", "curva_roc", imp.alias("importance"),
     )
-    one = records.agg(F.array_sort(F.collect_list(per_model)).alias("m")).select(
+    in_order = F.array_sort(
+        F.collect_list(per_model),
+        lambda a, b: F.when(a["ordinal"] < b["ordinal"], -1).when(a["ordinal"] > b["ordinal"], 1).otherwise(0),
+    )
+    one = records.agg(in_order.alias("m")).select(
         "m", best.alias("best"), (info.agg(F.first(F.struct(*info.columns))).scalar() if info is not None else F.lit(None)).alias("dataset")
     )
     m = F.col("m")
@@ -101,8 +105,8 @@ def dashboard_payload(
         ).alias("hipotesis"),
         keyed(lambda r: F.struct(*[r[f].alias(f) for f in [*fields, "cv_f1_mean", "cv_f1_std", "hipotesis"]])).alias("modelos"),
         F.struct(
-            F.transform(m, lambda r: r["model"]).alias("nombres"),
-            *[F.transform(m, lambda r, f=f: r[f]).alias(f) for f in fields],
+            m["model"].alias("nombres"),
+            *[m[f].alias(f) for f in fields],
             F.transform(m, lambda r: F.coalesce(r["cv_f1_mean"], F.lit(0.0))).alias("cv_f1"),
         ).alias("comparacion"),
         keyed(lambda r: F.struct(r["curva_roc"]["fpr"].alias("fpr"), r["curva_roc"]["tpr"].alias("tpr"), r["auc_roc"].alias("auc_roc"))).alias("roc_curves"),
