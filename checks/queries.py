@@ -338,7 +338,7 @@ def _(spark, d):
 
 @query("T1_t_test_by_class")
 def _(spark, d):
-    out = infer.t_statistics(infer.class_moments(infer.long_values(R(spark, d), [LABEL], FE), LABEL))
+    out = infer.t_statistics(infer.class_moments(R(spark, d), FE, LABEL))
     return rounded(out.select("variable", "n0", "n1", "mean0", "mean1", "t", "df"), 5)
 
 

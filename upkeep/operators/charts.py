@@ -43,7 +43,7 @@ def histogram(long: DataFrame, group: list, bins: int) -> DataFrame:
     )
     grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("__hi") - F.col("__lo")) / bins
-    return grid.join(bounded(counts, "bins", 1_000_000), [*group, "bin"], "left").select(
+    return grid.join(bounded(counts, "bins", 500_000), [*group, "bin"], "left").select(
         *group, "bin", (F.col("__lo") + F.col("bin") * width).alias("lo"),
         F.when(F.col("bin") == bins - 1, F.col("__hi")).otherwise(F.col("__lo") + (F.col("bin") + 1) * width).alias("hi"),
         F.coalesce("count", F.lit(0)).alias("count"),

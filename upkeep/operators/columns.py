@@ -1,6 +1,8 @@
 """Columns added to, and rows chosen from, a readings table."""
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep import defaults as D
@@ -64,7 +66,8 @@ def by_mode(df: DataFrame, modes: list = None) -> DataFrame:
     if not present:
         return df.select(F.lit("").alias("mode"), *df.columns).limit(0)
     hits = F.filter(F.array(*[F.when(F.col(m) == 1, F.lit(m)) for m in present]), lambda m: m.isNotNull())
-    return df.select(F.explode(hits).alias("mode"), *df.columns)
+    any_set = reduce(Column.__or__, [F.col(m) == 1 for m in present])  # reaches the scan
+    return df.where(any_set).select(F.explode(hits).alias("mode"), *df.columns)
 
 
 def with_mode_index(df: DataFrame, modes: list = None, out: str = "modo_idx") -> DataFrame:

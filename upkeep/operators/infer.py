@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
-from upkeep.operators.quantiles import long_values
+from upkeep.operators.quantiles import per_variable
 
 
 def _p_value_udf():
@@ -56,13 +56,16 @@ def two_sided_p(t: Column, df: Column) -> Column:
     return _p_value_udf()(t, df.cast("double"))
 
 
-def class_moments(long: DataFrame, label: str) -> DataFrame:
-    """Per variable: count, mean and sample variance of each class, in one aggregate."""
-    parts = []
-    for c in (0, 1):
-        v = F.when(F.col(label) == c, F.col("value"))
-        parts += [F.count(v).alias(f"n{c}"), F.avg(v).alias(f"mean{c}"), F.var_samp(v).alias(f"var{c}")]
-    return long.groupBy("variable").agg(*parts)
+def class_moments(df: DataFrame, features: list, label: str) -> DataFrame:
+    """Per variable: count, mean and sample variance of each class, in one wide aggregate."""
+    def aggs(value):
+        out = []
+        for c in (0, 1):
+            v = F.when(F.col(label) == c, value)
+            out += [F.count(v).alias(f"n{c}"), F.avg(v).alias(f"mean{c}"), F.var_samp(v).alias(f"var{c}")]
+        return out
+
+    return per_variable(df, [], features, aggs)
 
 
 def t_statistics(moments: DataFrame) -> DataFrame:
@@ -75,6 +78,5 @@ def t_statistics(moments: DataFrame) -> DataFrame:
 
 def t_test_by_class(df: DataFrame, features: list = None, label: str = D.TARGET) -> DataFrame:
     """(variable, n0, n1, mean0, mean1, t, df, p, stars)."""
-    long = long_values(df, [label], features or D.FEATURES)
-    rows = t_statistics(class_moments(long, label)).withColumn("p", two_sided_p(F.col("t"), F.col("df")))
+    rows = t_statistics(class_moments(df, features or D.FEATURES, label)).withColumn("p", two_sided_p(F.col("t"), F.col("df")))
     return rows.select("variable", "n0", "n1", "mean0", "mean1", "t", "df", "p", S.significance_stars("p").alias("stars"))

@@ -8,7 +8,7 @@ from upkeep.functions import scalars as S
 from upkeep.operators.bounds import bounded
 from upkeep.operators.columns import by_mode
 from upkeep.operators.infer import class_moments, t_statistics, two_sided_p
-from upkeep.operators.quantiles import long_values, quantiles
+from upkeep.operators.quantiles import long_values, per_variable, quantiles
 
 
 def dataset_summary(df: DataFrame, label: str = D.TARGET) -> DataFrame:
@@ -67,9 +67,9 @@ def class_stats(df: DataFrame, features: list = None, label: str = D.TARGET, met
     """Per feature and class: n, mean, sample std, quartiles."""
     long = long_values(df, [label], features or D.FEATURES)
     group = ["variable", label]
-    moments = long.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")
-    )
+    moments = per_variable(
+        df, [label], features or D.FEATURES, lambda v: [F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std")]
+    ).where("n > 0")
     quart = quantiles(long, group, _Q, _Q_NAMES, method=method)
     return moments.join(bounded(quart, "feature classes"), group)
 
@@ -77,7 +77,7 @@ def class_stats(df: DataFrame, features: list = None, label: str = D.TARGET, met
 def class_contrast(df: DataFrame, features: list = None, label: str = D.TARGET, method: str = "exact", with_p: bool = True) -> DataFrame:
     """Per feature: both means, their difference, outer quartiles of each class, t test."""
     long = long_values(df, [label], features or D.FEATURES)
-    tests = t_statistics(class_moments(long, label))
+    tests = t_statistics(class_moments(df, features or D.FEATURES, label))
     quart = quantiles(long, ["variable", label], [0.25, 0.75], ["q1", "q3"], method=method)
     sides = quart.groupBy("variable").agg(*[
         F.max(F.when(F.col(label) == c, F.col(q))).alias(f"{q}_{name}")
@@ -97,18 +97,21 @@ def class_contrast(df: DataFrame, features: list = None, label: str = D.TARGET,
 def describe_features(df: DataFrame, features: list = None, method: str = "exact") -> DataFrame:
     """count, mean, std, min, quartiles, max per feature; quartiles are exact by default."""
     long = long_values(df, [], features or D.FEATURES)
-    base = long.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    return base.join(bounded(quantiles(long, ["variable"], _Q, _Q_NAMES, method=method), "features"), "variable")
+    base = per_variable(df, [], features or D.FEATURES, lambda v: [
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+    ])
+    quart = bounded(quantiles(long, ["variable"], _Q, _Q_NAMES, method=method), "features")
+    return base.join(quart, "variable", "left")
 
 
 def mode_intervals(df: DataFrame, features: list = None, modes: list = None, method: str = "exact") -> DataFrame:
     """Per failure mode and feature: n, quartiles, min, max; modes without rows do not appear."""
-    long = long_values(by_mode(df, modes), ["mode"], features or D.FEATURES)
+    hits = by_mode(df, modes)
+    long = long_values(hits, ["mode"], features or D.FEATURES)
     group = ["mode", "variable"]
-    base = long.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("min"), F.max("value").alias("max"))
+    base = per_variable(
+        hits, ["mode"], features or D.FEATURES, lambda v: [F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max")]
+    )
     return base.join(bounded(quantiles(long, group, _Q, _Q_NAMES, method=method), "modes"), group)
 
 

@@ -11,7 +11,7 @@ from upkeep.functions.hashing import digits, draw
 from upkeep.operators.bounds import bounded
 
 PREFIX = 4  # hex digits: 65 536 buckets per class
-_MAX_CELLS = 64 * 16**PREFIX
+_MAX_CELLS = 16 * 16**PREFIX
 
 
 def _hashed(df, key, seed):

@@ -27,9 +27,10 @@ def add_range(df: DataFrame, value: str, out: str = "__range") -> DataFrame:
         df.withColumn("__s", splits.scalar())
         .withColumn("__i", F.size(F.filter("__s", lambda row: row[0] <= v)))
         .withColumn("__row", F.when(F.col("__i") > 0, F.element_at("__s", F.greatest("__i", F.lit(1)))))
+        # never null, or the optimiser would push a null check, and the array scans, to every input row
         .withColumn(
             out,
-            F.when(F.col("__i") > 0, F.col("__i") * _COARSE + F.size(F.filter("__row", lambda s: s <= v))).otherwise(0),
+            F.coalesce(F.when(F.col("__i") > 0, F.col("__i") * _COARSE + F.size(F.filter("__row", lambda s: s <= v))), F.lit(0)),
         )
         .drop("__s", "__i", "__row")
     )
@@ -60,7 +61,7 @@ def running_totals(df: DataFrame, group: list, value: str, sums: list, follow: l
             *[F.lead(f).over(inner).alias(f"__in_{f}_next") for f in follow],
             *([F.lead(F.lit(1)).over(inner).alias("__more")] if follow else []),
         )
-        .join(bounded(ranges, "value ranges", 2_000_000), [*group, "__range"])
+        .join(bounded(ranges, "value ranges", 64 * _COARSE * _COARSE), [*group, "__range"])
         .select(
             *df.columns,
             *[(F.col(f"__{s}") + F.col(f"__in_{s}")).alias(f"{s}_below") for s in sums],
