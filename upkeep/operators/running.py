@@ -45,13 +45,13 @@ def running_totals(df: DataFrame, group: list, value: str, sums: list, follow: l
     """
     parts = add_range(df, value)
     totals = [F.sum(s).alias(s) for s in sums]
-    heads = [F.min_by(f, value).alias(f) for f in follow]
+    heads = [F.min_by(f, value).alias(f"__{f}_first") for f in follow]
     w = Window.partitionBy(*group).orderBy("__range")
     ranges = parts.groupBy(*group, "__range").agg(*totals, *heads).select(
         *group,
         "__range",
         *[(F.sum(s).over(w) - F.col(s)).alias(f"__{s}") for s in sums],
-        *[F.lead(f).over(w).alias(f"__{f}_head") for f in follow],
+        *[F.lead(f"__{f}_first").over(w).alias(f"__{f}_head") for f in follow],
     )
     inner = Window.partitionBy(*group, "__range").orderBy(value)
     return (
