@@ -259,7 +259,7 @@ def _(spark, d):
 
 
 def _validated(spark, d):
-    return profile.validate_intervals(R(spark, d), columns.rules_table(spark, X.RULES), LABEL)
+    return profile.validate_intervals(R(spark, d), X.RULES, LABEL)
 
 
 @query("A8_validate_intervals")

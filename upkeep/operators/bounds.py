@@ -22,16 +22,22 @@ def bounded(df: DataFrame, what: str, most: int = SMALL) -> DataFrame:
     return F.broadcast(checked)
 
 
+_own_dir = []
+
+
 def shared_dir(spark: SparkSession):
-    """The folder all executors can write, or None on a cluster that names none."""
+    """The folder all executors can write, as the session names it in spark.checkpoint.dir.
+
+    Where none is named, a local master gets a temporary folder and a cluster gets None.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if spark.sparkContext.master.startswith("local"):
-        configured = tempfile.mkdtemp(prefix="upkeep-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-        return configured
-    return None
+    if not spark.sparkContext.master.startswith("local"):
+        return None
+    if not _own_dir:
+        _own_dir.append(tempfile.mkdtemp(prefix="upkeep-"))
+    return _own_dir[0]
 
 
 def settle(df: DataFrame) -> DataFrame:

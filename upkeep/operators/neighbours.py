@@ -93,39 +93,58 @@ def _reach_udf(lo, hi):
 
 
 def _search(k):
-    """A function finding, for each query point, its k + 1 nearest rows among one cell's points."""
+    """A function finding, for each query point, its k + 1 nearest rows among one cell's points.
 
+    Returns flat arrays per query: distances, keys and coordinates, in (distance, key) order.
+    """
     def search(queries, points):
         import numpy as np
         import pandas as pd
 
-        if not len(queries) or not len(points):
-            return pd.DataFrame({"id": queries["id"], "radius": np.inf, "near": [[] for _ in range(len(queries))]})
-        xs = np.stack(points["x"].to_numpy())
-        keys = points["keys"].to_numpy()
-        qs = np.stack(queries["x"].to_numpy())
-        ids = queries["id"].to_numpy()
-        found, radius = [], np.full(len(qs), np.inf)
-        step = max(1, 2_000_000 // len(xs))
-        for s in range(0, len(qs), step):
-            q = qs[s : s + step]
-            d = np.zeros((len(q), len(xs)))
-            for j in range(q.shape[1]):
-                gap = q[:, None, j] - xs[None, :, j]
-                d += gap * gap
-            kth = min(k, len(xs) - 1)
-            limit = np.partition(d, kth, axis=1)[:, kth]
-            for i in range(len(q)):
-                near = np.flatnonzero(d[i] <= limit[i])
-                rows = sorted((d[i, c], key, c) for c in near for key in keys[c])[: k + 1]
-                if len(rows) > k:
-                    radius[s + i] = rows[-1][0]
-                found.append([{"d2": float(a), "key": b, "x": xs[c].tolist()} for a, b, c in rows])
-        return pd.DataFrame({"id": ids, "radius": radius, "near": found})
+        radius = np.full(len(queries), np.inf)
+        d2, near_keys, near_x = ([[]] * len(queries) for _ in range(3))
+        if len(queries) and len(points):
+            xs, qs = np.stack(points["x"].to_numpy()), np.stack(queries["x"].to_numpy())
+            held = points["keys"].map(len).to_numpy()
+            keys = np.concatenate([np.asarray(v, dtype=object) for v in points["keys"]])
+            first = np.concatenate([[0], np.cumsum(held)[:-1]])  # where each point's keys start
+            place = pd.factorize(keys, sort=True)[0]
+            d2, near_keys, near_x = [], [], []
+            step = max(1, 2_000_000 // len(xs))
+            for s in range(0, len(qs), step):
+                q = qs[s : s + step]
+                d = np.zeros((len(q), len(xs)))
+                for j in range(q.shape[1]):
+                    gap = q[:, None, j] - xs[None, :, j]
+                    d += gap * gap
+                kth = min(k, len(xs) - 1)
+                qi, ci = np.nonzero(d <= np.partition(d, kth, axis=1)[:, kth, None])
+                # one entry per row key of every point that near
+                times = held[ci]
+                ends = np.cumsum(times)
+                at = np.repeat(first[ci] - (ends - times), times) + np.arange(ends[-1])
+                dist, qi, ci = np.repeat(d[qi, ci], times), np.repeat(qi, times), np.repeat(ci, times)
+                order = np.lexsort((place[at], dist, qi))
+                starts = np.searchsorted(qi[order], np.arange(len(q)))
+                order = order[np.arange(len(order)) - starts[qi[order]] <= k]
+                cuts = np.searchsorted(qi[order], np.arange(1, len(q)))
+                d2 += np.split(dist[order], cuts)
+                near_keys += np.split(keys[at[order]], cuts)
+                near_x += [part.ravel() for part in np.split(xs[ci[order]], cuts)]
+            radius = np.array([v[-1] if len(v) > k else np.inf for v in d2])
+        return pd.DataFrame({"id": queries["id"].to_numpy(), "radius": radius, "d2": d2, "near_keys": near_keys, "near_x": near_x})
 
     return search
 
 
+def _near(dims):
+    """The flat arrays as one array of (d2, key, x)."""
+    return F.transform(
+        F.arrays_zip(F.col("d2"), F.col("near_keys"), F.sequence(F.lit(0), F.size("d2") - 1)),
+        lambda e: F.struct(e["d2"].alias("d2"), e["near_keys"].alias("key"), F.slice(F.col("near_x"), e["2"] * dims + 1, F.lit(dims)).alias("x")),
+    )
+
+
 def _locations(rows: DataFrame, k: int) -> DataFrame:
     """Distinct points: (x, copies, keys), keys being the k + 1 smallest; id is the smallest key."""
     # the rank filter is applied before the shuffle too, so a point copied everywhere stays small
@@ -150,11 +169,9 @@ def nearest_neighbours(
     places = settle(_locations(rows, k))
     n = places.count()
     depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(1, n) / cell_points))))
-    near_type = "array<struct<d2:double,key:string,x:array<double>>>"
     key_type = dict(df.dtypes)[key]
-    near_type = near_type.replace("key:string", f"key:{key_type}")
-    search = _search(k)
-    out = f"id {key_type}, radius double, near {near_type}"
+    search, near = _search(k), _near(len(features)).alias("near")
+    out = f"id {key_type}, radius double, d2 array<double>, near_keys array<{key_type}>, near_x array<double>"
 
     wanted = SAMPLE_PER_CELL * 2**depth
     if depth:
@@ -172,9 +189,9 @@ def nearest_neighbours(
         out + ", cell int, x array<double>",
     )
     if not depth:
-        best = own.select("id", "near")
+        best = own.select("id", near)
     else:
-        own = settle(own)
+        own = settle(own.select("id", "x", "cell", "radius", near))
         reached = own.select("id", "x", F.explode(_reach_udf(lo, hi)("x", "cell", "radius")).alias("cell"))
         reached = settle(reached)
         # a cell asked by very many points is searched by several tasks
@@ -192,7 +209,7 @@ def nearest_neighbours(
         more = asks.groupBy("cell", "part").cogroup(offers.groupBy("cell", "part")).applyInPandas(
             search, out
         )
-        both = own.select("id", "near").unionByName(more.select("id", "near"))
+        both = own.select("id", "near").unionByName(more.where(F.size("d2") > 0).select("id", near))
         best = both.groupBy("id").agg(
             F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near")
         )

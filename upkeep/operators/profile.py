@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
 from upkeep.operators.bounds import bounded
-from upkeep.operators.columns import by_mode
+from upkeep.operators.columns import by_mode, rules_table
 from upkeep.operators.infer import class_moments, t_statistics, two_sided_p
 from upkeep.operators.quantiles import long_values, per_variable, quantiles
 
@@ -122,16 +122,16 @@ def failure_q1_zones(df: DataFrame, features: list = None, label: str = D.TARGET
     return q1.select("variable", F.when(F.col("variable").isin(*falling), "<").otherwise(">").alias("direction"), "q1")
 
 
-def validate_intervals(df: DataFrame, rules: DataFrame, label: str = D.TARGET, tol: float = 0.05, method: str = "exact") -> DataFrame:
+def validate_intervals(df: DataFrame, rules: list = None, label: str = D.TARGET, tol: float = 0.05, method: str = "exact") -> DataFrame:
     """Rules checked against the observed first quartile among failures, rounded to 2 digits."""
-    rules = bounded(rules, "rules")
-    variables = [c for c in df.columns if c != label and dict(df.dtypes)[c] in ("double", "float", "int", "bigint", "smallint")]
-    long = long_values(df.where(F.col(label) == 1), [], variables).join(rules.select("variable"), "variable", "left_semi")
+    rules = rules or D.RISK_RULES
+    long = long_values(df.where(F.col(label) == 1), [], [r[0] for r in rules])
+    table = F.broadcast(rules_table(df.sparkSession, rules))  # one row per rule given
     q1 = quantiles(long, ["variable"], [0.25], ["q1"], method=method).withColumn("q1", F.round("q1", 2))
     ok = F.when(F.col("direction") == ">", F.col("q1") >= F.col("threshold") * (1 - tol)).otherwise(
         F.col("q1") <= F.col("threshold") * (1 + tol)
     )
-    return q1.join(rules, "variable").select(
+    return q1.join(table, "variable").select(
         "variable", "direction", "threshold", "unit", "q1", ok.alias("ok"),
         F.when(ok, D.RULE_OK).otherwise(D.RULE_REVIEW).alias("status"),
         S.ratio(F.abs(F.col("q1") - F.col("threshold")), "threshold", 100).alias("margin_pct"),

@@ -15,7 +15,9 @@ _MAX_CELLS = 16 * 16**PREFIX
 
 
 def _hashed(df, key, seed):
-    return df.withColumn("__h", draw(seed, key)).withColumn("__b", digits(F.col("__h"), 1, PREFIX).cast("int"))
+    # never null, or the optimiser adds a null check that computes the hash a second time
+    bucket = F.coalesce(digits(F.col("__h"), 1, PREFIX).cast("int"), F.lit(0))
+    return df.withColumn("__h", draw(seed, key)).withColumn("__b", bucket)
 
 
 def class_sizes(df: DataFrame, group: str) -> DataFrame:

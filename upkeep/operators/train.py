@@ -77,8 +77,20 @@ def score(model, df: DataFrame, keep: list, name: str = None) -> DataFrame:
 
 
 def score_models(models: dict, df: DataFrame, keep: list) -> DataFrame:
-    """Scores of several models, long: one row per input row and model."""
-    return reduce(DataFrame.unionByName, [score(m, df, keep, name) for name, m in models.items()])
+    """Scores of several classifiers in one pass over df, long: one row per input row and model."""
+    out, kept = df, [F.col(c) if isinstance(c, str) else c for c in keep]
+    for i, model in enumerate(models.values()):
+        mine = model.copy()
+        mine.setPredictionCol(f"__pred{i}").setProbabilityCol(f"__prob{i}").setRawPredictionCol(f"__raw{i}")
+        out = mine.transform(out)
+    rows = F.array(*[
+        F.struct(
+            F.lit(name).alias("model"), F.col(f"__pred{i}").cast("int").alias("prediction"),
+            vector_to_array(f"__prob{i}")[1].alias("probability"),
+        )
+        for i, name in enumerate(models)
+    ])
+    return out.select(*kept, F.inline(rows))
 
 
 def tree_shape(spark, model) -> DataFrame:
