@@ -100,3 +100,13 @@ def test_scatter_sample_is_stable(spark):
     a = charts.scatter_sample(df.repartition(3), "id", ["v"], 0.1)
     b = charts.scatter_sample(df.repartition(11), "id", ["v"], 0.1)
     assert a.exceptAll(b).count() == 0 and 120 < a.count() < 280
+
+
+def test_codes_of_many_categories(spark, monkeypatch):
+    df = spark.range(3_000).select(F.concat(F.lit("c"), F.col("id") % 500).alias("c"))
+    few = columns.encode_category(df, "c", "code").distinct().toPandas()
+    monkeypatch.setattr(columns, "SMALL", 100)
+    many = columns.encode_category(df, "c", "code").distinct().toPandas()
+    names = sorted({f"c{i}" for i in range(500)})
+    for got in (few, many):
+        assert got.sort_values("code")["c"].tolist() == names and sorted(got["code"]) == list(range(500))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
 from upkeep.functions.hashing import draw, unit
-from upkeep.operators.bounds import bounded
+from upkeep.operators.bounds import bounded, settle
 from upkeep.operators.columns import with_mode_index
 from upkeep.operators.infer import t_test_by_class
 from upkeep.operators.quantiles import long_values, quantiles
@@ -23,19 +23,21 @@ def _bin_of(v, lo, hi, bins):
     )
 
 
-def histogram(long: DataFrame, group: list, bins: int) -> DataFrame:
+def histogram(long: DataFrame, group: list, bins: int, few: bool = True) -> DataFrame:
     """Density histogram of `value` per group over the group's own range, empty bins included.
 
     (group, bin, lo, hi, count, density, mean). A constant group is widened by 0.5 on each side.
+    `few` says the groups are features and classes; otherwise their table is written, and Spark
+    broadcasts or shuffles it by its size.
     """
     low, high = F.min("value"), F.max("value")
-    ranges = bounded(
+    ranges = (
         long.groupBy(*group).agg(low.alias("__min"), high.alias("__max"), F.count(F.lit(1)).alias("__n"), F.avg("value").alias("mean"))
         .withColumn("__lo", F.when(F.col("__min") == F.col("__max"), F.col("__min") - 0.5).otherwise(F.col("__min")))
         .withColumn("__hi", F.when(F.col("__min") == F.col("__max"), F.col("__max") + 0.5).otherwise(F.col("__max")))
-        .select(*group, "__lo", "__hi", "__n", "mean"),
-        "histogram groups",
+        .select(*group, "__lo", "__hi", "__n", "mean")
     )
+    ranges = bounded(ranges, "histogram groups") if few else settle(ranges)
     counts = (
         long.join(ranges, group)
         .withColumn("bin", _bin_of(F.col("value"), F.col("__lo"), F.col("__hi"), bins))
@@ -43,7 +45,7 @@ def histogram(long: DataFrame, group: list, bins: int) -> DataFrame:
     )
     grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("__hi") - F.col("__lo")) / bins
-    return grid.join(bounded(counts, "bins", 500_000), [*group, "bin"], "left").select(
+    return grid.join(counts, [*group, "bin"], "left").select(
         *group, "bin", (F.col("__lo") + F.col("bin") * width).alias("lo"),
         F.when(F.col("bin") == bins - 1, F.col("__hi")).otherwise(F.col("__lo") + (F.col("bin") + 1) * width).alias("hi"),
         F.coalesce("count", F.lit(0)).alias("count"),
@@ -66,7 +68,7 @@ def histogram_by_class(df: DataFrame, features: list = None, label: str = D.TARG
 def histogram_by_category(df: DataFrame, variable: str = "desgaste", category: str = D.CATEGORY, label: str = D.TARGET, bins: int = 30) -> DataFrame:
     """Histogram of one variable among failures, per category."""
     long = long_values(df.where(F.col(label) == 1), [category], [variable])
-    return histogram(long, [category], bins)
+    return histogram(long, [category], bins, few=False)
 
 
 def boxplot_stats(df: DataFrame, features: list = None, label: str = D.TARGET, method: str = "exact") -> DataFrame:

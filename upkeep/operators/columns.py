@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
-from upkeep.operators.bounds import bounded
+from upkeep.operators.bounds import SMALL, settle
 
 
 def rename_columns(df: DataFrame, names: dict = None) -> DataFrame:
@@ -24,14 +24,31 @@ def require_columns(df: DataFrame, columns: list) -> DataFrame:
 
 
 def category_codes(df: DataFrame, column: str = D.CATEGORY) -> DataFrame:
-    """(category, code): codes 0..k-1 in sorted order of the category."""
-    levels = df.select(column).where(F.col(column).isNotNull()).distinct().limit(10_001)
-    return levels.withColumn("code", F.row_number().over(Window.orderBy(column)) - 1)
+    """(category, code): codes 0..k-1 in sorted order of the category.
+
+    A handful of levels is numbered in one window. Beyond `SMALL` levels they are cut into
+    sorted ranges, written, and numbered inside each range from the counts of the ranges before.
+    """
+    levels = settle(df.select(column).where(F.col(column).isNotNull()).distinct())
+    if levels.limit(SMALL + 1).count() <= SMALL:
+        return levels.withColumn("code", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(column)) - 1)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = settle(levels.repartitionByRange(parts, column).withColumn("__part", F.spark_partition_id()))
+    before = Window.partitionBy(F.lit(0)).orderBy("__part")
+    sizes = cut.groupBy("__part").count().withColumn("__before", F.sum("count").over(before) - F.col("count"))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(column))
+    return cut.withColumn("__r", inside).join(sizes, "__part").select(
+        column, (F.col("__before") + F.col("__r") - 1).cast("int").alias("code")
+    )
 
 
 def encode_category(df: DataFrame, column: str = D.CATEGORY, out: str = D.CATEGORY_CODE) -> DataFrame:
-    """Add the sorted integer code of a category column."""
-    codes = bounded(category_codes(df, column), f"categories of {column}").withColumnRenamed("code", out)
+    """Add the sorted integer code of a category column.
+
+    The codes are a written table, so Spark knows their size: it broadcasts a small one and
+    shuffles a large one, splitting a hot category by its own skew handling.
+    """
+    codes = settle(category_codes(df, column).withColumnRenamed("code", out))
     return df.join(codes, column, "left").select(*df.columns, out)
 
 
