@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,16 +62,16 @@ def add_power_w(df: DataFrame, torque="torque", speed="vel_rotacion", out="poten
 
 
 def select_features(df: DataFrame, key: str, features: list = None, label: str = D.TARGET, as_vector=True) -> DataFrame:
-    """(key, features, label): features as an ML vector, or as array<double>."""
+    """(key, features, label): features as an ML vector, a null failing the job, or as array<double>."""
     features = features or D.FEATURES
     require_columns(df, [key, label, *features])
-    array = F.array(*[F.col(c).cast("double") for c in features])
+    values = [F.col(c).cast("double").alias(c) for c in features]
     if not as_vector:
-        return df.select(key, array.alias("features"), F.col(label).cast("double").alias("label"))
-    from pyspark.ml.functions import array_to_vector
-
-    checked = F.when(F.exists(array, lambda x: x.isNull()), F.raise_error(F.lit("null feature")).cast("array<double>"))
-    return df.select(key, array_to_vector(checked.otherwise(array)).alias("features"), F.col(label).cast("double").alias("label"))
+        return df.select(key, F.array(*values).alias("features"), F.col(label).cast("double").alias("label"))
+    names = {c: f"__f{i}" for i, c in enumerate(features)}  # the label or key may be a feature too
+    wide = df.select(key, *[v.alias(names[c]) for c, v in zip(features, values)], F.col(label).cast("double").alias("label"))
+    assembler = VectorAssembler(inputCols=list(names.values()), outputCol="features", handleInvalid="error")
+    return assembler.transform(wide).select(key, "features", "label")
 
 
 def by_class(df: DataFrame, value: int, label: str = D.TARGET) -> DataFrame:

@@ -1,6 +1,7 @@
 """Evaluation of scored rows (key, label, prediction, probability, model); any number of models per pass."""
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,19 +41,23 @@ def binary_metrics(cells: DataFrame) -> DataFrame:
     })
 
 
+def _sides():
+    """Per class: its name and the expressions of precision, recall, F1 and support on the cells."""
+    out = []
+    for c, hit, wrong, missed in ((0, "tn", "fn", "fp"), (1, "tp", "fp", "fn")):
+        out.append((D.CLASS_NAMES[c], {
+            "precision": S.ratio_or_zero(hit, F.col(hit) + F.col(wrong)),
+            "recall": S.ratio_or_zero(hit, F.col(hit) + F.col(missed)),
+            "f1": _f1(hit, wrong, missed),
+            "support": F.col(hit) + F.col(missed),
+        }))
+    return out
+
+
 def per_class_report(cells: DataFrame) -> DataFrame:
     """(model, class, precision, recall, f1, support), two rows per model."""
-    sides = F.array(*[
-        F.struct(
-            F.lit(D.CLASS_NAMES[c]).alias("class"),
-            S.ratio_or_zero(hit, F.col(hit) + F.col(wrong)).alias("precision"),
-            S.ratio_or_zero(hit, F.col(hit) + F.col(missed)).alias("recall"),
-            _f1(hit, wrong, missed).alias("f1"),
-            (F.col(hit) + F.col(missed)).alias("support"),
-        )
-        for c, hit, wrong, missed in ((0, "tn", "fn", "fp"), (1, "tp", "fp", "fn"))
-    ])
-    return cells.select("model", F.inline(sides))
+    rows = [F.struct(F.lit(name).alias("class"), *[e.alias(c) for c, e in side.items()]) for name, side in _sides()]
+    return cells.select("model", F.inline(F.array(*rows)))
 
 
 def _by_score(scored, label):
@@ -120,19 +125,22 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 
 
 def cross_validate(
-    train: DataFrame, fit, model: str, label: str = "label", fold: str = "fold", k: int = D.FOLDS, resample=None
+    train: DataFrame, fit, model: str, label: str = "label", fold: str = "fold", k: int = D.FOLDS, resample=None, parallelism: int = D.FOLDS
 ) -> DataFrame:
     """Held-out F1 per fold, the model refitted for each: (model, fold, f1).
 
     `fit(train)` returns a function scoring a table. With `resample`, e.g. SMOTE, only each
-    training part is resampled, so no synthetic twin of a held-out row is trained on.
+    training part is resampled, so no synthetic twin of a held-out row is trained on. Fits of
+    different folds are submitted together, so one fold's short stages leave no executors idle.
     """
-    held_out = []
-    for j in range(k):
+    def held_out(j):
         part = train.where(F.col(fold) != j)
         scorer = fit(resample(part) if resample else part)
-        held_out.append(scorer(train.where(F.col(fold) == j)).select(label, "prediction", fold))
-    return fold_f1(reduce(DataFrame.unionByName, held_out).withColumn("model", F.lit(model)), label, fold)
+        return scorer(train.where(F.col(fold) == j)).select(label, "prediction", fold)
+
+    with ThreadPool(parallelism) as pool:
+        scored = pool.map(held_out, range(k))
+    return fold_f1(reduce(DataFrame.unionByName, scored).withColumn("model", F.lit(model)), label, fold)
 
 
 def hypothesis_check(metrics: DataFrame, min_recall: float = D.MIN_RECALL) -> DataFrame:
@@ -167,12 +175,11 @@ def evaluate_models(
         return F.round(c, 4)
 
     flat = flat_metrics(scored, label, cv, min_recall)
-    sides = per_class_report(flat.select("model", *CELLS)).groupBy("model").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(
-            "class", F.struct(r("precision").alias("precision"), r("recall").alias("recall"), r("f1").alias("f1"), "support")
-        )))).alias("por_clase")
-    )
-    rows = flat.join(bounded(sides, "models"), "model")
+    sides = F.create_map(*[
+        x for name, side in _sides()
+        for x in (F.lit(name), F.struct(*[(e if c == "support" else F.round(e, 4)).alias(c) for c, e in side.items()]))
+    ])
+    rows = flat.withColumn("por_clase", sides)
     if with_roc:
         rows = rows.join(bounded(roc_arrays(roc_curve(scored, label)), "models"), "model", "left")
     else:

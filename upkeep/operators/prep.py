@@ -75,15 +75,16 @@ def apply_scaler(df: DataFrame, scaler: DataFrame, features: list = None, digits
     The parameters are one row and enter the projection as a scalar subquery.
     """
     names = features or D.FEATURES
-    row = scaler.agg(F.map_from_entries(F.collect_list(F.struct("variable", F.struct("mean", "scale")))).alias("m")).scalar()
-    out = df.withColumn("__m", row)
+    moments = [
+        F.max(F.when(F.col("variable") == v, F.struct("mean", "scale"))).alias(f"__{i}") for i, v in enumerate(names)
+    ]
+    out = df.withColumn("__m", scaler.agg(F.struct(*moments).alias("m")).scalar())
 
-    def z(v):
-        p = F.col("__m")[v]
-        value = (F.col(v) - p["mean"]) / p["scale"]
+    def z(i, v):
+        value = (F.col(v) - F.col(f"__m.__{i}.mean")) / F.col(f"__m.__{i}.scale")
         return value if digits is None else F.round(value, digits)
 
-    return out.withColumns({v: z(v) for v in names}).drop("__m")
+    return out.withColumns({v: z(i, v) for i, v in enumerate(names)}).drop("__m")
 
 
 def class_weights(df: DataFrame, label: str = D.TARGET) -> DataFrame:

@@ -1,6 +1,7 @@
 """Classifiers on Spark ML. Input: (key, features vector, label), as `select_features` gives."""
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
@@ -124,7 +125,8 @@ def model_params(spark, model) -> DataFrame:
     return spark.createDataFrame(rows, "param string, value string")
 
 
-def oob_score(train: DataFrame, key: str, trees: int = 20, max_depth: int = D.FOREST_DEPTH, seed: int = D.SEED, max_bins: int = MAX_BINS) -> DataFrame:
+def oob_score(train: DataFrame, key: str, trees: int = 20, max_depth: int = D.FOREST_DEPTH, seed: int = D.SEED, max_bins: int = MAX_BINS,
+              parallelism: int = 4) -> DataFrame:
     """(trees, rows, oob_accuracy): each row judged only by the trees that did not draw it.
 
     Bagging weights are Poisson(1) counts from a hash of (row, tree), so they survive retries.
@@ -135,15 +137,18 @@ def oob_score(train: DataFrame, key: str, trees: int = 20, max_depth: int = D.FO
     steps = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
              0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
     weighted = settle(train)
-    votes = []
-    for t in range(trees):
+
+    def out_of_bag(t):
         u = unit(draw(seed, F.lit("bag"), F.lit(t), key))
         bag = weighted.withColumn("weight", sum(((u >= s).cast("double") for s in steps), F.lit(0.0)))
         one = RandomForestClassifier(
             numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", maxDepth=max_depth, maxBins=max_bins, seed=seed + t,
             weightCol="weight", featuresCol="features", labelCol="label",
         ).fit(bag)
-        votes.append(score(one, bag.where("weight = 0"), [key, "label"]))
+        return score(one, bag.where("weight = 0"), [key, "label"])
+
+    with ThreadPool(parallelism) as pool:
+        votes = pool.map(out_of_bag, range(trees))
     mean = reduce(DataFrame.unionByName, votes).groupBy(key).agg(F.avg("probability").alias("p"), F.first("label").alias("label"))
     return mean.agg(
         F.lit(trees).alias("trees"), F.count(F.lit(1)).alias("rows"),
