@@ -328,3 +328,11 @@ O["R4_metrics_long"] = base(_text, *FULL)
 O["R5_notebook_payload"] = base(f"SELECT model AS best, (SELECT bool_and(recall >= 0.8) FROM flat) AS verified FROM {_best}", *FULL)
 O["S10_metrics_json"] = base(
     f"SELECT model, (SELECT model FROM {_best}) AS mejor_modelo, (SELECT recall >= 0.8 FROM {_best}) AS hipotesis_verificada, {r('recall', 4)} AS recall, tp, fp FROM flat", *FULL)
+
+# properties that hold for any right fit, over all rows
+O["S8_saved_scaler"] = base(
+    "SELECT k, " + ", ".join(f"{r(f'({f} - mu_{f}) / sd_{f}', 5)} AS {f}" for f in CODED) + " FROM split, params WHERE split = 'test'", SIZES, SPLIT, SCALED)
+O["M3_gradient"] = " UNION ALL ".join(f"SELECT '{f}' AS variable, CAST(0 AS DOUBLE) AS slope" for f in CODED)
+O["M5_importance_total"] = f"SELECT CAST({len(CODED)} AS BIGINT) AS n, CAST(1 AS DOUBLE) AS total"
+O["X1_stream_equals_batch"] = base(
+    "SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM split WHERE split = 'test'", SIZES, SPLIT)

@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,6 +111,14 @@ def _(spark, d):
     return rounded(train.score(model, P.split(spark, d).where("split = 'test'"), ["k", LABEL]))
 
 
+@query("S8_saved_scaler")
+def _(spark, d):
+    path = scratch(spark)
+    store.save_model(train.with_scaler(P.logistic(spark, d), P.scaler(spark, d), P.CODED), path)
+    out = store.load_model(spark, path).transform(P.split(spark, d).where("split = 'test'"))
+    return rounded(out.select("k", *[vector_to_array("features")[i].alias(f) for i, f in enumerate(P.CODED)]), 5)
+
+
 @query("S9_write_stats_csv")
 def _(spark, d):
     path = scratch(spark)
@@ -456,6 +465,20 @@ def _(spark, d):
     return train.score(P.logistic(spark, d), P.test_rows(spark, d), ["k", "label"], D.LOGISTIC)
 
 
+@query("M3_gradient")
+def _(spark, d):
+    """Slope of the penalised loss at the fitted coefficients, over all balanced rows: zero at the optimum."""
+    model = P.logistic(spark, d)
+    rows, n = P.balanced(spark, d), P.balanced(spark, d).count()
+    w = dict(zip(P.CODED, model.coefficients.toArray().tolist()))
+    z = sum((F.col(f) * w[f] for f in P.CODED), F.lit(float(model.intercept)))
+    error = F.try_divide(F.lit(1.0), 1 + F.exp(-z)) - F.col(LABEL)
+    slopes = F.array(*[
+        F.struct(F.lit(f).alias("variable"), (F.avg(error * F.col(f)) + F.lit(w[f] / n)).alias("slope")) for f in P.CODED
+    ])
+    return rounded(rows.agg(slopes.alias("e")).select(F.inline("e")), 3)
+
+
 @query("M4_tree_shape")
 def _(spark, d):
     return train.tree_shape(spark, P.tree(spark, d))
@@ -466,6 +489,12 @@ def _(spark, d):
     return train.feature_importance(spark, P.forest(spark, d), P.CODED)
 
 
+@query("M5_importance_total")
+def _(spark, d):
+    out = train.feature_importance(spark, P.forest(spark, d), P.CODED)
+    return rounded(out.agg(F.count(F.lit(1)).alias("n"), F.sum("importance").alias("total")))
+
+
 @query("M6_coefficients")
 def _(spark, d):
     return train.coefficients(spark, P.logistic(spark, d), P.CODED)
@@ -503,6 +532,18 @@ def _(spark, d):
     return spark.read.schema(out.schema).parquet(sink)
 
 
+@query("X1_stream_equals_batch")
+def _(spark, d):
+    source, sink, mark = scratch(spark), scratch(spark), scratch(spark)
+    test = P.split(spark, d).where("split = 'test'")
+    test.write.parquet(source)
+    model = train.with_scaler(P.tree(spark, d), P.scaler(spark, d), P.CODED)
+    live.write_stream(live.score_stream(model, live.stream_readings(spark, source, test.schema), ["k"]), sink, mark)
+    both = train.score(model, test, ["k"]).alias("a").join(spark.read.parquet(sink).alias("b"), "k", "full")
+    same = F.col("a.prediction").eqNullSafe(F.col("b.prediction")) & F.col("a.probability").eqNullSafe(F.col("b.probability"))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~same).alias("differing"))
+
+
 @query("F8_risk_stream")
 def _(spark, d):
     source, sink, mark = scratch(spark), scratch(spark), scratch(spark)

@@ -69,7 +69,7 @@ def _by_score(scored, label):
 
 def roc_auc(scored: DataFrame, label: str = "label") -> DataFrame:
     """(model, auc_roc): exact area, tied scores counting half; null when a class is missing."""
-    below = running_totals(_by_score(scored, label), ["model"], "probability", ["neg"])
+    below = running_totals(_by_score(scored, label), ["model"], "probability", ["neg"], source=scored)
     pairs = F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2))
     return below.groupBy("model").agg(
         F.try_divide(pairs, F.sum("pos").cast("double") * F.sum("neg")).alias("auc_roc")
@@ -84,7 +84,8 @@ def roc_curve(scored: DataFrame, label: str = "label", digits: int = None) -> Da
     """
     dist = _by_score(scored, label).withColumn("__fall", -F.col("probability"))
     dist = dist.withColumn("__step", F.struct("pos", "neg"))
-    run = running_totals(dist, ["model"], "__fall", ["pos", "neg"], ["__step"])
+    falling = scored.select((-F.col("probability")).alias("__fall"))
+    run = running_totals(dist, ["model"], "__fall", ["pos", "neg"], ["__step"], falling)
     totals = scored.groupBy("model").agg(
         F.count_if(F.col(label) == 1).alias("__p"), F.count_if(F.col(label) == 0).alias("__n")
     )
