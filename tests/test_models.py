@@ -119,14 +119,14 @@ def test_csv_with_padded_header(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text(
         "UDI, Type ,Air temperature [K],Process temperature [K],Rotational speed [rpm],Torque [Nm],Tool wear [min],Machine failure,TWF,HDF,PWF,OSF,RNF \n"
-        "1,M,298.1,308.6,1551,42.8,0,0,0,0,0,0,0\n2,L,298.2,,1408,46.3,3,1,0,1,0,0,0\n3,H,298.3,308.7,1498,49.4,5,0,0,0,0,0,0\n"
+        "1,M,298.1,308.6,1551,42.8,0,0,0,0,0,0,0\n2,L,298.2,,1408,46.3,3,1,0,1,0,0,0\n3,H,298.3,308.7,1498,49.4,NaN,0,0,0,0,0,0\n"
     )
     df = src.load_readings(spark, str(path)).orderBy("UDI")
     types = dict(df.dtypes)
     assert types["temp_aire"] == "double" and types["vel_rotacion"] == "int" and types["Type"] == "string" and types["UDI"] == "string"
     rows = df.collect()
     assert [r["tipo_cod"] for r in rows] == [2, 1, 0]  # sorted: H, L, M
-    assert rows[1]["temp_proceso"] is None and rows[1]["diff_temp"] is None
+    assert rows[1]["temp_proceso"] is None and rows[1]["diff_temp"] is None and rows[2]["desgaste"] is None
     assert rows[0]["potencia_w"] == pytest.approx(42.8 * 1551 * 2 * np.pi / 60)
     with pytest.raises(FileNotFoundError):
         src.read_readings(spark, str(tmp_path / "none.csv"))

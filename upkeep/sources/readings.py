@@ -23,7 +23,8 @@ def read_readings(spark: SparkSession, path: str, types: dict = None) -> DataFra
     """CSV with a header, or Parquet when the path says so; blanks around header names are stripped.
 
     Types are given by name, never inferred: only the header is read before the scan. A cell that
-    does not parse fails the job. Columns without a given type stay strings.
+    does not parse fails the job; the words for a missing value give null. Columns without a given
+    type stay strings.
     """
     if path.rstrip("/").endswith(".parquet"):
         df = _missing_as_file_error(lambda: spark.read.parquet(path), path)
@@ -31,9 +32,13 @@ def read_readings(spark: SparkSession, path: str, types: dict = None) -> DataFra
     df = _missing_as_file_error(lambda: spark.read.option("header", True).option("enforceSchema", False).csv(path), path)
     df = df.toDF(*[c.strip() for c in df.columns])
     types = D.RAW_TYPES if types is None else types
+
+    def typed(c):
+        cell = F.trim(F.col(f"`{c}`"))
+        return F.when(~cell.isin(D.MISSING), cell).cast(types[c]).alias(c)
+
     return df.select(*[
-        F.trim(F.col(f"`{c}`")).cast(types[c]).alias(c) if c in types and types[c].typeName() != "string" else F.col(f"`{c}`")
-        for c in df.columns
+        typed(c) if c in types and types[c].typeName() != "string" else F.col(f"`{c}`") for c in df.columns
     ])
 
 
