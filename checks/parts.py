@@ -13,7 +13,7 @@ from upkeep.operators.train import fit_decision_tree, fit_logistic_regression, f
 
 LABEL = "failure"
 CODED = [*X.FEATURES, "kind_code"]
-FOREST_TREES = 12  # the full 100 are in the slow tests; a registered query has to end in seconds
+FOREST_TREES = 12  # not the default 100: a registered query has to end in seconds
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
