@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from upkeep.operators.bounds import shared_dir
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # the word of the contracts, after A-Z became a-z
+NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,8 +40,14 @@ def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def lowered(text: Column) -> Column:
-    """A-Z as a-z and nothing else; null is empty."""
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    """A-Z as a-z and nothing else; null is empty. Translating takes long, and ASCII texts do without."""
+    text = F.coalesce(text, F.lit(""))
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def words(low: Column) -> Column:
+    """The words of lower-case text. Splitting takes a fifth of the time of extracting."""
+    return F.array_remove(F.split(low, NOT_WORD), "")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -12,55 +12,56 @@ are joined, one pass for each length that occurs (at most window - 1).
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import WORD, keyed, lowered, without, written
+from upkeep.llm.common import keyed, lowered, without, words, written
 
 WINDOW, GRAM = 10, 5
 MADE = ("n_words", "n_hit", "n_items", "items", "hit_words", "contaminated")
 
 
-def words(low: Column) -> Column:
-    """The words of lower-case text."""
-    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
+def _joined(x: str, y: str, ahead: int, n: Column, f) -> Column:
+    """f(x[i], y[i + ahead]) for the first n places."""
+    n = F.greatest(n, F.lit(0))
+    return F.zip_with(F.slice(x, 1, n), F.slice(y, ahead + 1, n), f)
 
 
-def _winnowed(grams: Column, width: int) -> Column:
-    """(print, here) of the least of each `width` neighbours, of equals the first; each once.
+def _with_grams(df: DataFrame, k: int) -> DataFrame:
+    """`df` (__a, __b, h: hashes of words) with `g`, a hash of each k neighbours, by doubling.
 
-    Hashes are compared by their upper 34 bits with the place below, so that the least names its place.
+    Each step is a column of its own, since an expression that is used twice would be computed twice.
     """
-    least = F.transform(grams, lambda g, i: F.shiftleft(F.shiftright(g, 30), 30).bitwiseOR(i.cast("long")))
-    span = 1
-    while span < width:
-        step = min(span, width - span)
-        least = _joined(least, least, step, lambda a, b: F.least(a, b))
-        span += step
-    places = F.array_distinct(F.transform(least, lambda v: v.bitwiseAND(F.lit(2**30 - 1)).cast("int")))
-    return F.transform(places, lambda i: F.struct(F.get(grams, i).alias("print"), i.alias("here")))
-
-
-def _joined(x: Column, y: Column, ahead: int, f) -> Column:
-    """f(x[i], y[i + ahead]) as far as y goes."""
-    rest = F.slice(y, ahead + 1, F.greatest(F.size(y) - ahead, F.lit(0)))
-    return F.zip_with(F.slice(x, 1, F.greatest(F.size(y) - ahead, F.lit(0))), rest, f)
-
-
-def _pair(a: Column, b: Column) -> Column:
-    return F.xxhash64(a, b)
-
-
-def _grams(hashes: Column, k: int) -> Column:
-    """A hash of each k neighbours of an array of hashes, by doubling."""
-    part, span, whole, done = hashes, 1, None, 0
+    pair = lambda a, b: F.xxhash64(a, b)
+    df = df.withColumns({"n": F.size("h"), "p1": F.col("h")})
+    span, whole, done = 1, None, 0
     while True:
         if k & span:
-            whole = part if whole is None else _joined(whole, part, done, _pair)
             done += span
+            if whole is None:
+                whole = f"p{span}"
+            else:
+                df = df.withColumn(f"w{done}", _joined(whole, f"p{span}", done - span, F.col("n") - done + 1, pair))
+                whole = f"w{done}"
         if done == k:
-            return whole
-        part = _joined(part, part, span, _pair)
+            return df.select("__a", "__b", "n", F.col(whole).alias("g"))
+        df = df.withColumn(f"p{2 * span}", _joined(f"p{span}", f"p{span}", span, F.col("n") - 2 * span + 1, pair))
         span *= 2
 
 
+def _winnowed(df: DataFrame, k: int, width: int) -> DataFrame:
+    """(__a, __b, print, here): the least of each `width` neighbours of g, of equals the first, each once.
+
+    Hashes are compared by their upper 34 bits with the place below, so that the least names its place.
+    """
+    df = df.withColumn("m1", F.transform("g", lambda g, i: F.shiftleft(F.shiftright(g, 30), 30).bitwiseOR(i.cast("long"))))
+    span = 1
+    while span < width:
+        step = min(span, width - span)
+        df = df.withColumn(f"m{span + step}", _joined(f"m{span}", f"m{span}", step, F.col("n") - k + 2 - span - step, lambda a, b: F.least(a, b)))
+        span += step
+    places = F.array_distinct(F.transform(f"m{width}", lambda v: v.bitwiseAND(F.lit(2**30 - 1)).cast("int")))
+    df = df.select("__a", "__b", "g", places.alias("places"))
+    return df.select("__a", "__b", F.explode(F.transform("places", lambda i: F.struct(F.get("g", i).alias("print"), i.alias("here")))).alias("p")).select("__a", "__b", "p.*")
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                   item_text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """`docs` with `n_words`, `n_hit` (words inside an occurrence of a window of an item), `n_items` and `items` (those
@@ -74,11 +75,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     slim = docs.select("__a", "__b", lowered(F.col(f"`{text}`")).alias("t"))
     bench = written(items.select(F.col(f"`{item_key}`").cast("string").alias("item"), words(lowered(F.col(f"`{item_text}`"))).alias("own")).where("size(own) > 0").distinct(), "items")
     hashed = slim.select("__a", "__b", F.transform(words(F.col("t")), lambda w: F.xxhash64(w)).alias("h"))
-    prints = hashed.where(F.size("h") >= window).select("__a", "__b", _grams(F.col("h"), gram).alias("g")).select(
-        "__a", "__b", F.explode(_winnowed(F.col("g"), window - gram + 1)).alias("p")).select("__a", "__b", "p.*")
+    prints = _winnowed(_with_grams(hashed, gram), gram, window - gram + 1)
     hits = _shifts(prints, bench.where(F.size("own") >= window), gram)
     for n in [r[0] for r in bench.where(F.size("own") < window).select(F.size("own")).distinct().collect()]:  # window - 1 at most
-        runs = hashed.where(F.size("h") >= n).select("__a", "__b", F.posexplode(_grams(F.col("h"), n)).alias("here", "print"))
+        runs = _with_grams(hashed, n).select("__a", "__b", F.posexplode("g").alias("here", "print"))
         hits = hits.unionByName(_shifts(runs, bench.where(F.size("own") == n), n))
     hits = written(hits.distinct(), "hits")
 
@@ -95,7 +95,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     hit = F.aggregate("runs", F.struct(F.lit(-1).alias("end"), F.lit(0).cast("long").alias("n")), lambda s, r: F.struct(
         F.greatest(s["end"], r["upto"]).alias("end"), (s["n"] + F.greatest(F.lit(0), r["upto"] - F.greatest(s["end"], r["from"] - 1))).alias("n")))
     found = written(found.select("__a", "__b", "items", F.col("runs").alias("hit_words"), hit["n"].alias("n_hit")), "found")
-    counted = docs.withColumn("n_words", F.regexp_count(lowered(F.col(f"`{text}`")), F.lit(WORD)).cast("long"))
+    counted = docs.withColumn("n_words", F.size(words(lowered(F.col(f"`{text}`")))).cast("long"))
     none = F.array().cast("array<string>")
     return counted.join(found, ["__a", "__b"], "left").withColumns({
         "items": F.coalesce("items", none), "n_hit": F.coalesce("n_hit", F.lit(0)), "n_items": F.size(F.coalesce("items", none)).cast("long"),
@@ -105,5 +105,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 def _shifts(prints: DataFrame, bench: DataFrame, k: int) -> DataFrame:
     """(row, item, shift) of the items' runs of k words among the documents' hashes. Spark broadcasts the items if they
     are small, by the size of the written table, and else shuffles both sides by hash."""
-    grams = bench.select("item", F.posexplode(_grams(F.transform("own", lambda w: F.xxhash64(w)), k)).alias("there", "print"))
+    hashed = bench.select(F.col("item").alias("__a"), F.lit(0).alias("__b"), F.transform("own", lambda w: F.xxhash64(w)).alias("h"))
+    grams = _with_grams(hashed, k).select(F.col("__a").alias("item"), F.posexplode("g").alias("there", "print"))
     return prints.join(grams, "print").select("__a", "__b", "item", (F.col("here") - F.col("there")).alias("shift")).distinct()

@@ -1,44 +1,28 @@
 """Document fingerprints by consistent weighted sampling. DataFrame expressions only.
 
-A text's terms are its words, weighted by how often they stand in it. For sample k a term x of weight w draws, from a
-hash of (x, k) alone, r and c from the Gamma(2, 1) distribution and b from [0, 1), and gets
+A text's terms are its words, weighted by how often they stand in it. A term x of weight w draws, from a hash of x alone,
+r and c from the Gamma(2, 1) distribution and b from [0, 1), and gets
 
     t = floor(ln w / r + b),   ln a = ln c - r (t - b) - r.
 
 The sample is the (x, t) of the least a. Two texts have the same sample with a chance of the sum of the lesser weights
-over the sum of the greater ones, their generalised Jaccard similarity, so the share of equal samples estimates it, with a
-standard error of at most 0.5 / sqrt(SAMPLES).
+over the sum of the greater ones, their generalised Jaccard similarity. So that a term is drawn for once and not SAMPLES
+times, a hash deals the terms to SAMPLES bins and each bin gives a sample; the share of equal samples among bins that
+either text has terms in estimates the similarity, with a standard error of about 0.5 / sqrt(bins in use).
 
-Each candidate is one long, ln a in steps of 2 ** -32 above 24 bits of the sample's hash, so that the least of a text is a
-plain minimum. Gamma draws come from a table of QUANTILES quantiles.
+Each candidate is one long, ln a in steps of 2 ** -32 above 24 bits of the sample's hash, so that the least of a bin is a
+plain minimum.
 """
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import WORD, keyed, lowered, search, without, written
+from upkeep.llm.common import keyed, search, without, words, written
 
-SAMPLES, QUANTILES = 64, 4096
+SAMPLES, EMPTY = 64, 2**24 - 1
 RANGE_ROWS = 1_000  # documents to a range of keys, about
 
 
-def gamma_quantiles(n: int = QUANTILES) -> list[float]:
-    """The (i + 1/2) / n quantiles of Gamma(2, 1), whose distribution function is 1 - (1 + x) exp(-x)."""
-    out, x = [], 1e-3
-    for i in range(n):
-        p = (i + 0.5) / n
-        x = max(x, math.sqrt(2 * p) if p < 1e-2 else x)
-        for _ in range(60):
-            step = (1 - (1 + x) * math.exp(-x) - p) / (x * math.exp(-x))
-            x = max(x - step, x / 2)
-            if abs(step) < 1e-13 * x:
-                break
-        out.append(x)
-    return out
-
-
 def signatures(rows: DataFrame, *keys: str, text: str = "text", samples: int = SAMPLES) -> DataFrame:
     """(keys, signature): `samples` numbers of 24 bits for each row; keys name a row.
 
@@ -46,26 +30,25 @@ def signatures(rows: DataFrame, *keys: str, text: str = "text", samples: int = S
     A text without words has itself as its term; null is empty.
     """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    found = F.regexp_extract_all(lowered(value), F.lit(WORD), F.lit(0))
+    found = words(F.lower(value))
     terms = rows.select(*keys, F.explode(F.when(F.size(found) > 0, found).otherwise(F.array(value))).alias("__word"))
     terms = terms.select(*keys, F.xxhash64("__word").alias("__term")).groupBy(*keys, "__term").agg(F.count(F.lit(1)).alias("__n"))
-    terms = terms.select(*keys, "__term", F.log(F.col("__n").cast("double")).alias("__lnw"))
-    table = gamma_quantiles()
-    gammas, logs = F.lit(table), F.lit([math.log(x) for x in table])
-    hashes = terms.select(*keys, "__term", "__lnw", *[F.xxhash64("__term", F.lit(k)).alias(f"__h{k}") for k in range(samples)])
 
-    def candidate(k: int) -> Column:
-        h = F.col(f"__h{k}")
-        r = F.get(gammas, h.bitwiseAND(F.lit(QUANTILES - 1)).cast("int"))
-        ln_c = F.get(logs, F.shiftright(h, 12).bitwiseAND(F.lit(QUANTILES - 1)).cast("int"))
-        b = F.shiftrightunsigned(h, 24).cast("double") * F.lit(2.0**-40)
-        t = F.floor(F.col("__lnw") * F.try_divide(F.lit(1.0), r) + b)
-        ln_a = ln_c - r * (t - b) - r
-        name = F.xxhash64(h, t).bitwiseAND(F.lit(2**24 - 1))
-        return F.shiftleft((ln_a * F.lit(2.0**32)).cast("long"), 24).bitwiseOR(name)
+    def unit(h: Column, first: int) -> Column:
+        """A number in (0, 1) from 31 bits of a hash."""
+        return (F.shiftrightunsigned(h, first).bitwiseAND(F.lit(2**31 - 1)).cast("double") + 0.5) * F.lit(2.0**-31)
 
-    least = hashes.groupBy(*keys).agg(*[F.min(candidate(k)).alias(f"__m{k}") for k in range(samples)])
-    return least.select(*keys, F.array(*[F.col(f"__m{k}").bitwiseAND(F.lit(2**24 - 1)).cast("int") for k in range(samples)]).alias("signature"))
+    drawn = terms.select(*keys, "__term", F.log(F.col("__n").cast("double")).alias("__lnw"), F.xxhash64("__term", F.lit(1)).alias("__h"), F.xxhash64("__term", F.lit(2)).alias("__i"))
+    drawn = drawn.select(
+        *keys, "__term", "__lnw", F.pmod("__term", F.lit(samples)).cast("int").alias("__bin"),
+        (-F.log(unit(F.col("__h"), 0) * unit(F.col("__h"), 32))).alias("__r"), F.log(-F.log(unit(F.col("__i"), 0) * unit(F.col("__i"), 32))).alias("__lnc"),
+        unit(F.xxhash64("__term", F.lit(3)), 0).alias("__b"))
+    drawn = drawn.withColumn("__t", F.floor(F.col("__lnw") / F.col("__r") + F.col("__b")))
+    ln_a = F.col("__lnc") - F.col("__r") * (F.col("__t") - F.col("__b")) - F.col("__r")
+    name = F.pmod(F.xxhash64("__term", "__t"), F.lit(EMPTY))
+    least = drawn.select(*keys, "__bin", F.shiftleft((ln_a * F.lit(2.0**32)).cast("long"), 24).bitwiseOR(name).alias("__a")).groupBy(*keys, "__bin").agg(F.min("__a").alias("__a"))
+    bins = least.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__bin", F.col("__a").bitwiseAND(F.lit(2**24 - 1)).cast("int")))).alias("__bins"))
+    return bins.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.coalesce(F.try_element_at("__bins", i), F.lit(EMPTY))).alias("signature"))
 
 
 def as_text(signature: Column) -> Column:
@@ -73,9 +56,9 @@ def as_text(signature: Column) -> Column:
 
 
 def likeness(one: Column, two: Column) -> Column:
-    """The share of equal samples."""
-    same = F.zip_with(one, two, lambda x, y: (x == y).cast("int"))
-    return F.aggregate(same, F.lit(0), lambda n, x: n + x) / F.size(one)
+    """The share of equal samples among the bins in use."""
+    pairs = F.filter(F.zip_with(one, two, lambda x, y: F.struct(x.alias("x"), y.alias("y"))), lambda p: (p["x"] != EMPTY) | (p["y"] != EMPTY))
+    return F.size(F.filter(pairs, lambda p: p["x"] == p["y"])) / F.size(pairs)
 
 
 def fingerprint(docs: DataFrame, text: str = "text", samples: int = SAMPLES) -> DataFrame:

@@ -14,11 +14,11 @@ from upkeep.llm.common import without, written
 ROWS = 5_000  # documents of a source that are sorted in one task, about
 EPOCHS = 3  # no source is used more often
 MADE = ("size", "source_size", "target", "taken", "draw")
-_WORDS = r"[^\x20\x09-\x0D]+"
+_BLANK = r"[\x20\x09-\x0D]+"
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(_WORDS)), F.lit(0)).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), _BLANK), "")).cast("long")
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...], epochs: int = EPOCHS) -> DataFrame:
