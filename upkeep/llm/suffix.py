@@ -24,7 +24,7 @@ GRAM = 32
 SEGMENTS = 1000  # different segments of one key in a task; beyond, the key is cut finer
 BLOCKS = (32, 1)  # window starts to a block, level by level
 SLICE = 1 << 18  # bytes of text worked on at once
-SORTED = 1 << 20  # bytes of segments sorted at once, cut at keys
+SORTED = 1 << 19  # bytes of segments sorted at once, cut at keys
 MADE = ("spans", "n_bytes", "n_removed", "n_spans", "kept")
 
 
@@ -226,7 +226,7 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_b
         F.collect_set(F.struct("start", "n", "h")).alias("cuts"))
 
     def segment(batches):
-        for b in slices(batches, "text", 1 << 22):
+        for b in slices(batches, "text", 1 << 21):
             data, at = text_bytes(b.column("text"))
             raw, seen, rows = data.tobytes(), {}, []
             for i, (a, bb, cuts) in enumerate(zip(*(b.column(c).to_pylist() for c in ("__a", "__b", "cuts")))):
@@ -254,7 +254,7 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_b
     keep = [c for c in docs.columns if c not in ("__a", "__b")]
 
     def remove(batches):
-        for b in slices(batches, "__t", 1 << 22):
+        for b in slices(batches, "__t", 1 << 20):
             data, at = text_bytes(b.column("__t"))
             out = []
             for i, found in enumerate(b.column("__found").to_pylist()):
@@ -288,14 +288,21 @@ def _repeats(rows: DataFrame, size: int, level: int) -> DataFrame:
     """(sid, lo, hi): runs of own starts of segments that repeat. rows: h, sid, n, copies, part."""
     if level == len(BLOCKS):
         return _sorted(rows, size)
-    hot = written(rows.groupBy("h").agg(F.count(F.lit(1)).alias("segments")).where(F.col("segments") > SEGMENTS).select("h"), "hot")
+    many = lambda r: written(r.groupBy("h").agg(F.count(F.lit(1)).alias("segments")).where(F.col("segments") > SEGMENTS).select("h"), "hot")
+    hot = many(rows)
     if hot.isEmpty():
         return _sorted(rows, size)
-    blocks = written(rows.join(hot, "h", "left_semi").mapInArrow(_finer(size, BLOCKS[level]), "h long, sid binary, n long, copies long, part binary, of binary, off long"), "blocks")
+    # A segment came from each slice of texts that has it; where a key has very many rows, they are made one.
+    once = written(rows.join(hot, "h", "left_semi").groupBy("h", "sid", "n").agg(F.sum("copies").alias("copies"), F.first("part").alias("part")), "once")
+    cold, hot = rows.join(hot, "h", "left_anti"), many(once)
+    cold = cold.unionByName(once.join(hot, "h", "left_anti"))
+    if hot.isEmpty():
+        return _sorted(cold, size)
+    blocks = written(once.join(hot, "h", "left_semi").mapInArrow(_finer(size, BLOCKS[level]), "h long, sid binary, n long, copies long, part binary, of binary, off long"), "blocks")
     found = _repeats(blocks.where("part is not null").select("h", "sid", "n", "copies", "part"), size, level + 1)
-    fine = blocks.select("sid", "of", "off").join(found, "sid").select(
+    fine = blocks.select("sid", "of", "off").distinct().join(found.distinct(), "sid").select(
         F.col("of").alias("sid"), (F.col("lo") + F.col("off")).alias("lo"), (F.col("hi") + F.col("off")).alias("hi"))
-    return _sorted(rows.join(hot, "h", "left_anti"), size).unionByName(fine)
+    return _sorted(cold, size).unionByName(fine)
 
 
 def _finer(size: int, block: int):
