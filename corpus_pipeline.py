@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from upkeep.llm import decontaminate, mixing, neardup, quality, suffix
 from upkeep.llm.common import written
-from upkeep.llm.queries import HELD_OUT, table, weighted
+from upkeep.llm.queries import held_out, table, weighted
 
 REPEAT_BYTES = 256  # shorter than the query's 400, for passages of over 50 words
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.3 or more stay."""
-    model = quality.fit_quality(docs, table(spark, sf_dir, "labels").where(~HELD_OUT))
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels").where(~held_out()))
     return quality.score_quality(docs, model).where("predicted = 1").drop("score", "predicted")
 
 

@@ -1,12 +1,14 @@
 """The registered queries of this package and their SQL for DuckDB."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upkeep.llm import chat, decontaminate, fingerprint, language, licenses, mixing, neardup, quality, suffix, warc
 from upkeep.llm.common import scratch_path, without
 
-HELD_OUT = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+def held_out() -> Column:
+    """True for rows that no model learns from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,8 +65,8 @@ def op7_chat_formatting(spark, d):
 
 def op8_quality_classifier(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    model = quality.fit_quality(docs, table(spark, d, "labels").where(~HELD_OUT))
-    return quality.score_quality(docs, model).select("doc_id", HELD_OUT.alias("held_out"), "score", "predicted")
+    model = quality.fit_quality(docs, table(spark, d, "labels").where(~held_out()))
+    return quality.score_quality(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def op9_weighted_sampling(spark, d):
@@ -75,8 +77,8 @@ def op9_weighted_sampling(spark, d):
 
 def op10_language_id(spark, d):
     docs = table(spark, d, "documents")
-    model = language.fit_language(docs.where(~HELD_OUT))
-    return language.identify_language(docs.select("doc_id", "text"), model).select("doc_id", HELD_OUT.alias("held_out"), "lang_pred", "score")
+    model = language.fit_language(docs.where(~held_out()))
+    return language.identify_language(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def pipeline(spark, d):
