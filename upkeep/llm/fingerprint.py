@@ -1,14 +1,15 @@
 """Document fingerprints by consistent weighted sampling. DataFrame expressions only.
 
-A text's terms are its words, weighted by how often they stand in it. A term x of weight w draws, from a hash of x alone,
+A text's terms are its words, weighted by how often they stand in it. A term x of weight w draws, from a hash of x and the round,
 r and c from the Gamma(2, 1) distribution and b from [0, 1), and gets
 
     t = floor(ln w / r + b),   ln a = ln c - r (t - b) - r.
 
 The sample is the (x, t) of the least a. Two texts have the same sample with a chance of the sum of the lesser weights
-over the sum of the greater ones, their generalised Jaccard similarity. So that a term is drawn for once and not SAMPLES
-times, a hash deals the terms to SAMPLES bins and each bin gives a sample; the share of equal samples among bins that
-either text has terms in estimates the similarity, with a standard error of about 0.5 / sqrt(bins in use).
+over the sum of the greater ones, their generalised Jaccard similarity. There are ROUNDS such draws. So that a term is
+not drawn for as often as there are samples, a hash deals the terms to BINS bins and each bin gives ROUNDS samples; the
+share of equal samples among bins that either text has terms in estimates the similarity, with a standard error of about
+0.5 / sqrt(BINS * ROUNDS).
 
 Each candidate is one long, ln a in steps of 2 ** -32 above 24 bits of the sample's hash, so that the least of a bin is a
 plain minimum.
@@ -19,12 +20,12 @@ from pyspark.sql import functions as F
 
 from upkeep.llm.common import keyed, search, without, words, written
 
-SAMPLES, EMPTY = 64, 2**24 - 1
+BINS, ROUNDS, EMPTY = 8, 8, 2**24 - 1
 RANGE_ROWS = 1_000  # documents to a range of keys, about
 
 
-def signatures(rows: DataFrame, *keys: str, text: str = "text", samples: int = SAMPLES) -> DataFrame:
-    """(keys, signature): `samples` numbers of 24 bits for each row; keys name a row.
+def signatures(rows: DataFrame, *keys: str, text: str = "text", bins: int = BINS, rounds: int = ROUNDS) -> DataFrame:
+    """(keys, signature): `bins` times `rounds` numbers of 24 bits for each row; keys name a row.
 
     If `rows` are partitioned by some of the keys already, nothing moves: terms are counted and sampled where they are.
     A text without words has itself as its term; null is empty.
@@ -38,17 +39,19 @@ def signatures(rows: DataFrame, *keys: str, text: str = "text", samples: int = S
         """A number in (0, 1) from 31 bits of a hash."""
         return (F.shiftrightunsigned(h, first).bitwiseAND(F.lit(2**31 - 1)).cast("double") + 0.5) * F.lit(2.0**-31)
 
-    drawn = terms.select(*keys, "__term", F.log(F.col("__n").cast("double")).alias("__lnw"), F.xxhash64("__term", F.lit(1)).alias("__h"), F.xxhash64("__term", F.lit(2)).alias("__i"))
-    drawn = drawn.select(
-        *keys, "__term", "__lnw", F.pmod("__term", F.lit(samples)).cast("int").alias("__bin"),
-        (-F.log(unit(F.col("__h"), 0) * unit(F.col("__h"), 32))).alias("__r"), F.log(-F.log(unit(F.col("__i"), 0) * unit(F.col("__i"), 32))).alias("__lnc"),
-        unit(F.xxhash64("__term", F.lit(3)), 0).alias("__b"))
-    drawn = drawn.withColumn("__t", F.floor(F.col("__lnw") / F.col("__r") + F.col("__b")))
-    ln_a = F.col("__lnc") - F.col("__r") * (F.col("__t") - F.col("__b")) - F.col("__r")
-    name = F.pmod(F.xxhash64("__term", "__t"), F.lit(EMPTY))
-    least = drawn.select(*keys, "__bin", F.shiftleft((ln_a * F.lit(2.0**32)).cast("long"), 24).bitwiseOR(name).alias("__a")).groupBy(*keys, "__bin").agg(F.min("__a").alias("__a"))
-    bins = least.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__bin", F.col("__a").bitwiseAND(F.lit(2**24 - 1)).cast("int")))).alias("__bins"))
-    return bins.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.coalesce(F.try_element_at("__bins", i), F.lit(EMPTY))).alias("signature"))
+    def candidate(k: int) -> Column:
+        h, i, j = (F.xxhash64("__term", F.lit(3 * k + n)) for n in range(3))
+        r, ln_c, b = -F.log(unit(h, 0) * unit(h, 32)), F.log(-F.log(unit(i, 0) * unit(i, 32))), unit(j, 0)
+        t = F.floor(F.col("__lnw") / r + b)
+        name = F.pmod(F.xxhash64("__term", t), F.lit(EMPTY))
+        return F.shiftleft(((ln_c - r * (t - b) - r) * F.lit(2.0**32)).cast("long"), 24).bitwiseOR(name)
+
+    drawn = terms.select(*keys, F.pmod("__term", F.lit(bins)).cast("int").alias("__bin"), "__term", F.log(F.col("__n").cast("double")).alias("__lnw"))
+    least = drawn.groupBy(*keys, "__bin").agg(*[F.min(candidate(k)).alias(f"__m{k}") for k in range(rounds)])
+    names = F.array(*[F.col(f"__m{k}").bitwiseAND(F.lit(2**24 - 1)).cast("int") for k in range(rounds)])
+    whole = least.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__bin", names.alias("names")))).alias("__bins"))
+    none = F.array(*[F.lit(EMPTY)] * rounds)
+    return whole.select(*keys, F.flatten(F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.coalesce(F.try_element_at("__bins", i), none))).alias("signature"))
 
 
 def as_text(signature: Column) -> Column:
@@ -61,7 +64,7 @@ def likeness(one: Column, two: Column) -> Column:
     return F.size(F.filter(pairs, lambda p: p["x"] == p["y"])) / F.size(pairs)
 
 
-def fingerprint(docs: DataFrame, text: str = "text", samples: int = SAMPLES) -> DataFrame:
+def fingerprint(docs: DataFrame, text: str = "text", bins: int = BINS, rounds: int = ROUNDS) -> DataFrame:
     """`docs` with `signature` (array of int) and `fingerprint` (the same in hexadecimal).
 
     Equal texts have equal fingerprints and are sampled once; null is an empty text. An empty table gives an empty table;
@@ -69,7 +72,7 @@ def fingerprint(docs: DataFrame, text: str = "text", samples: int = SAMPLES) ->
     """
     docs = keyed(without(docs, "signature", "fingerprint"), text, text)
     once = docs.select("__a", "__b", F.col(f"`{text}`").alias("text")).dropDuplicates(["__a", "__b"])
-    made = signatures(once, "__a", "__b", text="text", samples=samples)
+    made = signatures(once, "__a", "__b", text="text", bins=bins, rounds=rounds)
     return docs.join(made, ["__a", "__b"]).drop("__a", "__b").withColumn("fingerprint", as_text(F.col("signature")))
 
 
@@ -96,11 +99,12 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     moved = rows.join(F.broadcast(guests), rows["key"].eqNullSafe(guests["k"]) & (rows["hash"] == guests["h"])).select(
         "key", "text", "hash", F.col("to").alias("part")).dropDuplicates(["part"])
     both = rows.withColumn("guest", F.lit(False)).unionByName(moved.withColumn("guest", F.lit(True)))
+    both = both.repartition(parts, "part")  # small tasks, so that terms are counted in memory
     own = Window.partitionBy("part").orderBy("guest", F.desc_nulls_last("key"), F.desc("hash"))
     return both.select("part", F.row_number().over(own).alias("row"), "guest", "key", "text", F.lead("text").over(own).alias("next_text"))
 
 
-def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", bins: int = BINS, rounds: int = ROUNDS) -> DataFrame:
     """Per row: key, `n_chars`, `edited_sha256`, `signature`, `edited_signature`, `next_signature`.
 
     The edited text has the first half of the row's text and, for the other half, as many first characters of the next
@@ -113,7 +117,7 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     rows = rows.select("part", "row", "guest", "key", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     both = rows.select("part", "row", F.explode(F.when(F.col("guest"), F.array(F.struct(F.lit(0).alias("kind"), "text"))).otherwise(
         F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))))).alias("v")).select("part", "row", "v.*")
-    made = signatures(both, "part", "row", "kind", samples=samples)
+    made = signatures(both, "part", "row", "kind", bins=bins, rounds=rounds)
     pair = made.groupBy("part", "row").agg(F.max(F.when(F.col("kind") == 0, F.col("signature"))).alias("signature"), F.max(F.when(F.col("kind") == 1, F.col("signature"))).alias("edited_signature"))
     pair = pair.withColumn("next_signature", F.lead("signature").over(Window.partitionBy("part").orderBy("row")))
     info = rows.where(~F.col("guest")).select("part", "row", F.col("key").alias(key), "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
