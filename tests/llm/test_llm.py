@@ -129,8 +129,7 @@ def test_edit_similar_equals_dynamic_programming():
         assert neardup.edit_similar(x, y, 0.8) == (d[-1] <= int(0.2 * max(len(x), len(y)) + 1e-9))
 
 
-def test_near_classes_rest_of_large_buckets(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "REST", 1)
+def test_near_classes_with_a_common_passage(spark):
     base = [f"w{i}" for i in range(200)]
     texts = [" ".join(base[:60] + [f"{k}x{i}" for i in range(60)] + ([f"e{n}"] if n else [])) for k in range(12) for n in range(3)]
     got = neardup.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()

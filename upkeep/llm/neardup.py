@@ -6,11 +6,13 @@ texts share it with about the chance J ** take, and not when the sampled terms a
 get keys of single terms besides, since one word more changes all their samples.
 
 Equal word sequences are one node. In a bucket every node is held against the least node: linear, however large the
-group. What is still in different classes after that is held against each other, node by node; where such a rest
-of a bucket is large, only nodes that share a key of another band as well, which texts alike enough do.
+group. Where a bucket still holds several classes after that, as a common passage makes them, its nodes are held
+against the least node of those that share the keys of two bands. Two texts of which 0.8 of the terms are the same share
+about half of the keys, so that one that neither way brings together is rarer than one in 100 000.
 
 A pair is alike if `similarity` of the words of the longer text stand in an alignment with the other: one less the
-edit distance of the words, computed along the diagonals near the main one only. Texts of which 0.8 of the five-word
+edit distance of the words, computed on the diagonals near the main one only, all of a column at once in the bits of
+integers. Texts of which 0.8 of the five-word
 shingles are the same differ in about 2 words in 100; an edit similarity of 0.8 takes in copies edited more than that.
 """
 
@@ -26,7 +28,7 @@ from upkeep.llm.graph import components
 
 SHINGLE, TAKE, BANDS = 5, 3, 20
 FEW, SINGLE_BANDS = 16, 8  # texts of at most so many terms get so many keys of one term each
-REST = 64  # a bucket's rest of more nodes is split by a second band
+NEXT = 3
 MADE = ("class_id", "class_size", "is_first")
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[48:58] = _IS_WORD[97:123] = _IS_WORD[128:] = True
@@ -84,16 +86,13 @@ def order_keys(words: np.ndarray, seeds: np.ndarray) -> np.ndarray:
 
 
 def edit_similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
-    """Whether the edit distance of two word sequences is at most (1 - similarity) of the longer one's length.
-
-    Furthest-reaching points, diagonal by diagonal: e errors reach the 2 e + 1 diagonals around the main one only.
-    """
+    """Whether the edit distance of two word sequences is at most (1 - similarity) of the longer one's length."""
     if len(x) > len(y):
         x, y = y, x
     most = int((1 - similarity) * len(y) + 1e-9)
     if len(y) - len(x) > most:
         return False
-    same = min(len(x), len(y))
+    same = len(x)
     head = np.flatnonzero(x != y[:same])
     head = int(head[0]) if len(head) else same
     x, y = x[head:], y[head:]
@@ -106,31 +105,34 @@ def edit_similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
     of_x, of_y = np.bincount(n[: len(x)], minlength=len(both)), np.bincount(n[len(x) :], minlength=len(both))
     if len(y) - np.minimum(of_x, of_y).sum() > most:  # each word without a partner costs an edit
         return False
-    x, y = n[: len(x)].astype(np.int32), n[len(x) :].astype(np.int32)
-    ends: dict[int, np.ndarray] = {}
-
-    def run(d: int, i: int) -> int:
-        """The first place from i where x differs from y, d further on."""
-        if d not in ends:
-            lo, hi = max(0, -d), min(len(x), len(y) - d)
-            ends[d] = np.append(np.flatnonzero(x[lo:hi] != y[lo + d : hi + d]) + lo, hi)
-        at = ends[d]
-        return int(at[min(np.searchsorted(at, i), len(at) - 1)])
-
-    goal, reach = len(y) - len(x), {0: run(0, 0)}
-    for e in range(most + 1):
-        if reach.get(goal, -1) >= len(x):
-            return True
-        nxt = {}
-        for d in range(-e - 1, e + 2):
-            if abs(goal - d) > most - e:
-                continue  # cannot come back in time
-            i = max(reach.get(d, -2) + 1, reach.get(d - 1, -2), reach.get(d + 1, -2) + 1)
-            i = min(i, len(x), len(y) - d)
-            if i >= max(0, -d):
-                nxt[d] = run(d, i) if i < min(len(x), len(y) - d) else i
-        reach = nxt
-    return False
+    return banded_distance(n[: len(x)].tolist(), n[len(x) :].tolist(), most) <= most
+
+
+def banded_distance(x: list[int], y: list[int], most: int) -> int:
+    """The edit distance of x and y, x not the longer, if it is at most `most`; else a number above.
+
+    Column by column of y, bit b of each integer is row j - most + b of column j, so the band moves along the main
+    diagonal. `down` and `up` have the differences between neighbouring rows, `flat` the steps along a diagonal
+    that cost nothing; the distance is summed along the diagonal that ends in the last cell.
+    """
+    ahead = len(y) - len(x)
+    places: dict[int, int] = {}
+    for i, c in enumerate(x):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << (2 * most + 1)) - 1
+    down, up, distance, goal = full ^ ((1 << most) - 1), 0, ahead, most - ahead
+    for j, c in enumerate(y, 1):
+        equal = places.get(c, 0)
+        equal = (equal << (most + 1 - j) if j <= most else equal >> (j - most - 1)) & full
+        flat = ((((equal & down) + down) ^ down) | equal | up) & full
+        right, left = up | (full & ~(flat | down)), flat & down
+        if j > ahead and not flat >> goal & 1:
+            distance += 1
+            if distance > most:
+                return distance
+        flat >>= 1
+        down, up = left | (full & ~(flat | right)), flat & right
+    return distance
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
@@ -218,14 +220,14 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _rest(buckets: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs of a bucket in different classes that were not held against each other yet."""
-    rows = written(_rooted(buckets.where("node <> least"), roots, "node", "root").select("band", "bucket", "node", "root"), "rest")
-    mixed_up = rows.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("nodes")).where("lo <> hi")
-    rows = rows.join(mixed_up.select("band", "bucket", "nodes"), ["band", "bucket"])
-    small = rows.where(F.col("nodes") <= REST).select(F.struct("band", "bucket", F.lit(-1).alias("also"), F.lit(0).cast("long").alias("too")).alias("at"), "node", "root")
-    other = buckets.select("node", F.col("band").alias("also"), F.col("bucket").alias("too"))
-    large = rows.where(F.col("nodes") > REST).join(other, "node").where("also > band").select(F.struct("band", "bucket", "also", "too").alias("at"), "node", "root")
-    rows = small.unionByName(large)
-    left = rows.select("at", F.col("node").alias("x"), F.col("root").alias("r"))
-    both = left.join(rows, "at").where("x > node and r <> root").select(F.col("x").alias("node"), F.col("node").alias("least")).distinct()
-    return both.join(pairs, ["node", "least"], "left_anti")
+    """Pairs for the nodes of buckets that still hold several classes: each with the least node of those that share
+    the keys of two bands, NEXT of them after each band. As many rows as nodes, whatever the buckets' sizes."""
+    rows = written(_rooted(buckets, roots, "node", "root").select("band", "bucket", "node", "root"), "rest")
+    several = rows.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "bucket")
+    nodes = written(rows.join(several, ["band", "bucket"]).select("node").distinct(), "several")
+    own = rows.join(nodes, "node")
+    other = own.select("node", F.col("band").alias("also"), F.col("bucket").alias("too"))
+    both = own.join(other, "node").where(f"also - band between 1 and {NEXT}")
+    key = ["band", "bucket", "also", "too"]
+    least = both.groupBy(*key).agg(F.min(F.struct("node", "root")).alias("least"), F.max("root").alias("hi"), F.min("root").alias("lo")).where("lo <> hi").select(*key, "least.node", "least.root").toDF(*key, "least", "top")
+    return both.join(least, key).where("root <> top").select("node", "least").distinct().join(pairs, ["node", "least"], "left_anti")
