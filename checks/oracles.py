@@ -325,7 +325,9 @@ _text = " UNION ALL ".join(
     + ["SELECT model, 'hypothesis', 'verdict', CASE WHEN recall >= 0.8 THEN 'NO FALSADA' ELSE 'FALSADA' END FROM flat"]
     + [f"SELECT NULL, 'intervals', '{v}_{u}', '{d} {t:.2f}'" for v, d, t, u in X.RULES])
 O["R4_metrics_long"] = base(_text, *FULL)
-O["R5_notebook_payload"] = base(f"SELECT model AS best, (SELECT bool_and(recall >= 0.8) FROM flat) AS verified FROM {_best}", *FULL)
+O["R5_notebook_payload"] = base(
+    f"SELECT (SELECT model FROM flat ORDER BY round(f1, 4) DESC, ordinal LIMIT 1) AS mejor_modelo, (SELECT bool_and(recall >= 0.8) FROM flat) AS hipotesis_verificada, "
+    f"CAST(0.8 AS DOUBLE) AS recall_minimo_hipotesis, model, {r('recall', 4)} AS recall, {r('f1', 4)} AS f1, tp FROM flat", *FULL)
 O["S10_metrics_json"] = base(
     f"SELECT model, (SELECT model FROM {_best}) AS mejor_modelo, (SELECT recall >= 0.8 FROM {_best}) AS hipotesis_verificada, {r('recall', 4)} AS recall, tp, fp FROM flat", *FULL)
 

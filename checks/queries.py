@@ -691,5 +691,6 @@ def _(spark, d):
 
 @query("R5_notebook_payload")
 def _(spark, d):
-    doc = publish.notebook_payload(records(spark, d), rules=X.RULES)
-    return doc.select(F.col("mejor_modelo").alias("best"), F.col("hipotesis.verificada").alias("verified"))
+    doc = publish.notebook_payload(records(spark, d))
+    return doc.select("mejor_modelo", "hipotesis_verificada", "recall_minimo_hipotesis", F.inline(F.transform(
+        F.map_entries("modelos"), lambda e: F.struct(e["key"].alias("model"), e["value"]["recall"].alias("recall"), e["value"]["f1"].alias("f1"), e["value"]["confusion_matrix"]["tp"].alias("tp")))))

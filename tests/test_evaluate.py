@@ -120,7 +120,7 @@ def test_documents(spark):
     assert (fpr[0], tpr[0], fpr[-1], tpr[-1]) == (0.0, 0.0, 1.0, 1.0) and fpr == sorted(fpr) and tpr == sorted(tpr)
     assert doc["hipotesis"]["intervalos"]["torque_Nm"] == "> 45.95"
     assert doc["modelos"]["a"]["hipotesis"]["verificada"] is False
-    assert publish.notebook_payload(rec).first()["hipotesis"]["verificada"] is False
+    assert publish.notebook_payload(rec).first()["hipotesis_verificada"] is False
     assert len(publish.metrics_table(rec.drop("feature_importance")).columns) == 21
     long = publish.metrics_long(rec).where("section = 'importance' AND model = 'a'").collect()
     assert {(r["name"], r["value"]) for r in long} == {("x", "0.2000"), ("z", "0.8000")}

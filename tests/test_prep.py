@@ -152,3 +152,13 @@ def test_smote_needs_more_rows_than_neighbours(spark):
     df = table(spark, {0: 20, 1: 5}).withColumn("a", F.rand(1))
     with pytest.raises(ValueError, match="more than k=5"):
         smote(df, "k", ["a"], "y")
+
+
+def test_null_labels_are_split_as_a_class(spark):
+    from pyspark.sql import functions as F
+
+    from upkeep.operators import prep
+
+    df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") >= 100, F.col("id") % 2).alias("y"))
+    got = prep.stratified_split(df, "k", "y")
+    assert got.where("split = 'test'").count() == 200 and got.where("split = 'test' and y is null").count() == 20

@@ -110,3 +110,10 @@ def test_codes_of_many_categories(spark, monkeypatch):
     names = sorted({f"c{i}" for i in range(500)})
     for got in (few, many):
         assert got.sort_values("code")["c"].tolist() == names and sorted(got["code"]) == list(range(500))
+
+
+def test_rules_without_failures_are_to_be_reviewed(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 0)], "f1 double, failure int")
+    got = profile.validate_intervals(df, [("f1", ">", 1.0, "Nm")], "failure")
+    assert [(r["ok"], r["q1"]) for r in got.collect()] == [(False, None)]
+    assert profile.intervals_concordant(got).first()["concordant"] is False

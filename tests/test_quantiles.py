@@ -51,3 +51,13 @@ def test_running_totals_over_many_values(spark):
     by = want.groupby("g")["w"]
     assert (got["w_below"] == by.cumsum() - want["w"]).all()
     assert got["w_next"].fillna(-1).tolist() == by.shift(-1).fillna(-1).tolist()
+
+
+def test_many_groups(spark):
+    from pyspark.sql import functions as F
+
+    from upkeep.operators.quantiles import quantiles
+
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("g"), F.floor(F.col("id") / 20_000).cast("double").alias("value"))
+    got = quantiles(df, ["g"], [0.5], ["median"])
+    assert got.count() == 20_000 and got.where("median <> 1").count() == 0

@@ -33,8 +33,11 @@ RAW_TYPES = {
     "RNF": T.IntegerType(),
 }
 
-# Words of a CSV cell that mean "no value" in a typed column, besides an empty cell.
-MISSING = ["#N/A", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+# Words of a CSV cell that mean "no value", besides an empty cell.
+MISSING = [
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+]
 
 FEATURES = ["temp_aire", "temp_proceso", "vel_rotacion", "torque", "desgaste", "tipo_cod"]
 OPERATING = FEATURES[:5]

@@ -62,7 +62,7 @@ def histogram_by_class(df: DataFrame, features: list = None, label: str = D.TARG
     p = F.col("p")
     label_of = F.when(p < 0.001, "(p<0.001 ***)").otherwise(F.format_string("(p=%.3f)", p))
     tests = t_test_by_class(df, features, label).select("variable", label_of.alias("p_label"))
-    return out.join(bounded(tests, "features"), "variable")
+    return out.join(tests, "variable")
 
 
 def histogram_by_category(df: DataFrame, variable: str = "desgaste", category: str = D.CATEGORY, label: str = D.TARGET, bins: int = 30) -> DataFrame:
@@ -78,7 +78,7 @@ def boxplot_stats(df: DataFrame, features: list = None, label: str = D.TARGET, m
     box = quantiles(long, group, [0.25, 0.5, 0.75], ["q1", "median", "q3"], method=method)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     v, low, high = F.col("value"), F.col("q1") - reach, F.col("q3") + reach
-    out = long.join(bounded(box, "feature classes"), group).groupBy(*group, "q1", "median", "q3").agg(
+    out = long.join(box, group).groupBy(*group, "q1", "median", "q3").agg(
         F.min(F.when(v >= low, v)).alias("__lo"), F.max(F.when(v <= high, v)).alias("__hi"),
         F.count_if((v < low) | (v > high)).alias("outliers"), F.count(F.lit(1)).alias("n"),
     )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
-from upkeep.operators.bounds import bounded
 from upkeep.operators.running import running_totals
 
 CELLS = ["tn", "fp", "fn", "tp"]
@@ -91,7 +90,7 @@ def roc_curve(scored: DataFrame, label: str = "label", digits: int = None) -> Da
     )
     first = F.col("pos_below") + F.col("neg_below") == 0
     kept = run.where(first | F.col("__step_next").isNull() | (F.col("__step_next") != F.col("__step")))
-    points = kept.join(bounded(totals, "models"), "model").select(
+    points = kept.join(totals, "model").select(
         "model", F.col("probability").alias("threshold"),
         S.ratio(F.col("neg_below") + F.col("neg"), "__n").alias("fpr"),
         S.ratio(F.col("pos_below") + F.col("pos"), "__p").alias("tpr"),
@@ -157,11 +156,11 @@ def all_models_pass(checked: DataFrame) -> DataFrame:
 
 def flat_metrics(scored: DataFrame, label: str = "label", cv: DataFrame = None, min_recall: float = D.MIN_RECALL) -> DataFrame:
     """One unrounded row per model: cells, metrics, AUC, cross-validation, verdict."""
-    rows = binary_metrics(confusion(scored, label)).join(bounded(roc_auc(scored, label), "models"), "model")
+    rows = binary_metrics(confusion(scored, label)).join(roc_auc(scored, label), "model")
     if cv is None:
         rows = rows.withColumns({c: F.lit(None).cast("double") for c in ("cv_f1_mean", "cv_f1_std")})
     else:
-        rows = rows.join(bounded(cv, "models"), "model", "left")
+        rows = rows.join(cv, "model", "left")
     return rows.withColumn("verified", F.col("recall") >= min_recall)
 
 
@@ -182,7 +181,7 @@ def evaluate_models(
     ])
     rows = flat.withColumn("por_clase", sides)
     if with_roc:
-        rows = rows.join(bounded(roc_arrays(roc_curve(scored, label)), "models"), "model", "left")
+        rows = rows.join(roc_arrays(roc_curve(scored, label)), "model", "left")
     else:
         rows = rows.withColumns({c: F.lit(None).cast("array<double>") for c in ("fpr", "tpr")})
     return rows.select(
@@ -203,7 +202,7 @@ def merge_previous_metrics(current: DataFrame, previous: DataFrame, carried: lis
     """Current rows with the carried fields of the stored row of the same model, where it has them."""
     fields = [c for c in (carried or CARRIED) if c in previous.columns]
     stored = previous.select("model", *[F.col(c).alias(f"__{c}") for c in fields])
-    joined = current.join(bounded(stored, "stored models"), "model", "left")
+    joined = current.join(stored, "model", "left")
     merged = {c: F.coalesce(F.col(f"__{c}"), F.col(c)) if c in current.columns else F.col(f"__{c}") for c in fields}
     return joined.withColumns(merged).select(*current.columns, *[c for c in fields if c not in current.columns])
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
-from upkeep.operators.bounds import bounded
 from upkeep.operators.columns import by_mode, rules_table
 from upkeep.operators.infer import class_moments, t_statistics, two_sided_p
 from upkeep.operators.quantiles import long_values, per_variable, quantiles
@@ -71,7 +70,7 @@ def class_stats(df: DataFrame, features: list = None, label: str = D.TARGET, met
         df, [label], features or D.FEATURES, lambda v: [F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std")]
     ).where("n > 0")
     quart = quantiles(long, group, _Q, _Q_NAMES, method=method)
-    return moments.join(bounded(quart, "feature classes"), group)
+    return moments.join(quart, group)
 
 
 def class_contrast(df: DataFrame, features: list = None, label: str = D.TARGET, method: str = "exact", with_p: bool = True) -> DataFrame:
@@ -83,7 +82,7 @@ def class_contrast(df: DataFrame, features: list = None, label: str = D.TARGET,
         F.max(F.when(F.col(label) == c, F.col(q))).alias(f"{q}_{name}")
         for q in ("q1", "q3") for c, name in ((0, "normal"), (1, "failure"))
     ])
-    out = tests.join(bounded(sides, "features"), "variable").select(
+    out = tests.join(sides, "variable").select(
         "variable",
         F.col("mean0").alias("mean_normal"), F.col("mean1").alias("mean_failure"),
         (F.col("mean1") - F.col("mean0")).alias("delta"),
@@ -100,7 +99,7 @@ def describe_features(df: DataFrame, features: list = None, method: str = "exact
     base = per_variable(df, [], features or D.FEATURES, lambda v: [
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
     ])
-    quart = bounded(quantiles(long, ["variable"], _Q, _Q_NAMES, method=method), "features")
+    quart = quantiles(long, ["variable"], _Q, _Q_NAMES, method=method)
     return base.join(quart, "variable", "left")
 
 
@@ -112,7 +111,7 @@ def mode_intervals(df: DataFrame, features: list = None, modes: list = None, met
     base = per_variable(
         hits, ["mode"], features or D.FEATURES, lambda v: [F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max")]
     )
-    return base.join(bounded(quantiles(long, group, _Q, _Q_NAMES, method=method), "modes"), group)
+    return base.join(quantiles(long, group, _Q, _Q_NAMES, method=method), group)
 
 
 def failure_q1_zones(df: DataFrame, features: list = None, label: str = D.TARGET, falling=D.FALLING_RISK, method: str = "exact") -> DataFrame:
@@ -126,12 +125,13 @@ def validate_intervals(df: DataFrame, rules: list = None, label: str = D.TARGET,
     """Rules checked against the observed first quartile among failures, rounded to 2 digits."""
     rules = rules or D.RISK_RULES
     long = long_values(df.where(F.col(label) == 1), [], [r[0] for r in rules])
-    table = F.broadcast(rules_table(df.sparkSession, rules))  # one row per rule given
+    table = rules_table(df.sparkSession, rules)
     q1 = quantiles(long, ["variable"], [0.25], ["q1"], method=method).withColumn("q1", F.round("q1", 2))
     ok = F.when(F.col("direction") == ">", F.col("q1") >= F.col("threshold") * (1 - tol)).otherwise(
         F.col("q1") <= F.col("threshold") * (1 + tol)
     )
-    return q1.join(table, "variable").select(
+    ok = F.coalesce(ok, F.lit(False))  # without failures there is no quartile, and the rule is to be reviewed
+    return table.join(q1, "variable", "left").select(
         "variable", "direction", "threshold", "unit", "q1", ok.alias("ok"),
         F.when(ok, D.RULE_OK).otherwise(D.RULE_REVIEW).alias("status"),
         S.ratio(F.abs(F.col("q1") - F.col("threshold")), "threshold", 100).alias("margin_pct"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
-from upkeep.operators.choose import select_best
+from upkeep.operators.choose import best_by_f1, select_best
 from upkeep.operators.profile import class_distribution, mode_frequency
 
 
@@ -116,15 +116,15 @@ def dashboard_payload(
     )
 
 
-def notebook_payload(records: DataFrame, info: DataFrame = None, rules: list = None, min_recall: float = D.MIN_RECALL) -> DataFrame:
-    """The variant whose verdict asks every model to pass."""
-    return dashboard_payload(records, info, rules, min_recall, all_must_pass=True)
+def notebook_payload(records: DataFrame, meta: dict = None, min_recall: float = D.MIN_RECALL) -> DataFrame:
+    """The run record whose chosen model is the best F1, gate or no gate, and whose verdict asks every model to pass."""
+    return run_record(records, meta, min_recall, all_must_pass=True, gated=False)
 
 
-def run_record(records: DataFrame, meta: dict = None, min_recall: float = D.MIN_RECALL, all_must_pass: bool = False) -> DataFrame:
+def run_record(records: DataFrame, meta: dict = None, min_recall: float = D.MIN_RECALL, all_must_pass: bool = False, gated: bool = True) -> DataFrame:
     """One row: meta, time, chosen model, its verdict (or that of all) and model -> record."""
     records = _ordered(records)
-    best = _best_name(records, min_recall)
+    best = _best_name(records, min_recall) if gated else best_by_f1(records.select("model", "f1", "ordinal")).agg(F.first("model")).scalar()
     drop = {"ordinal", "model"}
     body = F.struct(*[c for c in records.columns if c not in drop])
     one = records.agg(

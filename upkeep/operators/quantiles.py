@@ -10,7 +10,7 @@ rows of a wanted cell, about n / 600 000 of a group, are grouped by value and or
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upkeep.operators.bounds import bounded
+from upkeep.operators.bounds import settle
 
 ACCURACY = 10_000
 WIDTHS = 256  # equal-width cells between two bracket ends
@@ -64,23 +64,18 @@ def quantiles(
         cell = (F.col("__at") * WIDTHS + F.coalesce(part, F.lit(0))).cast("int")
         return placed.withColumn("__seg", F.coalesce(cell, F.lit(0)))
 
-    # the sketch and the wanted ranks are each read twice; Spark reuses their broadcasts
-    sketch = bounded(
-        long.groupBy(*group).agg(F.percentile_approx("__v", bracket, accuracy).alias("__s")), "quantile groups"
-    )
+    # both are read twice; written, their size is known, and Spark broadcasts them or not by it
+    sketch = settle(long.groupBy(*group).agg(F.percentile_approx("__v", bracket, accuracy).alias("__s")))
     segments = place(sketch).groupBy(*group, "__seg").agg(F.count(F.lit(1)).alias("__c"))
     whole, w = Window.partitionBy(*group), Window.partitionBy(*group).orderBy("__seg")
     spots = [f(F.col("__n"), p) for p in probs for f in (_below, _above)]
-    wanted = bounded(
-        segments.withColumn("__n", F.sum("__c").over(whole))
+    wanted = settle(segments.withColumn("__n", F.sum("__c").over(whole))
         .withColumn("__before", F.sum("__c").over(w) - F.col("__c"))
         .withColumn("__ranks", F.array_distinct(F.filter(
             F.transform(F.array(*spots), lambda r: r - F.col("__before")), lambda r: (r >= 1) & (r <= F.col("__c"))
         )))
         .where(F.size("__ranks") > 0)
-        .select(*group, "__seg", "__n", "__before", "__ranks"),
-        "quantile cells",
-    )
+        .select(*group, "__seg", "__n", "__before", "__ranks"))
     inner = Window.partitionBy(*group, "__seg").orderBy("__v")
     found = (
         place(sketch).join(wanted, [*group, "__seg"])

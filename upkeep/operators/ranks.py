@@ -54,18 +54,20 @@ def segment_rows(df: DataFrame, key: str, group: str, ranks, cuts: int, seed, ou
             F.transform("ranks", lambda r: r - F.col("__before")), lambda r: (r >= 1) & (r <= F.col("__n"))
         )))
         .where(F.size("__in") > 0)
-        .select(group, "__b", "__in")
+        .select(F.col(group).alias("__g"), F.col("__b").alias("__at"), "__in")
     )
+    at = bounded(at, "cut buckets")
     w = Window.partitionBy(group, "__b").orderBy("__h", key)
     found = (
-        slim.join(bounded(at, "cut buckets"), [group, "__b"])
+        slim.join(at, slim[group].eqNullSafe(at["__g"]) & (slim["__b"] == at["__at"])).select(*slim.columns, "__in")
         .withColumn("__r", F.row_number().over(w))
         .where(F.array_contains("__in", F.col("__r").cast("bigint")))
     )
     # a cut of rank 0 has no row and so lies before every row; where ranks repeat, the cut
     # row of the repeats is the class's last, before which nothing changes
     table = found.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("__h", F.col(key).alias("__k")))).alias("__cuts"))
-    joined = df.join(bounded(table, "classes"), group, "left").withColumn(
+    table = bounded(table.select(F.col(group).alias("__g"), "__cuts"), "classes")
+    joined = df.join(table, df[group].eqNullSafe(table["__g"]), "left").withColumn(
         "__me", F.struct(draw(seed, key).alias("__h"), F.col(key).alias("__k"))
     )
     ahead = sum(

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from upkeep.operators.bounds import bounded
+from upkeep.operators.bounds import settle
 
 RANGES = 1024  # a power of two
 
@@ -55,7 +55,7 @@ def running_totals(
             *[F.lead(f).over(inner).alias(f"__in_{f}_next") for f in follow],
             *([F.lead(F.lit(1)).over(inner).alias("__more")] if follow else []),
         )
-        .join(bounded(ranges, "value ranges", 64 * RANGES), [*group, "__range"])
+        .join(settle(ranges), [*group, "__range"])
         .select(
             *df.columns,
             *[(F.col(f"__{s}") + F.col(f"__in_{s}")).alias(f"{s}_below") for s in sums],

@@ -24,7 +24,7 @@ def read_readings(spark: SparkSession, path: str, types: dict = None) -> DataFra
 
     Types are given by name, never inferred: only the header is read before the scan. A cell that
     does not parse fails the job; the words for a missing value give null. Columns without a given
-    type stay strings.
+    type stay strings. An integer may be written with a fraction of zero.
     """
     if path.rstrip("/").endswith(".parquet"):
         df = _missing_as_file_error(lambda: spark.read.parquet(path), path)
@@ -35,11 +35,18 @@ def read_readings(spark: SparkSession, path: str, types: dict = None) -> DataFra
 
     def typed(c):
         cell = F.trim(F.col(f"`{c}`"))
-        return F.when(~cell.isin(D.MISSING), cell).cast(types[c]).alias(c)
-
-    return df.select(*[
-        typed(c) if c in types and types[c].typeName() != "string" else F.col(f"`{c}`") for c in df.columns
-    ])
+        known = F.when(~cell.isin(D.MISSING), cell)
+        if types[c].typeName() not in ("integer", "long"):
+            return known.cast(types[c]).alias(c)
+        number = known.cast("double")  # 108.0 is the integer 108; a fraction is an error
+        whole = F.when(number == F.floor(number), number.cast(types[c]))
+        return F.when(number.isNull() | whole.isNotNull(), whole).otherwise(
+            F.raise_error(F.concat(F.lit(f"{c}: not an integer: "), cell)).cast(types[c])).alias(c)
+
+    def said(c):
+        return F.when(~F.trim(F.col(f"`{c}`")).isin(D.MISSING), F.col(f"`{c}`")).alias(c)
+
+    return df.select(*[typed(c) if c in types and types[c].typeName() != "string" else said(c) for c in df.columns])
 
 
 def load_readings(spark: SparkSession, path: str) -> DataFrame:
