@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from upkeep.llm import decontaminate, mixing, neardup, quality, suffix
 from upkeep.llm.common import written
-from upkeep.llm.queries import held_out, table, weighted
+from upkeep.llm.queries import held_out, table, weights
 
 REPEAT_BYTES = 256  # shorter than the query's 400, for passages of over 50 words
 
@@ -37,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with what the mix takes of each."""
-    return mixing.mix(weighted(spark, docs, sf_dir), quality="weight").drop("weight")
+    return mixing.mix(docs, quality=weights(spark, sf_dir))
 
 
 STAGES = [

@@ -201,7 +201,7 @@ def test_mix(spark, docs):
 
 
 def test_mix_odd_rows(odd):
-    got = mixing.mix(odd, quality="weight").collect()
+    got = mixing.mix(odd, quality=odd.select("doc_id", "weight")).collect()
     assert Counter(r["size"] for r in got) == Counter([0, 5, 0, 1, 1, 4, 4, 30000])
     assert {r["source_size"] for r in got if r["source"] is None} == {30000}
     assert mixing.mix(odd.limit(0)).count() == 0

@@ -42,24 +42,28 @@ def targets(sources: DataFrame, weights: tuple[float, ...], epochs: int = EPOCHS
     return rows.withColumn("target", F.least(cap.cast("double"), F.col("weight") * level))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", quality: str | None = None,
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", quality: DataFrame | None = None,
         weights: tuple[float, ...] = (1, 2, 3), seed: int = 42) -> DataFrame:
     """`docs` with `size` (words), `source_size`, `target` (of its source), `draw` and `taken` (words the mix takes).
 
-    `quality` names a column of weights above 0; null and other values count as 1. Taken is a multiple of the size:
+    `quality` is a table (key, weight) of weights above 0; without a row, null and other values count as 1, and of several
+    rows the least counts. It meets keys and sizes only, no texts. Taken is a multiple of the size:
     passes over the whole source, plus one for the documents that the rest takes, the last of them if at least half of
     it fits. Ties of draws are broken by key, then by the text's hash; rows that repeat both are taken alike only as far
     as the rest goes. A null text has size 0, a null source is a source, an empty table gives an empty table; columns of
     `docs` named as the new ones are replaced.
     """
-    drop = [m for m in MADE if m != (quality or "").lower()]
     hidden = ("__row", "__of", "__key", "__hash")
-    docs = without(docs, *drop, *hidden).withColumns({
+    docs = without(docs, *MADE, *hidden).withColumns({
         "__key": F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")), "__hash": F.xxhash64(F.col(f"`{text}`")), "__of": F.col(f"`{source}`")})
-    weight = F.col(f"`{quality}`").cast("double") if quality else F.lit(1.0)
-    weight = F.when(weight > 0, weight).otherwise(F.lit(1.0))
     u = (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), "__key")), 1, 13), 16, 10).cast("double") + 1) / F.lit(float(2**52 + 1))
-    slim = written(docs.select("__key", "__hash", F.col("__of").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), (-F.log(u) / weight).alias("draw")), "sizes")
+    slim = docs.select("__key", "__hash", F.col("__of").alias("source"), word_count(F.col(f"`{text}`")).alias("size"))
+    weight = F.lit(1.0)
+    if quality is not None:
+        k, w = quality.columns
+        marks = quality.select(F.col(f"`{k}`").cast("string").alias("__key"), F.col(f"`{w}`").cast("double").alias("__w")).where("__w > 0").groupBy("__key").agg(F.min("__w").alias("__w"))
+        slim, weight = slim.join(marks, "__key", "left"), F.coalesce("__w", F.lit(1.0))
+    slim = written(slim.select("__key", "__hash", "source", "size", (-F.log(u) / weight).alias("draw")), "sizes")
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     plan = written(targets(sizes, weights), "targets")
     rest = F.col("target") - F.floor(F.try_divide("target", "source_size")) * F.col("source_size")

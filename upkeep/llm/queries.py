@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upkeep.llm import chat, decontaminate, fingerprint, language, licenses, mixing, neardup, quality, suffix, warc
-from upkeep.llm.common import scratch_path, without
+from upkeep.llm.common import scratch_path
 
 def held_out() -> Column:
     """True for rows that no model learns from."""
@@ -31,15 +31,13 @@ def op3_warc_writer(spark, d):
 
 
 def op4_source_mixing(spark, d):
-    return mixing.mix(weighted(spark, table(spark, d, "documents").select("doc_id", "text", "source"), d), quality="weight").select(
+    return mixing.mix(table(spark, d, "documents").select("doc_id", "text", "source"), quality=weights(spark, d)).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
-def weighted(spark, docs, d):
-    """Documents with `weight`: 2 where labelled good, 0.5 where labelled bad, else 1."""
-    marks = table(spark, d, "labels").where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("__quality"))
-    docs = without(docs, "weight", "__quality")
-    return docs.join(marks, "doc_id", "left").withColumn("weight", F.when(F.col("__quality") == 1, 2.0).when(F.col("__quality") == 0, 0.5).otherwise(1.0)).drop("__quality")
+def weights(spark, d):
+    """(doc_id, weight): 2 for documents labelled good, 0.5 for those labelled bad."""
+    return table(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).alias("weight"))
 
 
 def op5_license_scan(spark, d):
