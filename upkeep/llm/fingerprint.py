@@ -96,8 +96,8 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     order = Window.orderBy(F.desc("part"))
     wrap = F.first("top").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     guests = tops.select(F.col("part").alias("to"), F.coalesce(F.lead("top").over(order), wrap).alias("top")).select("to", "top.key", "top.hash").toDF("to", "k", "h")
-    moved = rows.join(F.broadcast(guests), rows["key"].eqNullSafe(guests["k"]) & (rows["hash"] == guests["h"])).select(
-        "key", "text", "hash", F.col("to").alias("part")).dropDuplicates(["part"])
+    moved = rows.join(F.broadcast(guests), rows["key"].eqNullSafe(guests["k"]) & (rows["hash"] == guests["h"])).groupBy(
+        "key", "hash", F.col("to").alias("part")).agg(F.min("text").alias("text"))
     both = rows.withColumn("guest", F.lit(False)).unionByName(moved.withColumn("guest", F.lit(True)))
     both = both.repartition(parts, "part")  # small tasks, so that terms are counted in memory
     own = Window.partitionBy("part").orderBy("guest", F.desc_nulls_last("key"), F.desc("hash"))
