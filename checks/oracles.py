@@ -2,6 +2,7 @@
 
 from checks import fixture as X
 from checks.parts import AUC, CODED, FLAT, LONG, METRICS, READINGS, SCALED, SCORED, SIZES, SPLIT, with_
+from upkeep import defaults as D
 
 FE = X.FEATURES
 O = {}
@@ -91,10 +92,6 @@ tt AS (SELECT *, n0 + n1 - 2 AS df,
 _side = ", ".join(
     f"{r(f'quantile_cont(value, {p}) FILTER (failure = {c})', 5)} AS {n}_{s}"
     for n, p in (("q1", .25), ("q3", .75)) for c, s in ((0, "normal"), (1, "failure")))
-O["A4_class_contrast"] = base(
-    f"SELECT tt.variable, {r('mean0', 5)} AS mean_normal, {r('mean1', 5)} AS mean_failure, {r('mean1 - mean0', 5)} AS delta, "
-    f"s.* EXCLUDE (variable), {r('t', 5)} AS t, df FROM tt JOIN (SELECT variable, {_side} FROM long GROUP BY variable) s USING (variable)", LONG, _T)
-O["S9_write_stats_csv"] = O["A4_class_contrast"].replace(", 5) + 0.0", ", 6) + 0.0")
 O["T1_t_test_by_class"] = base(
     f"SELECT variable, n0, n1, {cols(['mean0', 'mean1'], 5)}, {r('t', 5)} AS t, df FROM tt", LONG, _T)
 _LENTZ = """start AS (SELECT variable, df / 2.0::DOUBLE AS a, 0.5::DOUBLE AS b, df / (df + t * t) AS x FROM tt),
@@ -110,6 +107,12 @@ tail AS (SELECT variable, abs(CAST(flip AS INTEGER) - exp(lgamma(a + b) - lgamma
 O["T1_p_values"] = "WITH RECURSIVE" + base(
     f"SELECT variable, {r('p', 5)} AS p, CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE 'n.s.' END AS stars FROM tail",
     LONG, _T, _LENTZ)[4:]
+_STARS = "CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE 'n.s.' END AS stars"
+O["A4_class_contrast"] = "WITH RECURSIVE" + base(
+    f"SELECT tt.variable, {r('mean0', 5)} AS mean_normal, {r('mean1', 5)} AS mean_failure, {r('mean1 - mean0', 5)} AS delta, "
+    f"s.* EXCLUDE (variable), {r('t', 5)} AS t, df, {r('p', 5)} AS p, {_STARS} FROM tt JOIN (SELECT variable, {_side} FROM long GROUP BY variable) s USING (variable) "
+    "JOIN tail USING (variable)", LONG, _T, _LENTZ)[4:]
+O["S9_write_stats_csv"] = O["A4_class_contrast"].replace(", 5) + 0.0", ", 6) + 0.0")
 _range = f"{r('min(value + 0.0)')} AS min, {r('max(value + 0.0)')} AS max"
 O["A5_describe_features"] = base(
     f'SELECT variable, count(*) AS "count", {r("avg(value)")} AS mean, {r("stddev_samp(value)")} AS std, {_range}, {_quart} FROM long GROUP BY 1'.replace(", 6)", ", 7)"), LONG)
@@ -184,7 +187,9 @@ hist AS (SELECT {', '.join('g.' + c for c in group)}, CAST(b.bin AS INTEGER) AS
   FROM rng g CROSS JOIN (SELECT unnest(range({bins})) AS bin) b LEFT JOIN cnt c ON {same} AND c.bin = b.bin)"""
 
 
-O["H1_histogram_by_class"] = base("SELECT * FROM hist", LONG, hist(["variable", "failure"], "long", 40))
+O["H1_histogram_by_class"] = "WITH RECURSIVE" + base(
+    "SELECT hist.*, CASE WHEN p < 0.001 THEN '(p<0.001 ***)' ELSE printf('(p=%.3f)', p) END AS p_label FROM hist JOIN tail USING (variable)",
+    LONG, _T, _LENTZ, hist(["variable", "failure"], "long", 40))[4:]
 O["H2_histogram_by_category"] = base(
     "SELECT * FROM hist", "f5s AS (SELECT kind, f5 AS value FROM readings WHERE failure = 1)", hist(["kind"], "f5s", 30))
 O["H3_boxplot_stats"] = base(
@@ -315,16 +320,19 @@ O["R2_dashboard_payload"] = base(
     f"SELECT model AS best, recall >= 0.8 AS verified, {r('recall', 4)} AS recall, 'rule_a,rule_b,rule_c' AS names, (SELECT count(*) FROM readings) AS total, "
     "(SELECT string_agg(printf('%.4f', round(f1, 4)), ',' ORDER BY ordinal) FROM flat) AS f1s, (SELECT fn FROM flat WHERE model = 'rule_b') AS rule_b_fn, "
     f"(SELECT CAST(count(*) AS INTEGER) FROM (SELECT DISTINCT round(fpr, 4), round(tpr, 4) FROM ({_curve}) WHERE model = 'rule_c')) AS rule_c_points, "
-    f"'< 3000.00' AS f2_rule FROM {_best}", *FULL)
+    f"'< 3000.00' AS f2_rule, '{{\"dataset\":\"readings\"}}' AS meta, '10.1/readings' AS doi FROM {_best}", *FULL)
 O["R3_dataset_info"] = base(
     f"SELECT count(*) AS total_registros, CAST(sum(failure) AS BIGINT) AS total_fallas, {r('sum(failure) / count(*) * 100', 2)} AS tasa_falla_pct, "
     + ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in X.MODES) + " FROM readings")
 _text = " UNION ALL ".join(
     [f"SELECT model, 'metrics' AS section, '{m}' AS name, printf('%.4f', round({m}, 4)) AS value FROM flat" for m in _five]
     + [f"SELECT model, 'confusion', '{c}', CAST({c} AS VARCHAR) FROM flat" for c in ("tp", "fn", "fp")]
+    + ["SELECT model, 'hypothesis', 'recall_minimo', '0.8' FROM flat", "SELECT model, 'hypothesis', 'recall_obtenido', printf('%.4f', round(recall, 4)) FROM flat",
+       "SELECT NULL, 'run', 'dataset', 'readings'", "SELECT NULL, 'run', 'recall_minimo', '0.8'", f"SELECT NULL, 'run', 'mejor_modelo', model FROM {_best}",
+       f"SELECT NULL, 'run', 'hipotesis', CASE WHEN recall >= 0.8 THEN 'NO FALSADA' ELSE 'FALSADA' END FROM {_best}"]
     + ["SELECT model, 'hypothesis', 'verdict', CASE WHEN recall >= 0.8 THEN 'NO FALSADA' ELSE 'FALSADA' END FROM flat"]
     + [f"SELECT NULL, 'intervals', '{v}_{u}', '{d} {t:.2f}'" for v, d, t, u in X.RULES])
-O["R4_metrics_long"] = base(_text, *FULL)
+O["R4_metrics_long"] = base(f"SELECT *, CAST(NULL AS INTEGER) AS rank FROM ({_text})", *FULL)
 O["R5_notebook_payload"] = base(
     f"SELECT (SELECT model FROM flat ORDER BY round(f1, 4) DESC, ordinal LIMIT 1) AS mejor_modelo, (SELECT bool_and(recall >= 0.8) FROM flat) AS hipotesis_verificada, "
     f"CAST(0.8 AS DOUBLE) AS recall_minimo_hipotesis, model, {r('recall', 4)} AS recall, {r('f1', 4)} AS f1, tp FROM flat", *FULL)
@@ -338,3 +346,24 @@ O["M3_gradient"] = " UNION ALL ".join(f"SELECT '{f}' AS variable, CAST(0 AS DOUB
 O["M5_importance_total"] = f"SELECT CAST({len(CODED)} AS BIGINT) AS n, CAST(1 AS DOUBLE) AS total"
 O["X1_stream_equals_batch"] = base(
     "SELECT count(*) AS n, CAST(0 AS BIGINT) AS differing FROM split WHERE split = 'test'", SIZES, SPLIT)
+O["M1_best_split"] = base(
+    f"SELECT variable, n, failures, lo, hi, {r('share1 / (share0 + share1)')} AS probability, CAST(share1 > share0 AS INTEGER) AS prediction FROM ("
+    f"SELECT variable, count(*) AS n, count(*) FILTER (failure = 1) AS failures, {r('min(value)')} AS lo, {r('max(value)')} AS hi, "
+    "count(*) FILTER (failure = 1) / any_value(tp) AS share1, count(*) FILTER (failure = 0) / any_value(tn - tp) AS share0 "
+    "FROM long JOIN best USING (variable) GROUP BY variable, value <= cut)",
+    LONG,
+    """cand AS (SELECT variable, value, count(*) AS n, sum(failure) AS p FROM long WHERE variable <> 'f2' GROUP BY 1, 2),
+run AS (SELECT *, sum(n) OVER w AS ln, sum(p) OVER w AS lp, sum(n) OVER (PARTITION BY variable) AS tn, sum(p) OVER (PARTITION BY variable) AS tp
+  FROM cand WINDOW w AS (PARTITION BY variable ORDER BY value)),
+share AS (SELECT *, lp / tp AS s1, (ln - lp) / (tn - tp) AS s0 FROM run WHERE ln < tn),
+best AS (SELECT variable, value AS cut, tp, tn FROM share ORDER BY s1 * s0 / (s1 + s0) + (1 - s1) * (1 - s0) / (2 - s1 - s0), variable, value LIMIT 1)""")
+O["M4_leaves_reached"] = base("SELECT 2 * max(n - n_test) AS n, 0 AS empty_leaves, 1 AS more_leaves, true AS within_depth FROM sizes", SIZES)
+O["M7_converged"] = "SELECT 1000 AS max_iterations, true AS converged"
+O["M9_set_params"] = "SELECT * FROM (VALUES ('maxDepth', '6'), ('impurity', 'gini'), ('seed', '42'), ('weightCol', 'weight')) v(param, value)"
+O["X1_prediction_rule"] = base(
+    "SELECT model, CAST(sum(n_test) AS BIGINT) AS n, max(n_test) FILTER (failure = 1) AS failures, CAST(0 AS BIGINT) AS broken "
+    "FROM sizes, (VALUES ('tree'), ('forest'), ('logistic')) v(model) GROUP BY model", SIZES)
+O["R4_trained_report"] = base(
+    f"SELECT model, (SELECT n_test FROM sizes WHERE failure = 1) AS failures, CAST(n AS BIGINT) AS n, sums_to_one, falling FROM (VALUES "
+    f"('{D.TREE}', {len(CODED)}, true, true), ('{D.FOREST}', {len(CODED)}, true, true)) v(model, n, sums_to_one, falling)", SIZES)
+O["V9_roc_all_points"] = base(f"SELECT model, CAST(count(*) AS INTEGER) AS points, CAST(count(*) AS INTEGER) AS points_tpr FROM ({_curve}) GROUP BY model", SCORED, AUC)

@@ -13,7 +13,6 @@ from upkeep.operators.train import fit_decision_tree, fit_logistic_regression, f
 
 LABEL = "failure"
 CODED = [*X.FEATURES, "kind_code"]
-FOREST_TREES = 12  # not the default 100: a registered query has to end in seconds
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -55,7 +54,7 @@ def tree(spark, d):
 
 
 def forest(spark, d):
-    return X.once(spark, d, "forest", lambda: fit_random_forest(ready(spark, d), trees=FOREST_TREES))
+    return X.once(spark, d, "forest", lambda: fit_random_forest(ready(spark, d)))
 
 
 def logistic(spark, d):

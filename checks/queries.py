@@ -122,7 +122,7 @@ def _(spark, d):
 @query("S9_write_stats_csv")
 def _(spark, d):
     path = scratch(spark)
-    out = profile.class_contrast(R(spark, d), FE, LABEL, with_p=False)
+    out = profile.class_contrast(R(spark, d), FE, LABEL)
     store.write_stats_csv(out, path)
     return rounded(spark.read.schema(out.schema).csv(path, header=True))
 
@@ -249,7 +249,7 @@ def _(spark, d):
 
 @query("A4_class_contrast")
 def _(spark, d):
-    return rounded(profile.class_contrast(R(spark, d), FE, LABEL, with_p=False), 5)
+    return rounded(profile.class_contrast(R(spark, d), FE, LABEL), 5)
 
 
 @query("A5_describe_features")
@@ -360,7 +360,7 @@ def _(spark, d):
 
 @query("H1_histogram_by_class")
 def _(spark, d):
-    return rounded(charts.histogram_by_class(R(spark, d), FE, LABEL, with_p=False))
+    return rounded(charts.histogram_by_class(R(spark, d), FE, LABEL))
 
 
 @query("H2_histogram_by_category")
@@ -455,6 +455,19 @@ def _(spark, d):
     return train.score(P.tree(spark, d), P.test_rows(spark, d), ["k", "label"], D.TREE)
 
 
+@query("M1_best_split")
+def _(spark, d):
+    """The two leaves of a tree of depth 1, classes weighed alike, on the raw features of few values."""
+    few = ["f1", "f3", "f4", "f5"]
+    rows = columns.select_features(R(spark, d), "k", few, LABEL)
+    stump = train.fit_decision_tree(rows, max_depth=1)
+    at = int(stump.featureImportances.toArray().argmax())
+    value = vector_to_array("features")[at]
+    out = stump.transform(rows).groupBy(vector_to_array("probability")[1].alias("probability"), F.col("prediction").cast("int").alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("failures"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+    return rounded(out.withColumn("variable", F.lit(few[at])))
+
+
 @query("M2_random_forest")
 def _(spark, d):
     return train.score(P.forest(spark, d), P.test_rows(spark, d), ["k", "label"], D.FOREST)
@@ -484,6 +497,16 @@ def _(spark, d):
     return train.tree_shape(spark, P.tree(spark, d))
 
 
+@query("M4_leaves_reached")
+def _(spark, d):
+    """Leaves of the fitted tree that no row of the training table falls in, and how far the counts are from a binary tree's."""
+    tree = P.tree(spark, d).copy().setLeafCol("leaf")
+    reached = tree.transform(P.ready(spark, d)).agg(F.count_distinct("leaf").alias("reached"), F.count(F.lit(1)).alias("n")).first()
+    shape = train.tree_shape(spark, tree)
+    return shape.select(F.lit(reached["n"]).alias("n"), (F.col("leaves") - F.lit(reached["reached"])).alias("empty_leaves"),
+                        (F.col("leaves") - F.col("inner_nodes")).alias("more_leaves"), (F.col("depth") <= D.TREE_DEPTH).alias("within_depth"))
+
+
 @query("M5_feature_importance")
 def _(spark, d):
     return train.feature_importance(spark, P.forest(spark, d), P.CODED)
@@ -505,9 +528,19 @@ def _(spark, d):
     return train.convergence(spark, P.logistic(spark, d))
 
 
+@query("M7_converged")
+def _(spark, d):
+    return train.convergence(spark, P.logistic(spark, d)).select("max_iterations", "converged")
+
+
+@query("M9_set_params")
+def _(spark, d):
+    return train.model_params(spark, P.tree(spark, d)).where(F.col("param").isin("maxDepth", "impurity", "seed", "weightCol"))
+
+
 @query("M8_oob_score")
 def _(spark, d):
-    return train.oob_score(P.ready(spark, d), "k", trees=4)
+    return train.oob_score(P.ready(spark, d), "k")
 
 
 @query("M9_model_params")
@@ -521,6 +554,14 @@ def _(spark, d):
     return train.score(model, P.split(spark, d), ["k", LABEL])
 
 
+@query("X1_prediction_rule")
+def _(spark, d):
+    """Test rows scored by each model, and how many break the rule: class 1 above one half, probabilities from 0 to 1."""
+    p = F.col("probability")
+    fine = p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("int"))
+    return P.model_scores(spark, d).groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("failures"), F.count_if(~fine).alias("broken"))
+
+
 @query("X1_score_stream")
 def _(spark, d):
     source, sink, mark = scratch(spark), scratch(spark), scratch(spark)
@@ -596,7 +637,7 @@ def _(spark, d):
 
 @query("V6_cv_f1")
 def _(spark, d):
-    fits = {D.TREE: lambda rows: train.fit_decision_tree(rows)}
+    fits = {D.TREE: train.fit_decision_tree, D.FOREST: train.fit_random_forest, D.LOGISTIC: train.fit_logistic_regression}
     return stages.cross_validated(P.balanced(spark, d), "k", fits, P.CODED, LABEL)
 
 
@@ -620,6 +661,12 @@ def _(spark, d):
     ), 4)
 
 
+@query("V9_roc_all_points")
+def _(spark, d):
+    made = evaluate.evaluate_models(X.scored(spark, d), LABEL, roc="all")
+    return made.select("model", F.size("curva_roc.fpr").alias("points"), F.size("curva_roc.tpr").alias("points_tpr"))
+
+
 @query("V9_evaluate_trained")
 def _(spark, d):
     return evaluate.flat_metrics(P.model_scores(spark, d)).drop("matrix")
@@ -668,16 +715,31 @@ def _(spark, d):
 
 @query("R2_dashboard_payload")
 def _(spark, d):
-    doc = publish.dashboard_payload(records(spark, d), publish.dataset_info(R(spark, d), LABEL, X.MODES), X.RULES)
+    info = publish.dataset_info(R(spark, d), LABEL, X.MODES, doi="10.1/readings")
+    doc = publish.dashboard_payload(records(spark, d), info, X.RULES, meta={"dataset": "readings", "_comment": "left out"})
     return doc.select(
         F.col("mejor_modelo").alias("best"), F.col("hipotesis.verificada").alias("verified"), F.col("hipotesis.mejor_recall").alias("recall"),
         F.array_join("comparacion.nombres", ",").alias("names"), F.col("dataset.total_registros").alias("total"),
         F.array_join(F.transform("comparacion.f1", lambda v: F.format_string("%.4f", v)), ",").alias("f1s"),
         F.col("confusion_matrices")["rule_b"]["fn"].alias("rule_b_fn"), F.size(F.col("roc_curves")["rule_c"]["fpr"]).alias("rule_c_points"),
-        F.col("hipotesis.intervalos")["f2_rpm"].alias("f2_rule"),
+        F.col("hipotesis.intervalos")["f2_rpm"].alias("f2_rule"), F.to_json("meta").alias("meta"), F.col("dataset.doi").alias("doi"),
     )
 
 
+@query("R4_trained_report")
+def _(spark, d):
+    """Report of the trained models: their importances by rank, and their cells on the test rows."""
+    models = {D.TREE: P.tree(spark, d), D.FOREST: P.forest(spark, d), D.LOGISTIC: P.logistic(spark, d)}
+    made = stages.evaluate(models, P.scaled(spark, d, "test"), "k", P.CODED, LABEL)
+    rows = settle(stages.published(made, rules=X.RULES)["report"])
+    imp = rows.where("section = 'importance'").withColumn("v", F.col("value").cast("double"))
+    falling = F.array_sort(F.collect_list(F.struct("rank", "v")))["v"]
+    imp = imp.groupBy("model").agg(F.count(F.lit(1)).alias("n"), (F.abs(F.sum("v") - 1) < 0.001).alias("sums_to_one"),
+                                   (F.sort_array(falling, asc=False) == falling).alias("falling"))
+    cells = rows.where("section = 'confusion' AND name IN ('tp', 'fn')").groupBy("model").agg(F.sum(F.col("value").cast("long")).alias("failures"))
+    return cells.join(imp, "model")
+
+
 @query("R3_dataset_info")
 def _(spark, d):
     info = publish.dataset_info(R(spark, d), LABEL, X.MODES)
@@ -686,7 +748,7 @@ def _(spark, d):
 
 @query("R4_metrics_long")
 def _(spark, d):
-    return publish.metrics_long(records(spark, d), X.RULES)
+    return publish.metrics_long(records(spark, d), X.RULES, {"dataset": "readings"})
 
 
 @query("R5_notebook_payload")

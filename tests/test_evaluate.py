@@ -124,3 +124,16 @@ def test_documents(spark):
     assert len(publish.metrics_table(rec.drop("feature_importance")).columns) == 21
     long = publish.metrics_long(rec).where("section = 'importance' AND model = 'a'").collect()
     assert {(r["name"], r["value"]) for r in long} == {("x", "0.2000"), ("z", "0.8000")}
+
+
+def test_roc_points(spark):
+    p, y = RNG.random(3_000), np.arange(3_000) % 2
+    df = scored(spark, p, y)
+    curve = evaluate.roc_curve(df)
+    every = evaluate.roc_arrays(curve, "all").first()
+    once = evaluate.roc_arrays(curve).first()
+    assert len(every["fpr"]) == curve.count() and len(once["fpr"]) == len(set(zip(every["fpr"], every["tpr"])))
+    assert every["fpr"] == sorted(every["fpr"]) and every["tpr"] == sorted(every["tpr"])
+    with pytest.raises(ValueError):
+        evaluate.roc_arrays(curve, "some")
+    assert evaluate.evaluate_models(df, roc=None).first()["curva_roc"]["fpr"] is None

@@ -149,3 +149,25 @@ def test_processed_round_trip(spark, tmp_path):
     assert tr.collect() == a.collect() == te.collect() and names == ["x"]
     with pytest.raises(FileNotFoundError):
         store.read_processed(spark, str(tmp_path / "none"))
+
+
+def test_records_carry_what_training_produced(spark, data, models):
+    features = [*X.FEATURES, "code"]
+    made = stages.evaluate(models, data["test"], "k", features, "failure", oob={"Bosque Aleatorio": 0.9})
+    got = {r["model"]: r for r in made.collect()}
+    tree, forest, line = (got[m] for m in models)
+    assert sum(tree["feature_importance"].values()) == pytest.approx(1, abs=1e-3) and set(forest["feature_importance"]) == set(features)
+    assert tree["num_hojas"] == train.tree_shape(spark, models["Árbol de Decisión"]).first()["leaves"] and tree["profundidad_real"] <= 6
+    assert forest["oob_score"] == 0.9 and forest["hiperparametros"]["n_estimators"] == "10" and forest["num_hojas"] is None
+    assert line["feature_importance"] is None and set(line["coeficientes"]) == set(features) and line["intercepto"] is not None
+    out = stages.published(made, meta={"dataset": "d", "_note": "x"})
+    assert out["dashboard"].first()["meta"] == {"dataset": "d"} and out["record"].first()["modelos"]["Bosque Aleatorio"]["oob_score"] == 0.9
+    ranks = out["report"].where("section = 'importance' AND model = 'Bosque Aleatorio'").orderBy("rank").collect()
+    assert [r["rank"] for r in ranks] == [1, 2, 3, 4, 5, 6] and [float(r["value"]) for r in ranks] == sorted(forest["feature_importance"].values(), reverse=True)
+    assert {r["name"] for r in out["report"].where("section = 'run'").collect()} == {"dataset", "mejor_modelo", "recall_minimo", "hipotesis"}
+
+
+def test_profile_stage(spark):
+    out = stages.profiled(X.readings(spark, DIR), X.FEATURES, "failure", X.MODES, X.RULES, ("f2",))
+    assert {k: v.count() for k, v in out.items()} == {
+        "classes": 1, "modes": 5, "contrast": 5, "describe": 5, "intervals": 25, "zones": 5, "rules": 5, "target": 5, "pairs": out["pairs"].count()}

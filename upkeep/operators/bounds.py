@@ -44,22 +44,16 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute `df` once, write it to the shared folder and read it from there.
 
     Several readers then do not repeat the work, the lineage is cut, and later scans prune
-    columns and know the table's size. With no shared folder the plan is returned as it is,
-    which costs time but not correctness.
+    columns and know the table's size. A cluster must name the folder in spark.checkpoint.dir.
     """
     folder = shared_dir(df.sparkSession)
     if folder is None:
-        return df
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{folder.rstrip('/')}/upkeep-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """`df` over at least as many tasks as there are cores.
-
-    Costs a shuffle only where the input has too few splits to use the cluster, as one small
-    file has; inputs of many files pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """`df` over as many tasks as there are cores, at the cost of a shuffle: for inputs of few files. Runs no job."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

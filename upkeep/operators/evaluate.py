@@ -102,13 +102,17 @@ def roc_curve(scored: DataFrame, label: str = "label", digits: int = None) -> Da
     return out.withColumns({c: F.round(c, digits) for c in ("fpr", "tpr")})
 
 
-def roc_arrays(curve: DataFrame) -> DataFrame:
-    """(model, fpr, tpr) as arrays of rates at 4 digits, each distinct point once.
+def roc_arrays(curve: DataFrame, points: str = "distinct") -> DataFrame:
+    """(model, fpr, tpr) as arrays of rates at 4 digits.
 
-    A monotone curve has at most 20 001 distinct points at 4 digits, so the arrays are bounded;
-    the full curve stays available as rows from `roc_curve`.
+    `points="distinct"` has each pair of rates once: a monotone curve has at most 20 001 of them, so the arrays are
+    bounded. `points="all"` repeats them as often as the curve does, as published documents of small data have them; its
+    arrays grow with the number of distinct scores. `roc_curve` has all points as rows.
     """
-    points = curve.select("model", F.round("fpr", 4).alias("f"), F.round("tpr", 4).alias("t")).distinct()
+    if points not in ("distinct", "all"):
+        raise ValueError(f"points is 'distinct' or 'all', not {points!r}")
+    rates = curve.select("model", F.round("fpr", 4).alias("f"), F.round("tpr", 4).alias("t"))
+    points = rates.distinct() if points == "distinct" else rates
     return points.groupBy("model").agg(F.array_sort(F.collect_list(F.struct("f", "t"))).alias("p")).select(
         "model", F.col("p.f").alias("fpr"), F.col("p.t").alias("tpr")
     )
@@ -165,11 +169,11 @@ def flat_metrics(scored: DataFrame, label: str = "label", cv: DataFrame = None,
 
 
 def evaluate_models(
-    scored: DataFrame, label: str = "label", cv: DataFrame = None, min_recall: float = D.MIN_RECALL, with_roc: bool = True
+    scored: DataFrame, label: str = "label", cv: DataFrame = None, min_recall: float = D.MIN_RECALL, roc: str = "distinct"
 ) -> DataFrame:
     """The nested metrics record of each model, scalars rounded to 4 digits.
 
-    Field names are those of the published metrics documents.
+    Field names are those of the published metrics documents. `roc` is `roc_arrays`' choice of points, None for no curve.
     """
     def r(c):
         return F.round(c, 4)
@@ -180,8 +184,8 @@ def evaluate_models(
         for x in (F.lit(name), F.struct(*[(e if c == "support" else F.round(e, 4)).alias(c) for c, e in side.items()]))
     ])
     rows = flat.withColumn("por_clase", sides)
-    if with_roc:
-        rows = rows.join(roc_arrays(roc_curve(scored, label)), "model", "left")
+    if roc:
+        rows = rows.join(roc_arrays(roc_curve(scored, label), roc), "model", "left")
     else:
         rows = rows.withColumns({c: F.lit(None).cast("array<double>") for c in ("fpr", "tpr")})
     return rows.select(

@@ -43,11 +43,11 @@ def metrics_table(records: DataFrame, min_recall: float = D.MIN_RECALL) -> DataF
     )
 
 
-def dataset_info(df: DataFrame, label: str = D.TARGET, modes: list = None, name: str = None) -> DataFrame:
+def dataset_info(df: DataFrame, label: str = D.TARGET, modes: list = None, name: str = None, doi: str = None) -> DataFrame:
     """One row: totals, failure rate at 2 digits, counts per mode; all computed from the data."""
     freq = mode_frequency(df, modes).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("mode", "n"))))).scalar()
     return class_distribution(df, label).select(
-        F.lit(name).cast("string").alias("nombre"), F.col("total").alias("total_registros"),
+        F.lit(name).cast("string").alias("nombre"), F.lit(doi).cast("string").alias("doi"), F.col("total").alias("total_registros"),
         F.col("failures").alias("total_fallas"), F.round("failure_pct", 2).alias("tasa_falla_pct"),
         F.array(*[F.lit(m) for m in (modes or D.MODES)]).alias("modos_falla"), freq.alias("frecuencias_modo"),
     )
@@ -60,6 +60,12 @@ def rules_map(rules: list = None):
     return F.create_map(*entries)
 
 
+def _meta(meta: dict = None):
+    """Entries whose names do not start with an underscore, as a map of text."""
+    pairs = [x for k, v in (meta or {}).items() if not k.startswith("_") for x in (F.lit(k), F.lit(str(v)))]
+    return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
+
+
 def _ordered(records):
     if "ordinal" in records.columns:
         return records
@@ -67,7 +73,8 @@ def _ordered(records):
 
 
 def dashboard_payload(
-    records: DataFrame, info: DataFrame = None, rules: list = None, min_recall: float = D.MIN_RECALL, all_must_pass: bool = False
+    records: DataFrame, info: DataFrame = None, rules: list = None, min_recall: float = D.MIN_RECALL, all_must_pass: bool = False,
+    meta: dict = None,
 ) -> DataFrame:
     """One row with one nested document: comparison arrays, ROC arrays, ranked importance of the
     chosen model, confusion, per class, hypothesis and data set. One row per model goes in."""
@@ -98,7 +105,7 @@ def dashboard_payload(
     verified = F.forall(m, lambda r: r["hipotesis"]["verificada"]) if all_must_pass else chosen["hipotesis"]["verificada"]
     fields = ["accuracy", "precision", "recall", "f1", "auc_roc"]
     return one.select(
-        F.current_timestamp().alias("generado_en"), F.lit("1.0").alias("version"), "dataset", F.col("best").alias("mejor_modelo"),
+        F.current_timestamp().alias("generado_en"), F.lit("1.0").alias("version"), _meta(meta).alias("meta"), "dataset", F.col("best").alias("mejor_modelo"),
         F.struct(
             F.lit(float(min_recall)).alias("recall_minimo"), verified.alias("verificada"), F.col("best").alias("mejor_modelo"),
             chosen["recall"].alias("mejor_recall"), rules_map(rules).alias("intervalos"),
@@ -132,32 +139,45 @@ def run_record(records: DataFrame, meta: dict = None, min_recall: float = D.MIN_
         F.bool_and("hipotesis.verificada").alias("__all"),
     ).withColumn("mejor_modelo", best)
     verified = F.col("__all") if all_must_pass else F.col("modelos")[F.col("mejor_modelo")]["hipotesis"]["verificada"]
-    meta = {k: v for k, v in (meta or {}).items() if not k.startswith("_")}
-    pairs = [x for k, v in meta.items() for x in (F.lit(k), F.lit(str(v)))]
     return one.select(
-        (F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")).alias("meta"),
+        _meta(meta).alias("meta"),
         F.current_timestamp().alias("generado_en"), "mejor_modelo", F.lit(float(min_recall)).alias("recall_minimo_hipotesis"),
         verified.alias("hipotesis_verificada"), "modelos",
     )
 
 
-def metrics_long(records: DataFrame, rules: list = None) -> DataFrame:
-    """The text report's content as (model, section, name, value) rows, values as text."""
+def metrics_long(records: DataFrame, rules: list = None, meta: dict = None, min_recall: float = D.MIN_RECALL) -> DataFrame:
+    """The text report's content as (model, section, name, rank, value) rows, values as text.
+
+    Section `run` has what holds for all models: `meta`, the chosen model, the minimum recall and the verdict.
+    Importances are ranked from the largest, equal ones by name; `rank` is null elsewhere.
+    """
     def t(c):
         return F.format_string("%.4f", F.col(c))
 
     rows = [
         *[("metrics", c, t(c)) for c in ("accuracy", "precision", "recall", "f1", "auc_roc", "cv_f1_mean", "cv_f1_std")],
         *[("confusion", c, F.col(f"confusion_matrix.{c}").cast("string")) for c in ("tp", "fn", "fp")],
+        ("hypothesis", "recall_minimo", F.col("hipotesis.recall_minimo").cast("string")),
+        ("hypothesis", "recall_obtenido", t("hipotesis.recall_obtenido")),
         ("hypothesis", "verdict", S.verdict("hipotesis.verificada")),
     ]
     entries = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(n).alias("name"), v.alias("value")) for s, n, v in rows])
     missing_cv = F.col("name").startswith("cv_") & (F.coalesce(F.col("__cv"), F.lit(0.0)) == 0)
     out = records.select("model", F.col("cv_f1_mean").alias("__cv"), F.inline(entries)).where(~missing_cv).drop("__cv")
+    out = out.withColumn("rank", F.lit(None).cast("int"))
     if "feature_importance" in records.columns:
-        imp = records.select("model", F.explode("feature_importance").alias("name", "v"))
-        out = out.unionByName(imp.select("model", F.lit("importance").alias("section"), "name", F.format_string("%.4f", "v").alias("value")))
+        pairs = F.transform(F.map_entries("feature_importance"), lambda e: F.struct((-e["value"]).alias("v"), e["key"].alias("name")))
+        imp = records.select("model", F.posexplode(F.array_sort(pairs)).alias("i", "e"))
+        out = out.unionByName(imp.select(
+            "model", F.lit("importance").alias("section"), "e.name", F.format_string("%.4f", -F.col("e.v")).alias("value"), (F.col("i") + 1).cast("int").alias("rank")))
+    run = run_record(records, meta, min_recall).select(F.inline(F.map_entries(F.map_concat("meta", F.create_map(
+        F.lit("mejor_modelo"), "mejor_modelo", F.lit("recall_minimo"), F.col("recall_minimo_hipotesis").cast("string"),
+        F.lit("hipotesis"), S.verdict("hipotesis_verificada"))))).alias("name", "value"))
     intervals = records.sparkSession.createDataFrame(
         [(f"{v}_{u}", f"{d} {x:.2f}") for v, d, x, u in (rules or D.RISK_RULES)], "name string, value string"
     )
-    return out.unionByName(intervals.select(F.lit(None).cast("string").alias("model"), F.lit("intervals").alias("section"), "name", "value"))
+    for section, rows in (("run", run), ("intervals", intervals)):
+        out = out.unionByName(rows.select(
+            F.lit(None).cast("string").alias("model"), F.lit(section).alias("section"), "name", "value", F.lit(None).cast("int").alias("rank")))
+    return out

@@ -125,10 +125,37 @@ def model_params(spark, model) -> DataFrame:
     return spark.createDataFrame(rows, "param string, value string")
 
 
+def model_records(spark, models: dict, features: list, oob: dict = None) -> DataFrame:
+    """What training leaves for each model's record, one row per model of `models` (name -> fitted model).
+
+    Maps of importances or coefficients and the intercept (4 digits), the parameters as text, the real depth and
+    leaf count of a tree, and an out-of-bag score from `oob` (name -> score); null where a model has none.
+    """
+    def rates(vector):
+        return {v: round(float(x), 4) for v, x in zip(features, vector.toArray())}
+
+    rows = []
+    for name, m in models.items():
+        tree, linear = hasattr(m, "featureImportances"), hasattr(m, "coefficients")
+        single = tree and not hasattr(m, "trees")
+        hyper = {"max_depth": m.getMaxDepth(), "criterion": m.getImpurity(), "random_state": m.getSeed()} if tree else {"max_iter": m.getMaxIter(), "reg_param": m.getRegParam()}
+        if tree and not single:
+            hyper |= {"n_estimators": m.getNumTrees, "max_features": m.getFeatureSubsetStrategy()}
+        rows.append((
+            name, rates(m.featureImportances) if tree else None, rates(m.coefficients) if linear else None,
+            round(float(m.intercept), 4) if linear else None, {k: str(v) for k, v in hyper.items()},
+            (oob or {}).get(name), m.depth if single else None, (m.numNodes + 1) // 2 if single else None,
+        ))
+    return spark.createDataFrame(rows, "model string, feature_importance map<string,double>, coeficientes map<string,double>, intercepto double, "
+                                 "hiperparametros map<string,string>, oob_score double, profundidad_real int, num_hojas int")
+
+
 def oob_score(train: DataFrame, key: str, trees: int = 20, max_depth: int = D.FOREST_DEPTH, seed: int = D.SEED, max_bins: int = MAX_BINS,
-              parallelism: int = 4) -> DataFrame:
+              parallelism: int = 4, balanced: bool = True) -> DataFrame:
     """(trees, rows, oob_accuracy): each row judged only by the trees that did not draw it.
 
+    An estimate: Spark's forest does not say which rows a tree drew, so this grows trees of its own, with the same
+    depth, features per split and class weights as `fit_random_forest`'s.
     Bagging weights are Poisson(1) counts from a hash of (row, tree), so they survive retries.
     Costs one fit per tree. On rebalanced rows the figure is optimistic: a synthetic row has its
     parents in the bag.
@@ -136,11 +163,11 @@ def oob_score(train: DataFrame, key: str, trees: int = 20, max_depth: int = D.FO
     # cumulative Poisson(1) probabilities of 0..7 draws
     steps = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
              0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
-    weighted = settle(train)
+    weighted = settle(_weighted(train, balanced).withColumnRenamed("weight", "__class_weight"))
 
     def out_of_bag(t):
         u = unit(draw(seed, F.lit("bag"), F.lit(t), key))
-        bag = weighted.withColumn("weight", sum(((u >= s).cast("double") for s in steps), F.lit(0.0)))
+        bag = weighted.withColumn("weight", F.col("__class_weight") * sum(((u >= s).cast("double") for s in steps), F.lit(0.0)))
         one = RandomForestClassifier(
             numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", maxDepth=max_depth, maxBins=max_bins, seed=seed + t,
             weightCol="weight", featuresCol="features", labelCol="label",

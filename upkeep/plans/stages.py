@@ -1,4 +1,4 @@
-"""The stages end to end: profile, prepare, train, evaluate."""
+"""The stages end to end: profile, prepare, train, evaluate, publish."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -6,10 +6,22 @@ from pyspark.sql import functions as F
 from upkeep import defaults as D
 from upkeep.operators.bounds import settle
 from upkeep.operators.columns import select_features
-from upkeep.operators.evaluate import cross_validate, cv_summary, evaluate_models
+from upkeep.operators import correlation, profile, publish
+from upkeep.operators.evaluate import cross_validate, cv_summary, evaluate_models, merge_previous_metrics
 from upkeep.operators.prep import apply_scaler, fit_scaler, stratified_folds, stratified_split
 from upkeep.operators.smote import smote
-from upkeep.operators.train import fit_decision_tree, fit_logistic_regression, fit_random_forest, score, score_models
+from upkeep.operators.train import fit_decision_tree, fit_logistic_regression, fit_random_forest, model_records, score, score_models
+
+
+def profiled(df: DataFrame, features: list = None, label: str = D.TARGET, modes: list = None, rules: list = None, falling=D.FALLING_RISK) -> dict:
+    """Tables on the raw readings: classes, modes, contrast (t test), describe, intervals, zones, rules, target correlations, pairs."""
+    return {
+        "classes": profile.class_distribution(df, label), "modes": profile.mode_frequency(df, modes),
+        "contrast": profile.class_contrast(df, features, label), "describe": profile.describe_features(df, features),
+        "intervals": profile.mode_intervals(df, features, modes), "zones": profile.failure_q1_zones(df, features, label, falling),
+        "rules": profile.validate_intervals(df, rules, label),
+        "target": correlation.corr_with_target_signed(df, features, label), "pairs": correlation.corr_pairs(df, features),
+    }
 
 
 def prepare(df: DataFrame, key: str, features: list = None, label: str = D.TARGET, test_size: float = D.TEST_SIZE,
@@ -32,13 +44,14 @@ def train_models(balanced: DataFrame, key: str, features: list = None, label: st
                  trees: int = D.FOREST_TREES) -> dict:
     """The three classifiers on the balanced rows, by published name."""
     ready = select_features(balanced, key, features, label).persist()
-    models = {
-        D.TREE: fit_decision_tree(ready, seed=seed),
-        D.FOREST: fit_random_forest(ready, trees=trees, seed=seed),
-        D.LOGISTIC: fit_logistic_regression(ready),
-    }
-    ready.unpersist()
-    return models
+    try:
+        return {
+            D.TREE: fit_decision_tree(ready, seed=seed),
+            D.FOREST: fit_random_forest(ready, trees=trees, seed=seed),
+            D.LOGISTIC: fit_logistic_regression(ready),
+        }
+    finally:
+        ready.unpersist()
 
 
 def score_test(models: dict, test: DataFrame, key: str, features: list = None, label: str = D.TARGET) -> DataFrame:
@@ -47,12 +60,24 @@ def score_test(models: dict, test: DataFrame, key: str, features: list = None, l
     return settle(score_models(models, ready, [key, F.col("label").cast("int").alias("label")]))
 
 
-def evaluate(models: dict, test: DataFrame, key: str, features: list = None, label: str = D.TARGET, cv: DataFrame = None) -> DataFrame:
+def evaluate(models: dict, test: DataFrame, key: str, features: list = None, label: str = D.TARGET, cv: DataFrame = None,
+             oob: dict = None, min_recall: float = D.MIN_RECALL) -> DataFrame:
+    """One record per model: its metrics on the test rows and what its training produced."""
     order = F.create_map(*[x for i, m in enumerate(models) for x in (F.lit(m), F.lit(i))])
-    records = evaluate_models(score_test(models, test, key, features, label), cv=cv)
+    records = evaluate_models(score_test(models, test, key, features, label), cv=cv, min_recall=min_recall)
+    made = model_records(test.sparkSession, models, features or D.FEATURES, oob)
+    records = merge_previous_metrics(records, made, [c for c in made.columns if c != "model"])
     return records.withColumn("ordinal", order[F.col("model")])
 
 
+def published(records: DataFrame, info: DataFrame = None, rules: list = None, meta: dict = None, min_recall: float = D.MIN_RECALL) -> dict:
+    """What a run publishes from its records: the flat table, the dashboard document, the report's rows, the run's document."""
+    return {
+        "table": publish.metrics_table(records, min_recall), "dashboard": publish.dashboard_payload(records, info, rules, min_recall, meta=meta),
+        "report": publish.metrics_long(records, rules, meta, min_recall), "record": publish.run_record(records, meta, min_recall),
+    }
+
+
 def cross_validated(balanced: DataFrame, key: str, fits: dict, features: list = None, label: str = D.TARGET, k: int = D.FOLDS,
                     seed: int = D.SEED) -> DataFrame:
     """(model, cv_f1_mean, cv_f1_std) for `fits`: name -> function from (key, features, label) rows to a model."""
