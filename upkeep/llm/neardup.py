@@ -6,9 +6,10 @@ texts share it with about the chance J ** take, and not when the sampled terms a
 get keys of single terms besides, since one word more changes all their samples.
 
 Equal word sequences are one node. In a bucket every node is held against the least node: linear, however large the
-group. Where a bucket still holds several classes after that, as a common passage makes them, its nodes are held
-against the least node of those that share the keys of two bands. Two texts of which 0.8 of the terms are the same share
-about half of the keys, so that one that neither way brings together is rarer than one in 100 000.
+group. Where a bucket still holds several classes after that, as a common passage makes them, its nodes are joined on
+their rarest shingles and every pair that can have `similarity` of them in common is held together (`_rest`). Two texts
+of which 0.8 of the terms are the same and in order share about half of the keys, so that a pair without one is rarer
+than one in 100 000.
 
 A pair is alike if `similarity` of the words of the longer text stand in an alignment with the other: one less the
 edit distance of the words, computed on the diagonals near the main one only, all of a column at once in the bits of
@@ -20,7 +21,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import dropped, gram_hashes, keyed, mixed, slices, text_bytes, without, written
@@ -28,7 +29,6 @@ from upkeep.llm.graph import components
 
 SHINGLE, TAKE, BANDS = 5, 3, 20
 FEW, SINGLE_BANDS = 16, 8  # texts of at most so many terms get so many keys of one term each
-NEXT = 3
 MADE = ("class_id", "class_size", "is_first")
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[48:58] = _IS_WORD[97:123] = _IS_WORD[128:] = True
@@ -172,7 +172,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     more = _apart(pairs.join(best, ["node", "least"], "left_anti"), roots)
     links = yes.unionByName(_alike(more, texts, similarity))
     roots = components(links)
-    rest = _rest(buckets, pairs, roots)
+    rest = _rest(buckets, pairs, roots, texts, similarity)
     roots = components(links.unionByName(_alike(rest, texts, similarity)))
     dropped(texts, pairs, buckets)
 
@@ -219,15 +219,42 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return _rooted(_rooted(pairs, roots, "node", "r"), roots, "least", "s").where("r <> s").select("node", "least")
 
 
-def _rest(buckets: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs for the nodes of buckets that still hold several classes: each with the least node of those that share
-    the keys of two bands, NEXT of them after each band. As many rows as nodes, whatever the buckets' sizes."""
+def shingle_set(words: np.ndarray) -> np.ndarray:
+    """The hashes of a text's shingles in order, each once; a text of fewer words is one shingle."""
+    k = min(SHINGLE, len(words))
+    return np.unique(gram_hashes(words, k)) if k else np.zeros(0, np.uint64)
+
+
+def _rest(buckets: DataFrame, tried: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of different classes among the nodes of buckets that still hold several classes: all that can have
+    `similarity` of their shingles in common.
+
+    The shingles of a text are ordered by how many nodes have them, ties by hash. Two sets of that similarity share one
+    of the first n - ceil(similarity * n) + 1 of each, and what follows the first shared one is long enough for the
+    overlap they need. A common passage's shingles come last in this order and are seldom among the first.
+    """
     rows = written(_rooted(buckets, roots, "node", "root").select("band", "bucket", "node", "root"), "rest")
     several = rows.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "bucket")
-    nodes = written(rows.join(several, ["band", "bucket"]).select("node").distinct(), "several")
-    own = rows.join(nodes, "node")
-    other = own.select("node", F.col("band").alias("also"), F.col("bucket").alias("too"))
-    both = own.join(other, "node").where(f"also - band between 1 and {NEXT}")
-    key = ["band", "bucket", "also", "too"]
-    least = both.groupBy(*key).agg(F.min(F.struct("node", "root")).alias("least"), F.max("root").alias("hi"), F.min("root").alias("lo")).where("lo <> hi").select(*key, "least.node", "least.root").toDF(*key, "least", "top")
-    return both.join(least, key).where("root <> top").select("node", "least").distinct().join(pairs, ["node", "least"], "left_anti")
+    nodes = written(rows.join(several, ["band", "bucket"]).select("node", "root").distinct(), "several")
+
+    def shingles(batches):
+        for b in slices(batches, "text", 1 << 18):
+            words, of = word_hashes(*text_bytes(b.column("text")))
+            sets = [shingle_set(words[of[i] : of[i + 1]]).view(np.int64) for i in range(len(b))]
+            sizes = np.array([len(x) for x in sets])
+            at = pa.array(np.repeat(np.arange(len(b)), sizes))
+            yield pa.RecordBatch.from_arrays([b.column("node").take(at), b.column("root").take(at), pa.array(np.concatenate(sets)), pa.array(np.repeat(sizes, sizes))], ["node", "root", "shingle", "size"])
+
+    grams = written(texts.join(nodes, "node").select("node", "root", "text").mapInArrow(shingles, "node binary, root binary, shingle long, size long"), "shingles")
+    often = grams.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    own = Window.partitionBy("node")
+    place = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("often", "shingle")) - 1
+    first = grams.join(often, "shingle").withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9))
+    first = written(first.select("shingle", "node", "root", "size", (F.col("size") - F.col("place")).alias("left")), "first")
+    mixed_ones = first.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
+    first = written(first.join(mixed_ones, "shingle"), "mixed")
+    x, y = first.alias("x"), first.alias("y")
+    overlap = (F.col("x.size") + F.col("y.size")) * (similarity / (1 + similarity)) - 1e-9
+    on = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (F.least("x.left", "y.left") >= overlap)
+    pairs = x.join(y, on).select(F.col("x.node").alias("node"), F.col("y.node").alias("least")).distinct()
+    return written(pairs.join(tried, ["node", "least"], "left_anti"), "near")
