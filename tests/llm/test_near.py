@@ -1,5 +1,6 @@
 """Near-duplicates under common passages, against all pairs."""
 
+import numpy as np
 import pytest
 
 from upkeep.llm import neardup
@@ -18,3 +19,13 @@ def test_pairs_beside_a_common_passage(spark, passage):
         own = [f"{k}x{i}" for i in range(200 - passage)]
         texts += [" ".join(shared + own), " ".join(shared + own[:-20] + [f"{k}y{i}" for i in range(20)])]
     assert classes(spark, texts) == {i: i - i % 2 for i in range(1500)}
+
+
+def test_moved_and_repeated_parts(spark):
+    rng = np.random.default_rng(3)
+    texts = []
+    for k in range(40):
+        parts = [[f"{k}p{p}w{i}" for i in range(100)] for p in range(10)]
+        flat = lambda order: " ".join(w for p in order for w in parts[p])
+        texts += [flat(range(10)), flat([*range(3, 10), 0, 1, 2]), flat(rng.permutation(10)), flat([*range(10), *[4] * 20])]
+    assert classes(spark, texts) == {i: i - i % 4 for i in range(160)}

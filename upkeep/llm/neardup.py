@@ -2,19 +2,19 @@
 
 A text's terms are its runs of `shingle` words, each with the number of its occurrence. Per band a seeded hash ranks
 the terms, the `take` least are put in the order in which they stand in the text, and their hash is the band's key. Two
-texts share it with about the chance J ** take, and not when the sampled terms are in another order. Texts of few terms
-get keys of single terms besides, since one word more changes all their samples.
+texts share it with about the chance J ** take, and not when the sampled terms are in another order. As many keys are of the
+least terms of the set of shingles, whatever their order and number, so that texts with a moved or repeated part meet.
+Texts of few terms get keys of single terms besides, since one word more changes all their samples.
 
 Equal word sequences are one node. In a bucket every node is held against the least node: linear, however large the
 group. Where a bucket still holds several classes after that, as a common passage makes them, its nodes are joined on
 their rarest shingles and every pair that can have `similarity` of them in common is held together (`_rest`). Two texts
-of which 0.8 of the terms are the same and in order share about half of the keys, so that a pair without one is rarer
-than one in 100 000.
+of which 0.8 of the shingles are the same share about half of the keys, so that a pair without one is rarer than one in
+100 000.
 
-A pair is alike if `similarity` of the words of the longer text stand in an alignment with the other: one less the
-edit distance of the words, computed on the diagonals near the main one only, all of a column at once in the bits of
-integers. Texts of which 0.8 of the five-word
-shingles are the same differ in about 2 words in 100; an edit similarity of 0.8 takes in copies edited more than that.
+A pair is alike if `similarity` of the different shingles of both are in common, counted on the whole texts, or if
+`similarity` of the words of the longer text stand in an alignment with the other: one less the edit distance of the
+words, computed on the diagonals near the main one only, all of a column at once in the bits of integers.
 """
 
 import hashlib
@@ -67,22 +67,32 @@ def order_keys(words: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     number = np.arange(len(by)) - np.maximum.accumulate(np.where(fresh, np.arange(len(by)), 0))
     terms = grams.copy()
     terms[by] = mixed(ranked + number.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    whole = np.zeros(len(terms), bool)
+    whole[by] = fresh  # of equal shingles the first
+    least = _least_terms(terms, seeds)
+    by_value = least if whole.all() else _least_terms(terms[whole], seeds)
+    out = [_band_keys(least, seeds[:BANDS]), _band_keys(np.sort(by_value, axis=1), mixed(seeds[:BANDS]))]
+    if whole.sum() <= FEW:
+        out.append(mixed(mixed(terms[whole][None, :] ^ seeds[BANDS:, None]).min(axis=1) + seeds[BANDS:]))
+    return np.concatenate(out).view(np.int64)
+
+
+def _least_terms(terms: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """A row a band: the least terms as they stand in the text."""
     take = min(TAKE, len(terms))
-    out = []
     if len(terms) > 20000:  # band by band, so that a very long text needs no wide table
         rows = [np.argpartition(mixed(terms ^ s), take - 1)[:take] for s in seeds[:BANDS]]
         first = np.sort(np.array(rows), axis=1)
     else:
         ranks = mixed(terms[None, :] ^ seeds[:BANDS, None])
         first = np.sort(np.argpartition(ranks, take - 1, axis=1)[:, :take], axis=1) if take < len(terms) else np.tile(np.arange(take), (BANDS, 1))
-    picked = terms[first]
-    key = seeds[:BANDS].copy()
-    for j in range(take):
+    return terms[first]
+
+
+def _band_keys(picked: np.ndarray, key: np.ndarray) -> np.ndarray:
+    for j in range(picked.shape[1]):
         key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + picked[:, j])
-    out.append(key)
-    if len(terms) <= FEW:
-        out.append(mixed(mixed(terms[None, :] ^ seeds[BANDS:, None]).min(axis=1) + seeds[BANDS:]))
-    return np.concatenate(out).view(np.int64)
+    return key
 
 
 def edit_similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
@@ -201,7 +211,8 @@ def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     def verify(batches):
         for b in slices(batches, "one", 1 << 20):
             one, two = (word_hashes(*text_bytes(b.column(c))) for c in ("one", "two"))
-            keep = [edit_similar(one[0][one[1][i] : one[1][i + 1]], two[0][two[1][i] : two[1][i + 1]], similarity) for i in range(len(b))]
+            both = ((one[0][one[1][i] : one[1][i + 1]], two[0][two[1][i] : two[1][i + 1]]) for i in range(len(b)))
+            keep = [shingle_similar(x, y, similarity) or edit_similar(x, y, similarity) for x, y in both]
             yield pa.RecordBatch.from_arrays([b.column("x"), b.column("y")], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(texts.select("node", F.col("text").alias("one")), "node").join(
@@ -225,6 +236,15 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
     return np.unique(gram_hashes(words, k)) if k else np.zeros(0, np.uint64)
 
 
+def shingle_similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether two word sequences have `similarity` of their different shingles in common."""
+    x, y = shingle_set(x), shingle_set(y)
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common >= similarity * (len(x) + len(y) - common) - 1e-9
+
+
 def _rest(buckets: DataFrame, tried: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs of different classes among the nodes of buckets that still hold several classes: all that can have
     `similarity` of their shingles in common.
