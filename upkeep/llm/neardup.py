@@ -1,4 +1,4 @@
-"""Near-duplicate documents by Order MinHash and banded alignment.
+"""Near-duplicate documents by Order MinHash and exact shingle similarity.
 
 A text's terms are its runs of `shingle` words, each with the number of its occurrence. Per band a seeded hash ranks
 the terms, the `take` least are put in the order in which they stand in the text, and their hash is the band's key. Two
@@ -12,9 +12,9 @@ their rarest shingles and every pair that can have `similarity` of them in commo
 of which 0.8 of the shingles are the same share about half of the keys, so that a pair without one is rarer than one in
 100 000.
 
-A pair is alike if `similarity` of the different shingles of both are in common, counted on the whole texts, or if
-`similarity` of the words of the longer text stand in an alignment with the other: one less the edit distance of the
-words, computed on the diagonals near the main one only, all of a column at once in the bits of integers.
+A pair is alike if `similarity` of the different shingles of both are in common, counted on the whole texts. An
+alignment of the words (`edit_similar`) decides nothing here: 0.8 of the words can align where far fewer shingles are
+the same, and a moved part can break an alignment of texts that have nearly all.
 """
 
 import hashlib
@@ -149,7 +149,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     """`docs` with `class_id` (the least key of its class of near-duplicates), `class_size` (rows) and `is_first` (true
     for one key and text of each class: the least key, then the least hash of the text).
 
-    Words are compared with A-Z as a-z; texts without words are alike if their bytes are equal, and a null text is
+    Classes are connected by pairs that have `similarity` of their different five-word shingles in common; a text of fewer
+    words is one shingle. Words are compared with A-Z as a-z; texts without words are alike if their bytes are equal, and a null text is
     empty. Rows that repeat key and text are all marked alike. Null keys come after all others. An empty table gives an
     empty table; columns of `docs` named as the new ones, `__a` or `__b` are replaced.
     """
@@ -212,7 +213,7 @@ def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
         for b in slices(batches, "one", 1 << 20):
             one, two = (word_hashes(*text_bytes(b.column(c))) for c in ("one", "two"))
             both = ((one[0][one[1][i] : one[1][i + 1]], two[0][two[1][i] : two[1][i + 1]]) for i in range(len(b)))
-            keep = [shingle_similar(x, y, similarity) or edit_similar(x, y, similarity) for x, y in both]
+            keep = [shingle_similar(x, y, similarity) for x, y in both]
             yield pa.RecordBatch.from_arrays([b.column("x"), b.column("y")], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(texts.select("node", F.col("text").alias("one")), "node").join(
