@@ -68,12 +68,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     with occurring windows, as strings in order), `hit_words` (from, upto: runs of hit words) and `contaminated`.
 
     A window is `window` neighbouring words of an item; an item of fewer words, but not none, is one window. A null text
-    has no words, a null item id is left out of `items`, repeated items count once, an empty table of items leaves all
+    has no words, a null item id is left out of `items` only, repeated items count once, an empty table of items leaves all
     clean. Columns named as the new ones, `__a` or `__b` are replaced.
     """
     docs = keyed(without(docs, *MADE), key, text)
     slim = docs.select("__a", "__b", lowered(F.col(f"`{text}`")).alias("t"))
-    bench = written(items.select(F.col(f"`{item_key}`").cast("string").alias("item"), words(lowered(F.col(f"`{item_text}`"))).alias("own")).where("size(own) > 0").distinct(), "items")
+    bench = written(items.select(F.col(f"`{item_key}`").cast("string").alias("item"), words(lowered(F.col(f"`{item_text}`"))).alias("own")).where("size(own) > 0").distinct().withColumn(
+        "row", F.sha2(F.concat_ws(" ", F.when(F.col("item").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.base64(F.encode("item", "UTF-8")))), F.array_join("own", " ")), 256)), "items")
     hashed = slim.select("__a", "__b", F.transform(words(F.col("t")), lambda w: F.xxhash64(w)).alias("h"))
     prints = _winnowed(_with_grams(hashed, gram), gram, window - gram + 1)
     hits = _shifts(prints, bench.where(F.size("own") >= window), gram)
@@ -88,7 +89,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     runs = F.zip_with(F.slice("ends", 1, F.size("ends") - 1), F.slice("ends", 2, F.size("ends") - 1),
                       lambda p, q: F.struct((F.col("shift") + p + 1).alias("from"), (F.col("shift") + q - 1).alias("upto")))
     texts = slim.join(hits.select("__a", "__b").distinct(), ["__a", "__b"]).dropDuplicates(["__a", "__b"]).select("__a", "__b", words(F.col("t")).alias("w"))
-    aligned = hits.join(texts, ["__a", "__b"]).join(bench, "item").select("__a", "__b", "item", "own", "shift", ends.alias("ends")).select(
+    aligned = hits.join(texts, ["__a", "__b"]).join(bench, "row").select("__a", "__b", "item", "own", "shift", ends.alias("ends")).select(
         "__a", "__b", "item", F.filter(runs, lambda r: r["upto"] - r["from"] + 1 >= least).alias("runs")).where("size(runs) > 0")
     found = aligned.groupBy("__a", "__b").agg(F.array_sort(F.collect_set("item")).alias("items"), F.array_sort(F.flatten(F.collect_set("runs"))).alias("runs"))
     # Runs in order, merged: each adds what lies after the end so far.
@@ -103,8 +104,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
 
 def _shifts(prints: DataFrame, bench: DataFrame, k: int) -> DataFrame:
-    """(row, item, shift) of the items' runs of k words among the documents' hashes. Spark broadcasts the items if they
+    """(document, row of the item, shift) of the items' runs of k words among the documents' hashes. Spark broadcasts the items if they
     are small, by the size of the written table, and else shuffles both sides by hash."""
-    hashed = bench.select(F.col("item").alias("__a"), F.lit(0).alias("__b"), F.transform("own", lambda w: F.xxhash64(w)).alias("h"))
-    grams = _with_grams(hashed, k).select(F.col("__a").alias("item"), F.posexplode("g").alias("there", "print"))
-    return prints.join(grams, "print").select("__a", "__b", "item", (F.col("here") - F.col("there")).alias("shift")).distinct()
+    hashed = bench.select(F.col("row").alias("__a"), F.lit(0).alias("__b"), F.transform("own", lambda w: F.xxhash64(w)).alias("h"))
+    grams = _with_grams(hashed, k).select(F.col("__a").alias("row"), F.posexplode("g").alias("there", "print"))
+    return prints.join(grams, "print").select("__a", "__b", "row", (F.col("here") - F.col("there")).alias("shift")).distinct()
