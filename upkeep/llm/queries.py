@@ -3,8 +3,9 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import chat, decontaminate, fingerprint, language, licenses, mixing, neardup, quality, suffix, warc
+from upkeep.llm import chat, decontaminate, fingerprint, impacts, language, lexical, licenses, mixing, neardup, periodic, quality, suffix, warc
 from upkeep.llm.common import scratch_path
+from upkeep.llm.oracles import O  # noqa: F401
 
 def held_out() -> Column:
     """True for rows that no model learns from."""
@@ -79,6 +80,34 @@ def op10_language_id(spark, d):
     return language.identify_language(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_periodic_runs(spark, d):
+    out = periodic.periodic_runs(repeating(table(spark, d, "documents").select("doc_id", "text")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.col("strongest")
+    return out.select("doc_id", "n_runs", "strongest.start", "strongest.length", "strongest.period", F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+                      F.sha2(F.concat(F.array_join(line, "\n"), F.when(best.isNotNull(), "\n").otherwise("")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def repeating(docs):
+    """One document of ten, by the hash of its id, with its words from some place on replaced by a repeating stretch."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.withColumns({"h": h, "w": F.when(h % 10 == 0, F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), ""))})
+    docs = docs.withColumns({"n": F.size("w"), "g": F.expr("h div 10")})
+    docs = docs.withColumn("a", F.expr("IF(n > 0, CAST(g % n AS int), 0)")).withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS int)"))
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.expr("CAST((n - a) div p + 1 AS int)")))
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(again, F.lit(1), F.col("n") - F.col("a")))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_topk_search(spark, d):
+    out = impacts.topk_search(table(spark, d, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+    return out.withColumnRenamed("query_vec_id", "query_id")
+
+
+def op13_lexical_search(spark, d):
+    return lexical.lexical_search(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark").select("item_id", "text"))
+
+
 def pipeline(spark, d):
     import corpus_pipeline
 
@@ -86,5 +115,5 @@ def pipeline(spark, d):
 
 
 Q = {f.__name__: f for f in (op1_suffix_array_dedup, op2_order_minhash, op3_warc_writer, op4_source_mixing, op5_license_scan, op6_decontamination,
-                             op7_chat_formatting, op8_quality_classifier, op9_weighted_sampling, op10_language_id, pipeline)}
-O: dict[str, str] = {}
+                             op7_chat_formatting, op8_quality_classifier, op9_weighted_sampling, op10_language_id, op11_periodic_runs, op12_topk_search,
+                             op13_lexical_search, pipeline)}
