@@ -1,6 +1,7 @@
 """DuckDB SQL for the registered queries, over the same tables, whole."""
 
 from checks import fixture as X
+from checks import tree_sql
 from checks.parts import AUC, CODED, FLAT, LONG, METRICS, READINGS, SCALED, SCORED, SIZES, SPLIT, with_
 from upkeep import defaults as D
 
@@ -367,3 +368,4 @@ O["R4_trained_report"] = base(
     f"SELECT model, (SELECT n_test FROM sizes WHERE failure = 1) AS failures, CAST(n AS BIGINT) AS n, sums_to_one, falling FROM (VALUES "
     f"('{D.TREE}', {len(CODED)}, true, true), ('{D.FOREST}', {len(CODED)}, true, true)) v(model, n, sums_to_one, falling)", SIZES)
 O["V9_roc_all_points"] = base(f"SELECT model, CAST(count(*) AS INTEGER) AS points, CAST(count(*) AS INTEGER) AS points_tpr FROM ({_curve}) GROUP BY model", SCORED, AUC)
+O.update(tree_sql.SQL)

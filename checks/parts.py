@@ -10,6 +10,7 @@ from upkeep.operators.bounds import settle
 from upkeep.operators.columns import encode_category, select_features
 from upkeep.operators.smote import smote
 from upkeep.operators.train import fit_decision_tree, fit_logistic_regression, fit_random_forest, score_models
+from upkeep.operators.trees import bag_count, fit_bagged_forest, reached, tree_nodes
 
 LABEL = "failure"
 CODED = [*X.FEATURES, "kind_code"]
@@ -57,6 +58,10 @@ def forest(spark, d):
     return X.once(spark, d, "forest", lambda: fit_random_forest(ready(spark, d)))
 
 
+def forest_nodes(spark, d):
+    return X.once(spark, d, "forest_nodes", lambda: tree_nodes(forest(spark, d)))
+
+
 def logistic(spark, d):
     return X.once(spark, d, "logistic", lambda: fit_logistic_regression(ready(spark, d)))
 
@@ -65,6 +70,24 @@ def test_rows(spark, d):
     return select_features(scaled(spark, d, "test"), "k", CODED, LABEL)
 
 
+SHORT = ["f1", "f3", "f4", "f5", "kind_code"]  # features of few values, whose splits SQL can list
+SMALL_TREES = 3
+
+
+def small_forest(spark, d):
+    """A bagged forest small enough for SQL to grow it again."""
+    return X.once(spark, d, "small_forest", lambda: fit_bagged_forest(
+        select_features(train_raw(spark, d), "k", SHORT, LABEL), "k", trees=SMALL_TREES, max_depth=2, max_features="all"))
+
+
+def bags(spark, d):
+    """The (row, tree) pairs that the small forest was grown on, with their leaf and weight."""
+    forest = small_forest(spark, d)
+    rows = prep.weighted(select_features(train_raw(spark, d), "k", SHORT, LABEL, as_vector=False), True)
+    own = bag_count(forest.seed, F.col("tree"), "k")
+    return reached(rows, forest.nodes, ["k", "label", "weight"], when=own > 0).withColumn("weight", F.col("weight") * own)
+
+
 def model_scores(spark, d):
     def build():
         models = {"tree": tree(spark, d), "forest": forest(spark, d), "logistic": logistic(spark, d)}

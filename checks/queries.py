@@ -1,8 +1,10 @@
 """Registered queries: each reads the given tables through the stand-in views, whole."""
 
 import uuid
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +13,7 @@ from checks import parts as P
 from checks.parts import LABEL, rounded
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
-from upkeep.operators import charts, choose, columns, correlation, evaluate, infer, prep, profile, publish, train
+from upkeep.operators import charts, choose, columns, correlation, evaluate, infer, prep, profile, publish, train, trees
 from upkeep.operators.bounds import settle, shared_dir, spread
 from upkeep.operators.neighbours import listed_rows, nearest_neighbours
 from upkeep.plans import stages
@@ -543,6 +545,59 @@ def _(spark, d):
     return train.oob_score(P.ready(spark, d), "k")
 
 
+@query("M2_bagged_trees")
+def _(spark, d):
+    name = F.array(*[F.lit(c) for c in P.SHORT])
+    return P.small_forest(spark, d).nodes.select(
+        "tree", "path", F.when(F.col("feature") >= 0, F.get(name, F.col("feature"))).alias("variable"), F.round("threshold", 6).alias("threshold"),
+        F.round("n0", 3).alias("c0"), F.round("n1", 3).alias("c1"), F.round("p", 6).alias("p"))
+
+
+@query("M2_forest_nodes")
+def _(spark, d):
+    return P.forest_nodes(spark, d).drop("parents")
+
+
+@query("M2_leaf_boxes")
+def _(spark, d):
+    return trees.leaf_boxes(P.forest_nodes(spark, d))
+
+
+@query("M5_importance_from_data")
+def _(spark, d):
+    nodes = P.small_forest(spark, d).nodes
+    return rounded(trees.importances(nodes, trees.node_counts(nodes, P.bags(spark, d)), P.SHORT))
+
+
+@query("M8_out_of_bag")
+def _(spark, d):
+    ready = columns.select_features(P.train_raw(spark, d), "k", P.SHORT, LABEL)
+    return rounded(P.small_forest(spark, d).out_of_bag(ready, "k").withColumn("label", F.col("label").cast("int")))
+
+
+@query("M8_oob_of_forest")
+def _(spark, d):
+    ready = columns.select_features(P.train_raw(spark, d), "k", P.SHORT, LABEL)
+    return rounded(P.small_forest(spark, d).oob_score(ready, "k"))
+
+
+@query("X1_table_scores")
+def _(spark, d):
+    test = P.split(spark, d).where("split = 'test'")
+    return rounded(P.small_forest(spark, d).score(columns.select_features(test, "k", P.SHORT, LABEL, as_vector=False), ["k"]))
+
+
+@query("X1_table_equals_model")
+def _(spark, d):
+    """Test rows whose score by the node table is not the model's, of the tree and the forest of all trees."""
+    rows = columns.select_features(P.scaled(spark, d, "test"), "k", P.CODED, LABEL, as_vector=False)
+    tables = {"tree": trees.tree_nodes(P.tree(spark, d)), "forest": P.forest_nodes(spark, d)}
+    mine = reduce(DataFrame.unionByName, [trees.score_nodes(n, rows, ["k"]).withColumn("model", F.lit(m)) for m, n in tables.items()])
+    both = mine.alias("a").join(P.model_scores(spark, d).where("model <> 'logistic'").alias("b"), ["k", "model"], "full")
+    near = (F.col("a.prediction") == F.col("b.prediction")) & (F.abs(F.col("a.probability") - F.col("b.probability")) < 1e-9)
+    return both.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(near, F.lit(False))).alias("differing"))
+
+
 @query("M9_model_params")
 def _(spark, d):
     return train.model_params(spark, P.tree(spark, d))

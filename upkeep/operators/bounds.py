@@ -40,16 +40,21 @@ def shared_dir(spark: SparkSession):
     return _own_dir[0]
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path of its own in the shared folder, which a cluster must name in spark.checkpoint.dir."""
+    folder = shared_dir(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{folder.rstrip('/')}/upkeep-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute `df` once, write it to the shared folder and read it from there.
 
     Several readers then do not repeat the work, the lineage is cut, and later scans prune
     columns and know the table's size. A cluster must name the folder in spark.checkpoint.dir.
     """
-    folder = shared_dir(df.sparkSession)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{folder.rstrip('/')}/upkeep-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

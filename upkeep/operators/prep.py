@@ -99,3 +99,8 @@ def class_weights(df: DataFrame, label: str = D.TARGET) -> DataFrame:
 def add_class_weight(df: DataFrame, label: str = D.TARGET, out: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
     return df.join(bounded(weights, "classes"), label).select(*df.columns, out)
+
+
+def weighted(df: DataFrame, balanced: bool, label: str = "label") -> DataFrame:
+    """`df` with `weight`: the class weight if `balanced`, else 1."""
+    return add_class_weight(df, label) if balanced else df.withColumn("weight", F.lit(1.0))

@@ -1,8 +1,5 @@
 """Classifiers on Spark ML. Input: (key, features vector, label), as `select_features` gives."""
 
-from functools import reduce
-from multiprocessing.pool import ThreadPool
-
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -11,23 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep import defaults as D
-from upkeep.functions.hashing import draw, unit
 from upkeep.functions.scalars import sign_tag
-from upkeep.operators.bounds import settle
-from upkeep.operators.prep import add_class_weight
-
-MAX_BINS = 256  # candidate splits per feature; Spark's default of 32 is coarse for sensors
-
-
-def _weighted(train, balanced):
-    return add_class_weight(train, "label") if balanced else train.withColumn("weight", F.lit(1.0))
+from upkeep.operators.prep import weighted
+from upkeep.operators.trees import MAX_BINS, fit_bagged_forest
 
 
 def fit_decision_tree(train: DataFrame, max_depth: int = D.TREE_DEPTH, balanced: bool = True, seed: int = D.SEED, max_bins: int = MAX_BINS):
     tree = DecisionTreeClassifier(
         impurity="gini", maxDepth=max_depth, maxBins=max_bins, seed=seed, weightCol="weight", featuresCol="features", labelCol="label"
     )
-    return tree.fit(_weighted(train, balanced))
+    return tree.fit(weighted(train, balanced))
 
 
 def fit_random_forest(
@@ -38,7 +28,7 @@ def fit_random_forest(
         impurity="gini", numTrees=trees, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="sqrt", bootstrap=True,
         seed=seed, weightCol="weight", featuresCol="features", labelCol="label",
     )
-    return forest.fit(_weighted(train, balanced))
+    return forest.fit(weighted(train, balanced))
 
 
 def fit_logistic_regression(train: DataFrame, c: float = D.LOGISTIC_C, max_iter: int = D.LOGISTIC_ITERATIONS, tol: float = 1e-8):
@@ -150,34 +140,11 @@ def model_records(spark, models: dict, features: list, oob: dict = None) -> Data
                                  "hiperparametros map<string,string>, oob_score double, profundidad_real int, num_hojas int")
 
 
-def oob_score(train: DataFrame, key: str, trees: int = 20, max_depth: int = D.FOREST_DEPTH, seed: int = D.SEED, max_bins: int = MAX_BINS,
-              parallelism: int = 4, balanced: bool = True) -> DataFrame:
-    """(trees, rows, oob_accuracy): each row judged only by the trees that did not draw it.
+def oob_score(train: DataFrame, key: str, trees: int = D.FOREST_TREES, max_depth: int = D.FOREST_DEPTH, seed: int = D.SEED, max_bins: int = MAX_BINS,
+              parallelism: int = 8, balanced: bool = True) -> DataFrame:
+    """(trees, rows, oob_accuracy): fits a `trees.BaggedForest` and judges each row by its trees that did not draw it.
 
-    An estimate: Spark's forest does not say which rows a tree drew, so this grows trees of its own, with the same
-    depth, features per split and class weights as `fit_random_forest`'s.
-    Bagging weights are Poisson(1) counts from a hash of (row, tree), so they survive retries.
-    Costs one fit per tree. On rebalanced rows the figure is optimistic: a synthetic row has its
+    Fit the forest yourself to score with it too. On rebalanced rows the figure is optimistic: a synthetic row has its
     parents in the bag.
     """
-    # cumulative Poisson(1) probabilities of 0..7 draws
-    steps = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563,
-             0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
-    weighted = settle(_weighted(train, balanced).withColumnRenamed("weight", "__class_weight"))
-
-    def out_of_bag(t):
-        u = unit(draw(seed, F.lit("bag"), F.lit(t), key))
-        bag = weighted.withColumn("weight", F.col("__class_weight") * sum(((u >= s).cast("double") for s in steps), F.lit(0.0)))
-        one = RandomForestClassifier(
-            numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", maxDepth=max_depth, maxBins=max_bins, seed=seed + t,
-            weightCol="weight", featuresCol="features", labelCol="label",
-        ).fit(bag)
-        return score(one, bag.where("weight = 0"), [key, "label"])
-
-    with ThreadPool(parallelism) as pool:
-        votes = pool.map(out_of_bag, range(trees))
-    mean = reduce(DataFrame.unionByName, votes).groupBy(key).agg(F.avg("probability").alias("p"), F.first("label").alias("label"))
-    return mean.agg(
-        F.lit(trees).alias("trees"), F.count(F.lit(1)).alias("rows"),
-        F.avg(((F.col("p") > 0.5).cast("double") == F.col("label")).cast("double")).alias("oob_accuracy"),
-    )
+    return fit_bagged_forest(train, key, trees, max_depth, balanced, seed, max_bins, parallelism=parallelism).oob_score(train, key)
