@@ -1,99 +1,124 @@
 """Exact k nearest rows of the same table, without comparing all pairs.
 
 Equal points are merged first, so copies never meet in one task. Distinct points are cut into
-cells by a k-d tree built from a bounded sample; each point searches its own cell, which bounds
-how far its neighbours can be, and then only the cells that reach into that ball. The tree
-steers balance only: any tree gives the same neighbours. Ties go to the smaller key.
+cells: a cell with more than `cell_points` of them is split sixteenfold at medians of a sample of
+its own, and what is still too full again, so depth and number of cells have no limit. Each point searches its own cell, which bounds
+how far its neighbours can be, and then goes down the tree to the cells that its ball reaches, and
+only these. The tree steers balance only: any tree gives the same neighbours. Ties go to the smaller key.
 """
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from upkeep.functions.hashing import unit, draw
-from upkeep.operators.bounds import bounded, settle
+from upkeep.operators.bounds import settle
 
 CELL_POINTS = 2_000
-MAX_DEPTH = 13  # 8 192 cells
-SAMPLE_PER_CELL = 24
+LEVELS = 4  # binary splits of one cell in one round
+SAMPLE = 1_536  # sampled points of a cell that is split
+SIDE = 4  # sampled points that each side of a split must have
 QUERIES_PER_TASK = 20_000
+ROOT = 1  # a cell's parent is the cell without its last LEVELS bits
 
 
-def _grow_tree(sample, depth):
-    """Median splits on the widest side, level by level: arrays (dimension, threshold) and boxes."""
-    import numpy as np
+def _grow(cell_points):
+    """Splits of one cell from its sample (x, n: the cell's points): axis -1 where a side would get too few."""
 
-    dims = sample.shape[1]
-    axis, at = np.zeros(2**depth - 1, dtype="int64"), np.zeros(2**depth - 1)
-    groups = {0: sample}
-    for node in range(2**depth - 1):
-        rows = groups.pop(node, sample[:0])
-        if len(rows):
-            axis[node] = int(np.argmax(rows.max(axis=0) - rows.min(axis=0)))
-            values = np.unique(rows[:, axis[node]])
-            at[node] = np.median(rows[:, axis[node]])
-            if at[node] == values[-1] and len(values) > 1:
-                at[node] = values[-2]
-        left = rows[:, axis[node]] <= at[node] if len(rows) else np.zeros(0, dtype=bool)
-        groups[2 * node + 1], groups[2 * node + 2] = rows[left], rows[~left]
-    lo, hi = np.full((2**depth, dims), -np.inf), np.full((2**depth, dims), np.inf)
-    for leaf in range(2**depth):
-        node = leaf + 2**depth - 1
-        while node:
-            parent = (node - 1) // 2
-            d = axis[parent]
-            if node == 2 * parent + 1:
-                hi[leaf, d] = min(hi[leaf, d], at[parent])
-            else:
-                lo[leaf, d] = max(lo[leaf, d], at[parent])
-            node = parent
-    return axis, at, lo, hi
-
-
-def _cell_udf(axis, at, depth):
-    import pandas as pd
-
-    def cell(x: pd.Series) -> pd.Series:
+    def grow(sample):
         import numpy as np
+        import pandas as pd
 
-        points = np.stack(x.to_numpy())
-        node = np.zeros(len(points), dtype="int64")
-        rows = np.arange(len(points))
-        for _ in range(depth):
-            node = 2 * node + 1 + (points[rows, axis[node]] > at[node])
-        return pd.Series(node - (2**depth - 1))
-
-    return F.pandas_udf(cell, T.IntegerType())
-
-
-def _reach_udf(lo, hi):
-    """Cells, other than its own, that a point's ball touches."""
+        x = np.stack(sample["x"].to_numpy())
+        axis, at, groups = np.full(2**LEVELS - 1, -1), np.full(2**LEVELS - 1, np.inf), {0: np.arange(len(x))}
+        for node in range(2**LEVELS - 1):
+            rows = groups.pop(node)
+            groups[2 * node + 1], groups[2 * node + 2] = rows, rows[:0]
+            if len(rows) < 2 * SIDE or sample["n"].iloc[0] * len(rows) <= cell_points * len(x):
+                continue
+            for d in np.argsort(x[rows].min(axis=0) - x[rows].max(axis=0), kind="stable"):  # the widest side first
+                v = np.sort(x[rows, d])
+                cuts = np.unique(v[SIDE - 1 : len(v) - SIDE])  # points up to a cut go left
+                cuts = cuts[cuts < v[-SIDE]]
+                if len(cuts):
+                    axis[node], at[node] = d, cuts[np.argmin(np.abs(np.searchsorted(v, cuts, "right") - len(v) / 2))]
+                    left = x[rows, d] <= at[node]
+                    groups[2 * node + 1], groups[2 * node + 2] = rows[left], rows[~left]
+                    break
+        return pd.DataFrame({"cell": [sample["cell"].iloc[0]], "axis": [axis.tolist()], "at": [at.tolist()]})
+
+    return grow
+
+
+def _step(points: DataFrame) -> DataFrame:
+    """Points with their cell's `axis` and `at` (null: not split), one round further down."""
+    out = points.withColumn("__n", F.lit(0))
+    for _ in range(LEVELS):
+        out = out.withColumn("__d", F.get("axis", F.col("__n")))
+        right = F.coalesce((F.col("__d") >= 0) & (F.get("x", F.greatest("__d", F.lit(0))) > F.get("at", F.col("__n"))), F.lit(False))
+        out = out.withColumn("__n", 2 * F.col("__n") + 1 + right.cast("int"))
+    child = F.shiftleft("cell", LEVELS) + F.col("__n") - (2**LEVELS - 1)
+    return out.withColumn("cell", F.when(F.col("axis").isNull(), F.col("cell")).otherwise(child)).drop("__n", "__d", "axis", "at")
+
+
+def split_cells(places: DataFrame, cell_points: int = CELL_POINTS, seed: int = 0):
+    """`places` (id, x, ...) with `cell`, and the tables (cell, axis, at) of the rounds of splits."""
+    points, rounds = places.withColumn("cell", F.lit(ROOT).cast("long")), []
+    while True:
+        full = points.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell_points)
+        sample = points.select("id", "x", "cell").join(full, "cell").where(unit(draw(seed, F.lit(len(rounds)), "id")) < SAMPLE / F.col("n"))
+        splits = settle(sample.select("cell", "x", "n").groupBy("cell").applyInPandas(_grow(cell_points), "cell long, axis array<int>, at array<double>").where("axis[0] >= 0"))
+        if splits.isEmpty():  # no cell is too full, or nothing tells its points apart
+            return points, rounds
+        points = settle(_step(points.join(splits, "cell", "left")).select(*places.columns, "cell"))
+        rounds.append(splits)
+
+
+def _descend(batches):
+    """One round down for balls (id, x, radius, own, cell, gaps, axis, at): the cells below that they reach.
+
+    gaps are the distances to the cell's box along each axis; a split the point is not beyond sets its own.
+    """
+    import numpy as np
     import pandas as pd
 
-    def reach(x: pd.Series, own: pd.Series, radius: pd.Series) -> pd.Series:
-        import numpy as np
-
-        points, home, r = np.stack(x.to_numpy()), own.to_numpy(), radius.to_numpy()
-        out = []
-        step = max(1, 4_000_000 // len(lo))
-        for s in range(0, len(points), step):
-            p = points[s : s + step]
-            d = np.zeros((len(p), len(lo)))
-            for j in range(p.shape[1]):
-                gap = np.maximum(np.maximum(lo[None, :, j] - p[:, None, j], p[:, None, j] - hi[None, :, j]), 0.0)
-                d += gap * gap
-            touched = d <= r[s : s + step, None]
-            touched[np.arange(len(p)), home[s : s + step]] = False
-            out.extend(np.flatnonzero(row).tolist() for row in touched)
-        return pd.Series(out)
-
-    return F.pandas_udf(reach, T.ArrayType(T.IntegerType()))
+    for b in batches:
+        x, gaps, axis, at = (np.stack(b[c].to_numpy()) for c in ("x", "gaps", "axis", "at"))
+        gaps, radius = gaps.copy(), b["radius"].to_numpy()
+        row, node = np.arange(len(b)), np.zeros(len(b), np.int64)
+        for _ in range(LEVELS):
+            d = axis[row, node]
+            split = d >= 0
+            away = np.where(split, x[row, np.maximum(d, 0)] - at[row, node], -np.inf)
+            over = split.copy()  # the other side is reached too?
+            wide = gaps.copy()
+            i = np.flatnonzero(split)
+            wide[i, d[i]] = np.maximum(wide[i, d[i]], np.abs(away[i]))
+            over &= (wide * wide).sum(axis=1) <= radius[row]
+            near, far = 2 * node + 1 + (away > 0), 2 * node + 1 + (away <= 0)
+            row, node, gaps = np.concatenate([row, row[over]]), np.concatenate([near, far[over]]), np.concatenate([gaps, wide[over]])
+        cell = (b["cell"].to_numpy()[row] << LEVELS) + node - (2**LEVELS - 1)
+        yield pd.DataFrame({"id": b["id"].to_numpy()[row], "x": b["x"].to_numpy()[row], "radius": radius[row], "own": b["own"].to_numpy()[row], "cell": cell, "gaps": list(gaps)})
+
+
+def reached_cells(balls: DataFrame, rounds: list, dims: int) -> DataFrame:
+    """(id, x, radius, cell): the cells, other than its own, that each ball (id, x, radius, cell) reaches."""
+    ids = balls.schema["id"].dataType.simpleString()
+    ddl = f"id {ids}, x array<double>, radius double, own long, cell long, gaps array<double>"
+    going = balls.select("id", "x", "radius", F.col("cell").alias("own"), F.lit(ROOT).cast("long").alias("cell"), F.array_repeat(F.lit(0.0), dims).alias("gaps"))
+    ended = []
+    for splits in rounds:
+        below = settle(going.join(splits, "cell").mapInPandas(_descend, ddl))
+        if splits is not rounds[0]:
+            ended.append(going.join(splits, "cell", "left_anti"))
+        going = below
+    out = going
+    for e in ended:
+        out = out.unionByName(e)
+    return out.where("cell <> own").select("id", "x", "radius", "cell")
 
 
 def _search(k):
-    """A function finding, for each query point, its k + 1 nearest rows among one cell's points.
+    """A function finding, for each query point, its k + 1 nearest rows among one cell's points, within its `radius` if known.
 
     Returns flat arrays per query: distances, keys and coordinates, in (distance, key) order.
     """
@@ -118,11 +143,14 @@ def _search(k):
                     gap = q[:, None, j] - xs[None, :, j]
                     d += gap * gap
                 kth = min(k, len(xs) - 1)
-                qi, ci = np.nonzero(d <= np.partition(d, kth, axis=1)[:, kth, None])
+                most = np.partition(d, kth, axis=1)[:, kth]
+                if "radius" in queries:
+                    most = np.minimum(most, queries["radius"].to_numpy()[s : s + step])
+                qi, ci = np.nonzero(d <= most[:, None])
                 # one entry per row key of every point that near
                 times = held[ci]
                 ends = np.cumsum(times)
-                at = np.repeat(first[ci] - (ends - times), times) + np.arange(ends[-1])
+                at = np.repeat(first[ci] - (ends - times), times) + np.arange(times.sum())
                 dist, qi, ci = np.repeat(d[qi, ci], times), np.repeat(qi, times), np.repeat(ci, times)
                 order = np.lexsort((place[at], dist, qi))
                 starts = np.searchsorted(qi[order], np.arange(len(q)))
@@ -167,53 +195,27 @@ def nearest_neighbours(
     x = F.array(*[F.col(f).cast("double") + F.lit(0.0) for f in features])
     rows = df.select(F.col(key).alias("key"), x.alias("x"))
     places = settle(_locations(rows, k))
-    n = places.count()
-    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(1, n) / cell_points))))
     key_type = dict(df.dtypes)[key]
     search, near = _search(k), _near(len(features)).alias("near")
     out = f"id {key_type}, radius double, d2 array<double>, near_keys array<{key_type}>, near_x array<double>"
-
-    wanted = SAMPLE_PER_CELL * 2**depth
-    if depth:
-        share = min(1.0, wanted / n)
-        sample = places.where(unit(draw(seed, "id")) < share).select("x").limit(2 * wanted + 1000)
-        import numpy as np
-
-        axis, at, lo, hi = _grow_tree(np.array([r.x for r in sample.collect()]), depth)
-        celled = places.withColumn("cell", _cell_udf(axis, at, depth)("x"))
-    else:
-        celled = places.withColumn("cell", F.lit(0))
-
+    celled, rounds = split_cells(places, cell_points, seed)
     own = celled.groupBy("cell").applyInPandas(
-        lambda pdf: search(pdf, pdf).assign(cell=pdf["cell"].to_numpy(), x=pdf["x"].to_numpy()),
-        out + ", cell int, x array<double>",
+        lambda pdf: search(pdf, pdf).assign(cell=pdf["cell"].to_numpy(), x=pdf["x"].to_numpy(), keys=pdf["keys"].to_numpy()),
+        f"{out}, cell long, x array<double>, keys array<{key_type}>",
     )
-    if not depth:
-        best = own.select("id", near)
-    else:
-        own = settle(own.select("id", "x", "cell", "radius", near))
-        reached = own.select("id", "x", F.explode(_reach_udf(lo, hi)("x", "cell", "radius")).alias("cell"))
-        reached = settle(reached)
-        # a cell asked by very many points is searched by several tasks
-        load = bounded(
-            reached.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_TASK).cast("int").alias("parts")),
-            "cells", 2**MAX_DEPTH,
-        )
-        asks = reached.join(load, "cell").select(
-            "id", "x", "cell", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
-        )
-        offers = celled.join(load, "cell").select(
-            F.col("x"), F.col("keys"), F.col("cell").alias("cell"),
-            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        )
-        more = asks.groupBy("cell", "part").cogroup(offers.groupBy("cell", "part")).applyInPandas(
-            search, out
-        )
-        both = own.select("id", "near").unionByName(more.where(F.size("d2") > 0).select("id", near))
-        best = both.groupBy("id").agg(
-            F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near")
-        )
-    return places.join(best, "id")
+    if not rounds:
+        return own.select("id", "x", "keys", near)
+    own = settle(own.select("id", "x", "keys", "cell", "radius", near))
+    reached = reached_cells(own.select("id", "x", "radius", "cell"), rounds, len(features))
+    # a cell asked by very many points is searched by several tasks
+    load = settle(reached.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_TASK).cast("int").alias("parts")))
+    asks = reached.join(load, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    offers = celled.join(load, "cell").select(
+        "x", "keys", F.col("cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    more = asks.groupBy("cell", "part").cogroup(offers.groupBy("cell", "part")).applyInPandas(search, out)
+    both = own.select("id", "x", "keys", "near").unionByName(more.where(F.size("d2") > 0).select("id", near), allowMissingColumns=True)
+    return both.groupBy("id").agg(
+        F.first("x", True).alias("x"), F.first("keys", True).alias("keys"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"))
 
 
 def listed_rows(places: DataFrame, k: int) -> DataFrame:
