@@ -212,17 +212,20 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_b
     slim = docs.select("__a", "__b", F.col(f"`{text}`").alias("text"))
     fit = slim.where(F.octet_length("text") >= min_bytes)
 
+    # A slice of texts gives one row an anchor, and below one row a segment, with its places: a key that stands in all
+    # texts is as many rows as there are slices.
     def cut(batches):
         for b in slices(batches, "text", SLICE):
             of, h, start, n, _ = anchors(*text_bytes(b.column("text")), min_bytes)
-            rows = pa.array(of)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("__a").take(rows), b.column("__b").take(rows), pa.array(h.view(np.int64)), pa.array(start), pa.array(n)],
-                ["__a", "__b", "h", "start", "n"])
-
-    cuts = written(fit.mapInArrow(cut, "__a long, __b long, h long, start long, n long"), "anchors")
-    often = cuts.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h")
-    own = cuts.join(often, "h", "left_semi").groupBy("__a", "__b").agg(
+            by = np.argsort(h, kind="stable")
+            h, rows = h[by].view(np.int64), pa.array(of[by])
+            first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else by
+            at = pa.StructArray.from_arrays([b.column("__a").take(rows), b.column("__b").take(rows), pa.array(start[by]), pa.array(n[by])], ["a", "b", "start", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.ListArray.from_arrays(pa.array(np.append(first, len(h)), pa.int32()), at)], ["h", "at"])
+
+    cuts = written(fit.mapInArrow(cut, "h long, at array<struct<a:bigint,b:bigint,start:bigint,n:bigint>>"), "anchors")
+    often = written(cuts.groupBy("h").agg(F.sum(F.size("at")).alias("times")).where("times > 1").select("h"), "often")
+    own = cuts.join(often, "h").select("h", F.inline("at")).groupBy(F.col("a").alias("__a"), F.col("b").alias("__b")).agg(
         F.collect_set(F.struct("start", "n", "h")).alias("cuts"))
 
     def segment(batches):
@@ -234,22 +237,21 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_b
                     s = int(at[i]) + c["start"]
                     part = raw[s : s + c["n"] + min_bytes - 1]
                     sid = hashlib.blake2b(part, digest_size=16).digest()
-                    row = [c["h"], sid, c["n"], 1, None, a, bb, c["start"]]
-                    rows.append(row)
-                    if sid in seen:
-                        seen[sid][3] += 1
-                    else:
-                        seen[sid] = row
-                        row[4] = part
+                    if sid not in seen:
+                        seen[sid] = [c["h"], sid, c["n"], 0, part, []]
+                        rows.append(seen[sid])
+                    seen[sid][3] += 1
+                    seen[sid][5].append({"a": a, "b": bb, "start": c["start"]})
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 8, _SEGMENT)], _SEGMENT_NAMES)
+                [pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 6, _SEGMENT)], _SEGMENT_NAMES)
 
     places = written(fit.join(own, ["__a", "__b"]).mapInArrow(segment, _SEGMENT_SQL), "segments")
-    dropped(cuts)
-    found = _repeats(places.where("part is not null").select("h", "sid", "n", "copies", "part"), min_bytes, 0)
-    spans = places.select("sid", "__a", "__b", "start").join(found, "sid").groupBy("__a", "__b").agg(
-        F.collect_set(F.struct((F.col("start") + F.col("lo")).alias("start"), (F.col("start") + F.col("hi") + min_bytes - 1).alias("end"))).alias("__found"))
-    spans = written(spans, "spans")
+    dropped(cuts, often)
+    found = _runs_of_each(_repeats(places.select("h", "sid", "n", "copies", "part"), min_bytes, 0))
+    spans = places.select("sid", "at").join(found, "sid").select("runs", F.inline("at")).select(
+        F.col("a").alias("__a"), F.col("b").alias("__b"),
+        F.transform("runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("start"), (F.col("start") + r["hi"] + min_bytes - 1).alias("end"))).alias("runs"))
+    spans = written(spans.groupBy("__a", "__b").agg(F.flatten(F.collect_list("runs")).alias("__found")), "spans")
     dropped(places)
     keep = [c for c in docs.columns if c not in ("__a", "__b")]
 
@@ -279,9 +281,14 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_b
     return joined.mapInArrow(remove, schema)
 
 
-_SEGMENT_NAMES = ["h", "sid", "n", "copies", "part", "__a", "__b", "start"]
-_SEGMENT = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-_SEGMENT_SQL = "h long, sid binary, n long, copies long, part binary, __a long, __b long, start long"
+_SEGMENT_NAMES = ["h", "sid", "n", "copies", "part", "at"]
+_SEGMENT = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("start", pa.int64())]))]
+_SEGMENT_SQL = "h long, sid binary, n long, copies long, part binary, at array<struct<a:bigint,b:bigint,start:bigint>>"
+
+
+def _runs_of_each(found: DataFrame) -> DataFrame:
+    """(sid, runs): the runs (lo, hi) of each segment as one row."""
+    return found.groupBy("sid").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
 
 
 def _repeats(rows: DataFrame, size: int, level: int) -> DataFrame:
@@ -300,8 +307,8 @@ def _repeats(rows: DataFrame, size: int, level: int) -> DataFrame:
         return _sorted(cold, size)
     blocks = written(once.join(hot, "h", "left_semi").mapInArrow(_finer(size, BLOCKS[level]), "h long, sid binary, n long, copies long, part binary, of binary, off long"), "blocks")
     found = _repeats(blocks.where("part is not null").select("h", "sid", "n", "copies", "part"), size, level + 1)
-    fine = blocks.select("sid", "of", "off").distinct().join(found.distinct(), "sid").select(
-        F.col("of").alias("sid"), (F.col("lo") + F.col("off")).alias("lo"), (F.col("hi") + F.col("off")).alias("hi"))
+    fine = blocks.select("sid", "of", "off").distinct().join(_runs_of_each(found), "sid").select(
+        F.col("of").alias("sid"), "off", F.inline("runs")).select("sid", (F.col("lo") + F.col("off")).alias("lo"), (F.col("hi") + F.col("off")).alias("hi"))
     return _sorted(cold, size).unionByName(fine)
 
 
