@@ -12,9 +12,10 @@ their rarest shingles and every pair that can have `similarity` of them in commo
 of which 0.8 of the shingles are the same share about half of the keys, so that a pair without one is rarer than one in
 100 000.
 
-A pair is alike if `similarity` of the different shingles of both are in common, counted on the whole texts. An
-alignment of the words (`edit_similar`) decides nothing here: 0.8 of the words can align where far fewer shingles are
-the same, and a moved part can break an alignment of texts that have nearly all.
+A pair is alike if `similarity` of the different shingles of both are in common. Banded alignment of the words decides
+first: an edit changes at most `SHINGLE` shingles of either text, so e edits leave enough in common if e is at most
+(1 - similarity) / (1 + similarity) / SHINGLE of the shingles of one text. Pairs that do not align so closely, as those
+with a moved part, are counted exactly on the whole texts.
 """
 
 import hashlib
@@ -28,6 +29,7 @@ from upkeep.llm.common import dropped, gram_hashes, keyed, mixed, slices, text_b
 from upkeep.llm.graph import components
 
 SHINGLE, TAKE, BANDS = 5, 3, 20
+BITS = 512  # of a set, a power of two
 FEW, SINGLE_BANDS = 16, 8  # texts of at most so many terms get so many keys of one term each
 MADE = ("class_id", "class_size", "is_first")
 _IS_WORD = np.zeros(256, bool)
@@ -97,9 +99,13 @@ def _band_keys(picked: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 def edit_similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
     """Whether the edit distance of two word sequences is at most (1 - similarity) of the longer one's length."""
+    return within_edits(x, y, int((1 - similarity) * max(len(x), len(y)) + 1e-9))
+
+
+def within_edits(x: np.ndarray, y: np.ndarray, most: int) -> bool:
+    """Whether at most `most` words are to be put in, left out or replaced between two sequences."""
     if len(x) > len(y):
         x, y = y, x
-    most = int((1 - similarity) * len(y) + 1e-9)
     if len(y) - len(x) > most:
         return False
     same = len(x)
@@ -213,7 +219,7 @@ def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
         for b in slices(batches, "one", 1 << 20):
             one, two = (word_hashes(*text_bytes(b.column(c))) for c in ("one", "two"))
             both = ((one[0][one[1][i] : one[1][i + 1]], two[0][two[1][i] : two[1][i + 1]]) for i in range(len(b)))
-            keep = [shingle_similar(x, y, similarity) for x, y in both]
+            keep = [near(x, y, similarity) for x, y in both]
             yield pa.RecordBatch.from_arrays([b.column("x"), b.column("y")], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(texts.select("node", F.col("text").alias("one")), "node").join(
@@ -237,9 +243,23 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
     return np.unique(gram_hashes(words, k)) if k else np.zeros(0, np.uint64)
 
 
+def near(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether two word sequences have `similarity` of their different shingles in common: by alignment if that proves it, else by counting."""
+    a, b = shingle_set(x), shingle_set(y)
+    enough = int(max(len(a), len(b)) * (1 - similarity) / (1 + similarity) / SHINGLE + 1e-9)
+    if min(len(x), len(y)) >= SHINGLE and within_edits(x, y, enough):
+        return True
+    return shingle_similar(a, b, similarity)
+
+
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """BITS bits of a set, each the parity of the shingles that fall on it. Two sets' bits differ in at most as many places as the sets do."""
+    odd = np.bincount((mixed(shingles ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingle_similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
-    """Whether two word sequences have `similarity` of their different shingles in common."""
-    x, y = shingle_set(x), shingle_set(y)
+    """Whether two sets of shingles have `similarity` of all in common."""
     if min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
         return False
     common = len(np.intersect1d(x, y, assume_unique=True))
@@ -252,7 +272,9 @@ def _rest(buckets: DataFrame, tried: DataFrame, roots: DataFrame, texts: DataFra
 
     The shingles of a text are ordered by how many nodes have them, ties by hash. Two sets of that similarity share one
     of the first n - ceil(similarity * n) + 1 of each, and what follows the first shared one is long enough for the
-    overlap they need. A common passage's shingles come last in this order and are seldom among the first.
+    overlap they need. A common passage's shingles come last in this order and are seldom among the first. A pair whose
+    parity bits differ in more places than sets of that similarity can is not joined: that leaves out nearly all that are
+    less alike, as many edited copies of one text are among each other, and none that is alike.
     """
     rows = written(_rooted(buckets, roots, "node", "root").select("band", "bucket", "node", "root"), "rest")
     several = rows.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "bucket")
@@ -264,18 +286,24 @@ def _rest(buckets: DataFrame, tried: DataFrame, roots: DataFrame, texts: DataFra
             sets = [shingle_set(words[of[i] : of[i + 1]]).view(np.int64) for i in range(len(b))]
             sizes = np.array([len(x) for x in sets])
             at = pa.array(np.repeat(np.arange(len(b)), sizes))
-            yield pa.RecordBatch.from_arrays([b.column("node").take(at), b.column("root").take(at), pa.array(np.concatenate(sets)), pa.array(np.repeat(sizes, sizes))], ["node", "root", "shingle", "size"])
+            bits = iter([parity_bits(x.view(np.uint64)) for x in sets])
+            heads = np.append(True, np.diff(np.repeat(np.arange(len(b)), sizes)) != 0) if sizes.sum() else np.zeros(0, bool)
+            bits = pa.array([next(bits) if head else None for head in heads.tolist()], pa.list_(pa.int64()))  # with a node's first shingle only
+            yield pa.RecordBatch.from_arrays([b.column("node").take(at), b.column("root").take(at), pa.array(np.concatenate(sets)), pa.array(np.repeat(sizes, sizes)), bits], ["node", "root", "shingle", "size", "bits"])
 
-    grams = written(texts.join(nodes, "node").select("node", "root", "text").mapInArrow(shingles, "node binary, root binary, shingle long, size long"), "shingles")
+    grams = written(texts.join(nodes, "node").select("node", "root", "text").mapInArrow(shingles, "node binary, root binary, shingle long, size long, bits array<long>"), "shingles")
     often = grams.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     own = Window.partitionBy("node")
     place = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("often", "shingle")) - 1
     first = grams.join(often, "shingle").withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9))
     first = written(first.select("shingle", "node", "root", "size", (F.col("size") - F.col("place")).alias("left")), "first")
     mixed_ones = first.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
-    first = written(first.join(mixed_ones, "shingle"), "mixed")
+    first = first.join(mixed_ones, "shingle").join(grams.where("bits IS NOT NULL").select("node", "bits"), "node")
+    first = written(first.select("shingle", "node", "root", "size", "left", *[F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)]), "mixed")
     x, y = first.alias("x"), first.alias("y")
     overlap = (F.col("x.size") + F.col("y.size")) * (similarity / (1 + similarity)) - 1e-9
     on = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (F.least("x.left", "y.left") >= overlap)
+    apart = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(BITS // 64)), F.lit(0))
+    on &= apart <= (F.col("x.size") + F.col("y.size")) * ((1 - similarity) / (1 + similarity)) + 1e-9
     pairs = x.join(y, on).select(F.col("x.node").alias("node"), F.col("y.node").alias("least")).distinct()
     return written(pairs.join(tried, ["node", "least"], "left_anti"), "near")
