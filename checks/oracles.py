@@ -1,6 +1,7 @@
 """DuckDB SQL for the registered queries, over the same tables, whole."""
 
 from checks import fixture as X
+from checks import parts as P
 from checks import tree_sql
 from checks.parts import AUC, CODED, FLAT, LONG, METRICS, READINGS, SCALED, SCORED, SIZES, SPLIT, with_
 from upkeep import defaults as D
@@ -369,3 +370,7 @@ O["R4_trained_report"] = base(
     f"('{D.TREE}', {len(CODED)}, true, true), ('{D.FOREST}', {len(CODED)}, true, true)) v(model, n, sums_to_one, falling)", SIZES)
 O["V9_roc_all_points"] = base(f"SELECT model, CAST(count(*) AS INTEGER) AS points, CAST(count(*) AS INTEGER) AS points_tpr FROM ({_curve}) GROUP BY model", SCORED, AUC)
 O.update(tree_sql.SQL)
+O["M9_records_of_training"] = with_(
+    *tree_sql.GROWN, SCORED, _foldf1,
+    select=f"SELECT 'forest' AS model, (SELECT string_agg(variable || '=' || printf('%.4f', round(importance, 4)), ',' ORDER BY variable) FROM ({tree_sql.IMPORTANCE})) AS shares, "
+           f"(SELECT oob_accuracy FROM ({tree_sql.OOB})) AS oob_score, '{P.SMALL_TREES}' AS trees, round(avg(f1), 4) AS cv_f1_mean, round(stddev_pop(f1), 4) AS cv_f1_std FROM foldf1 WHERE model = 'rule_a'")

@@ -80,6 +80,13 @@ def small_forest(spark, d):
         select_features(train_raw(spark, d), "k", SHORT, LABEL), "k", trees=SMALL_TREES, max_depth=2, max_features="all"))
 
 
+PAIR = ["f1", "f4"]
+
+
+def pair_rows(spark, d):
+    return select_features(scaled(spark, d, "train"), "k", PAIR, LABEL)
+
+
 def bags(spark, d):
     """The (row, tree) pairs that the small forest was grown on, with their leaf and weight."""
     forest = small_forest(spark, d)

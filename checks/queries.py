@@ -525,6 +525,18 @@ def _(spark, d):
     return train.coefficients(spark, P.logistic(spark, d), P.CODED)
 
 
+@query("M6_newton_step")
+def _(spark, d):
+    rows = columns.select_features(P.balanced(spark, d), "k", P.CODED, LABEL, as_vector=False)
+    return train.newton_step(P.logistic(spark, d), rows, P.CODED).select("variable", (F.round("step", 3) + F.lit(0.0)).alias("step"))
+
+
+@query("M6_coefficients_of_two")
+def _(spark, d):
+    model = train.fit_logistic_regression(P.pair_rows(spark, d), tol=1e-12)
+    return train.coefficients(spark, model, P.PAIR).select("rank", "variable", F.round("coefficient", 3).alias("coefficient"), "sign", F.round("intercept", 3).alias("intercept"))
+
+
 @query("M7_convergence")
 def _(spark, d):
     return train.convergence(spark, P.logistic(spark, d))
@@ -581,6 +593,19 @@ def _(spark, d):
     return rounded(P.small_forest(spark, d).oob_score(ready, "k"))
 
 
+@query("M9_records_of_training")
+def _(spark, d):
+    """What the bagged forest and the tree leave in a model's record, out-of-bag score and cross-validation included."""
+    cv = evaluate.cv_summary(evaluate.fold_f1(X.scored(spark, d).join(prep.stratified_folds(R(spark, d).select("k", LABEL), "k", LABEL).select("k", "fold"), "k"), LABEL))
+    cv = cv.withColumn("model", F.when(F.col("model") == "rule_a", "forest").otherwise(F.col("model")))
+    ready = columns.select_features(P.train_raw(spark, d), "k", P.SHORT, LABEL)
+    forest = P.small_forest(spark, d)
+    made = train.model_records(spark, {"forest": forest}, P.SHORT, {"forest": forest.oob_score(ready, "k").first()["oob_accuracy"]}, cv)
+    shares = F.array_sort(F.map_entries("feature_importance"))
+    return made.select("model", F.array_join(F.transform(shares, lambda e: F.concat_ws("=", e["key"], F.format_string("%.4f", e["value"]))), ",").alias("shares"), F.round("oob_score", 6).alias("oob_score"),
+                       F.col("hiperparametros")["n_estimators"].alias("trees"), "cv_f1_mean", "cv_f1_std")
+
+
 @query("X1_table_scores")
 def _(spark, d):
     test = P.split(spark, d).where("split = 'test'")

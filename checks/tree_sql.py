@@ -1,6 +1,6 @@
 """DuckDB SQL that grows the small bagged forest of `parts.small_forest` from the readings: three trees of two levels."""
 
-from checks.parts import LABEL, SHORT, SMALL_TREES, SPLIT, SIZES, READINGS, with_
+from checks.parts import CODED, LABEL, PAIR, READINGS, SCALED, SHORT, SIZES, SMALL_TREES, SPLIT, with_
 from upkeep.operators.trees import POISSON
 
 _U = "CAST(CAST('0x' || substr(md5(concat_ws('|', '42', 'bag', t, k)), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656"
@@ -50,14 +50,36 @@ def _down(source):
     return f"SELECT d.*, p FROM ({step(step(f'SELECT *, {chr(39) * 2} AS path FROM ({source})', 0), 1)}) d JOIN nodes USING (tree, path)"
 
 
+IMPORTANCE = ("SELECT variable, coalesce(sum(share) / (SELECT count(DISTINCT tree) FROM kept), 0) AS importance FROM "
+              f"(SELECT unnest({SHORT}) AS variable) LEFT JOIN (SELECT variable, gain / sum(gain) OVER (PARTITION BY tree) AS share FROM kept) USING (variable) GROUP BY variable")
+_OUT = f"({_down(f'SELECT tree, k, y, {_COLUMNS} FROM drawn WHERE bag = 0')})"
+OOB = f"SELECT {SMALL_TREES} AS trees, count(*) AS rows, round(avg(CAST((p > 0.5) = (y = 1) AS DOUBLE)), 6) AS oob_accuracy FROM (SELECT k, y, avg(p) AS p FROM {_OUT} GROUP BY k, y)"
 SQL = {
     "M2_bagged_trees": with_(*GROWN, select="SELECT tree, path, variable, round(threshold, 6) AS threshold, round(c0, 3) AS c0, round(c1, 3) AS c1, round(p, 6) AS p FROM nodes"),
-    "M5_importance_from_data": with_(*GROWN, select="SELECT CAST(row_number() OVER (ORDER BY importance DESC, variable) AS INTEGER) AS rank, variable, round(importance, 6) AS importance FROM ("
-                                     f"SELECT variable, coalesce(sum(share) / (SELECT count(DISTINCT tree) FROM kept), 0) AS importance FROM (SELECT unnest({SHORT}) AS variable) "
-                                     "LEFT JOIN (SELECT variable, gain / sum(gain) OVER (PARTITION BY tree) AS share FROM kept) USING (variable) GROUP BY variable)"),
-    "M8_out_of_bag": with_(*GROWN, select=f"SELECT k, y AS label, count(*) AS trees, round(avg(p), 6) AS probability FROM ({_down(f'SELECT tree, k, y, {_COLUMNS} FROM drawn WHERE bag = 0')}) GROUP BY k, y"),
-    "M8_oob_of_forest": with_(*GROWN, select=f"SELECT {SMALL_TREES} AS trees, count(*) AS rows, round(avg(CAST((p > 0.5) = (y = 1) AS DOUBLE)), 6) AS oob_accuracy FROM ("
-                              f"SELECT k, y, avg(p) AS p FROM ({_down(f'SELECT tree, k, y, {_COLUMNS} FROM drawn WHERE bag = 0')}) GROUP BY k, y)"),
+    "M5_importance_from_data": with_(*GROWN, select=f"SELECT CAST(row_number() OVER (ORDER BY importance DESC, variable) AS INTEGER) AS rank, variable, round(importance, 6) AS importance FROM ({IMPORTANCE})"),
+    "M8_out_of_bag": with_(*GROWN, select=f"SELECT k, y AS label, count(*) AS trees, round(avg(p), 6) AS probability FROM {_OUT} GROUP BY k, y"),
+    "M8_oob_of_forest": with_(*GROWN, select=OOB),
     "X1_table_scores": with_(*GROWN, select=f"SELECT k, CAST(avg(p) > 0.5 AS INTEGER) AS prediction, round(avg(p), 6) AS probability FROM ({_down(f'SELECT t AS tree, k, {_DOUBLES} FROM split, {_TREES} WHERE split = {chr(39)}test{chr(39)}')}) GROUP BY k"),
     "X1_table_equals_model": with_(READINGS, SIZES, select="SELECT model, CAST(sum(n_test) AS BIGINT) AS n, CAST(0 AS BIGINT) AS differing FROM sizes, (VALUES ('tree'), ('forest')) v(model) GROUP BY model"),
 }
+
+
+def _newton(steps=9):
+    """Logistic regression of two scaled features by Newton's method, unrolled; the penalty is 1/2 of each squared coefficient."""
+    out = [f"pairs AS MATERIALIZED (SELECT CAST({LABEL} AS DOUBLE) AS y, {PAIR[0]} AS x1, {PAIR[1]} AS x2 FROM scaled WHERE split = 'train')",
+           "b0 AS (SELECT CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS u, CAST(0 AS DOUBLE) AS v)"]
+    for i in range(steps):
+        out.append(f"""s{i} AS (SELECT a, u, v, sum(p - y) AS g0, sum((p - y) * x1) + u AS g1, sum((p - y) * x2) + v AS g2, sum(w) AS h00, sum(w * x1) AS h01, sum(w * x2) AS h02,
+  sum(w * x1 * x1) + 1 AS h11, sum(w * x1 * x2) AS h12, sum(w * x2 * x2) + 1 AS h22 FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-(a + u * x1 + v * x2))) AS p FROM pairs, b{i})) GROUP BY a, u, v)""")
+        out.append(f"""d{i} AS (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det FROM s{i}),
+b{i + 1} AS (SELECT a - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det AS a,
+  u - (h00 * (g1 * h22 - g2 * h12) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det AS u,
+  v - (h00 * (h11 * g2 - h12 * g1) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det AS v FROM d{i})""")
+    return out
+
+
+SQL["M6_coefficients_of_two"] = with_(
+    READINGS, SIZES, SPLIT, SCALED, *_newton(),
+    select=f"SELECT CAST(row_number() OVER (ORDER BY abs(b) DESC) AS INTEGER) AS rank, variable, round(b, 3) AS coefficient, CASE WHEN b >= 0 THEN '[+]' ELSE '[-]' END AS sign, round(a, 3) AS intercept "
+           f"FROM (SELECT '{PAIR[0]}' AS variable, u AS b, a FROM b9 UNION ALL SELECT '{PAIR[1]}', v, a FROM b9)")
+SQL["M6_newton_step"] = " UNION ALL ".join(f"SELECT '{f}' AS variable, CAST(0 AS DOUBLE) AS step" for f in [*CODED, "intercept"])

@@ -2,8 +2,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from upkeep.operators.quantiles import long_values, quantiles
-from upkeep.operators.running import running_totals
+from upkeep.operators.quantiles import long_values, merged, quantiles, sketched_quantiles, sketches
+from upkeep.operators.running import prefix_scan
 
 RNG = np.random.default_rng(7)
 SHAPES = {
@@ -43,14 +43,34 @@ def test_nulls_and_all_null_column(spark):
     assert got.values.tolist() == [["a", 2.0]]
 
 
-def test_running_totals_over_many_values(spark):
-    n = 5_000
-    pdf = pd.DataFrame({"g": np.where(np.arange(n) % 3 == 0, "a", "b"), "v": RNG.permutation(n) / 7.0, "w": RNG.integers(0, 9, n)})
-    got = running_totals(spark.createDataFrame(pdf), ["g"], "v", ["w"], ["w"]).toPandas().sort_values(["g", "v"]).reset_index(drop=True)
+@pytest.mark.parametrize("n", [1, 5_000, 60_000])
+def test_prefix_scan(spark, n):
+    pdf = pd.DataFrame({"g": np.where(np.arange(n) % 3 == 0, "a", "b"), "v": RNG.permutation(n) / 7.0, "w": RNG.integers(0, 9, n), "u": 1})
+    got = prefix_scan(spark.createDataFrame(pdf).repartition(5), "g", "v", ["w", "u"]).toPandas().sort_values(["g", "v"]).reset_index(drop=True)
     want = pdf.sort_values(["g", "v"]).reset_index(drop=True)
-    by = want.groupby("g")["w"]
-    assert (got["w_below"] == by.cumsum() - want["w"]).all()
-    assert got["w_next"].fillna(-1).tolist() == by.shift(-1).fillna(-1).tolist()
+    by = want.groupby("g")
+    for c in ("w", "u"):
+        assert (got[f"{c}_below"] == by[c].cumsum() - want[c]).all()
+        assert got[f"{c}_before"].fillna(-1).tolist() == by[c].shift(1).fillna(-1).tolist()
+
+
+def test_prefix_scan_of_nulls_and_nothing(spark):
+    rows = [(None, None, 2), (None, 1.0, 3), ("a", None, 4), ("a", 2.0, 5)]
+    got = prefix_scan(spark.createDataFrame(rows, "g string, v double, w bigint"), "g", "v", ["w"]).collect()
+    assert sorted((str(r["g"]), r["w"], r["w_below"], r["w_before"]) for r in got) == [("None", 2, 0, None), ("None", 3, 2, 2), ("a", 4, 0, None), ("a", 5, 4, 4)]
+    assert prefix_scan(spark.createDataFrame([], "g string, v double, w bigint"), "g", "v", ["w"]).count() == 0
+
+
+def test_stored_sketches_of_batches(spark, tmp_path):
+    values = RNG.lognormal(0, 2, 200_000)
+    paths = [str(tmp_path / f"day{i}") for i in range(4)]
+    for p, v in zip(paths, np.split(values, 4)):
+        sketches(spark.createDataFrame(pd.DataFrame({"g": "a", "value": v})), ["g"]).write.parquet(p)
+    whole = merged([spark.read.parquet(p) for p in paths], ["g"])
+    row = sketched_quantiles(whole, ["g"], [0.25, 0.5, 0.99], ["q1", "m", "top"]).first()
+    assert row["n"] == 200_000
+    for p, q in zip((0.25, 0.5, 0.99), (row["q1"], row["m"], row["top"])):
+        assert abs((values < q).mean() - p) < 0.002
 
 
 def test_many_groups(spark):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
+from upkeep.operators.gram import gram
 
 
 def safe_corr(x: str, y: str) -> Column:
@@ -25,28 +26,18 @@ def corr_with_target_signed(df: DataFrame, features: list = None, label: str = D
     return corr_with_target(df, features or D.OPERATING, label).select("variable", "r").orderBy(F.asc_nulls_last("r"), "variable")
 
 
-def _pairs(df, names):
-    """Upper triangle (i < j) in one pass over the data."""
-    entries = F.array(*[
-        F.struct(
-            F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(names[i]).alias("x"), F.lit(names[j]).alias("y"),
-            safe_corr(names[i], names[j]).alias("r"),
-        )
-        for i in range(len(names)) for j in range(i + 1, len(names))
-    ])
-    return df.agg(entries.alias("e")).select(F.inline("e"))
+def _all_pairs(df, names):
+    """(i, j, x, y, r) of all pairs from one scan, the diagonal included: 1 where a column varies."""
+    name = F.array(*[F.lit(n) for n in names])
+    r = F.try_divide("both", F.sqrt("square_i") * F.sqrt("square_j"))
+    r = F.when(F.col("i") == F.col("j"), F.when(F.col("square_i") > 0, 1.0)).otherwise(r)
+    return gram(df, names).select("i", "j", F.get(name, F.col("i").cast("int")).alias("x"), F.get(name, F.col("j").cast("int")).alias("y"), r.alias("r"))
 
 
 def corr_matrix(df: DataFrame, features: list = None, wide: bool = False) -> DataFrame:
     """All pairs, long (x, y, r) or wide (x, one column per feature)."""
     names = features or D.FEATURES
-    upper = _pairs(df, names).select("x", "y", "r")
-    varies = F.array(*[
-        F.struct(F.lit(n).alias("x"), F.lit(n).alias("y"), F.when(F.stddev_pop(F.col(n).cast("double")) > 0, 1.0).alias("r"))
-        for n in names
-    ])
-    diagonal = df.agg(varies.alias("e")).select(F.inline("e"))
-    long = upper.unionByName(diagonal).unionByName(upper.select(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
+    long = _all_pairs(df, names).select("x", "y", "r")
     if not wide:
         return long
     return long.groupBy("x").agg(*[F.max(F.when(F.col("y") == n, F.col("r"))).alias(n) for n in names])
@@ -54,7 +45,7 @@ def corr_matrix(df: DataFrame, features: list = None, wide: bool = False) -> Dat
 
 def corr_pairs(df: DataFrame, features: list = None, min_abs: float = 0.3) -> DataFrame:
     """Pairs with |r| above `min_abs`, with a strength word."""
-    strong = _pairs(df, features or D.FEATURES).where(F.abs("r") > min_abs)
+    strong = _all_pairs(df, features or D.FEATURES).where((F.col("i") < F.col("j")) & (F.abs("r") > min_abs))
     return strong.select("x", "y", "r", F.coalesce(S.corr_strength("r"), F.lit(D.MODERATE)).alias("strength"))
 
 

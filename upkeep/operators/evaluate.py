@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
-from upkeep.operators.running import running_totals
+from upkeep.operators.running import prefix_scan
 
 CELLS = ["tn", "fp", "fn", "tp"]
 
@@ -59,42 +59,45 @@ def per_class_report(cells: DataFrame) -> DataFrame:
     return cells.select("model", F.inline(F.array(*rows)))
 
 
-def _by_score(scored, label):
-    """One row per model and distinct score: copies of a score are merged before any ordering."""
-    return scored.groupBy("model", "probability").agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
-    )
+STEPS = ["pos", "neg"]
+
+
+def score_scan(scored: DataFrame, label: str = "label") -> DataFrame:
+    """One row per model and distinct score, rising: the four cells and both classes there, and the classes below.
+
+    The one pass over the scores from which cells, area and curve all come. Copies of a score are merged before any ordering.
+    """
+    classes = [F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")]
+    return prefix_scan(scored.groupBy("model", "probability").agg(*classes, *_cell_sums(label)), "model", "probability", STEPS)
 
 
-def roc_auc(scored: DataFrame, label: str = "label") -> DataFrame:
+def _cells_of(scan):
+    cells = scan.groupBy("model").agg(*[F.sum(c).alias(c) for c in CELLS])
+    return cells.withColumn("matrix", F.array(F.array("tn", "fp"), F.array("fn", "tp")))
+
+
+def roc_auc(scored: DataFrame, label: str = "label", scan: DataFrame = None) -> DataFrame:
     """(model, auc_roc): exact area, tied scores counting half; null when a class is missing."""
-    below = running_totals(_by_score(scored, label), ["model"], "probability", ["neg"], source=scored)
     pairs = F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / 2))
-    return below.groupBy("model").agg(
+    return (scan or score_scan(scored, label)).groupBy("model").agg(
         F.try_divide(pairs, F.sum("pos").cast("double") * F.sum("neg")).alias("auc_roc")
     )
 
 
-def roc_curve(scored: DataFrame, label: str = "label", digits: int = None) -> DataFrame:
+def roc_curve(scored: DataFrame, label: str = "label", digits: int = None, scan: DataFrame = None) -> DataFrame:
     """(model, threshold, fpr, tpr): from (0, 0) by falling distinct score.
 
     A point is left out where it lies midway between its neighbours (both second differences are
     zero). Every remaining point is kept; `digits` rounds the rates.
     """
-    dist = _by_score(scored, label).withColumn("__fall", -F.col("probability"))
-    dist = dist.withColumn("__step", F.struct("pos", "neg"))
-    falling = scored.select((-F.col("probability")).alias("__fall"))
-    run = running_totals(dist, ["model"], "__fall", ["pos", "neg"], ["__step"], falling)
-    totals = scored.groupBy("model").agg(
-        F.count_if(F.col(label) == 1).alias("__p"), F.count_if(F.col(label) == 0).alias("__n")
-    )
-    first = F.col("pos_below") + F.col("neg_below") == 0
-    kept = run.where(first | F.col("__step_next").isNull() | (F.col("__step_next") != F.col("__step")))
-    points = kept.join(totals, "model").select(
+    scan = scan or score_scan(scored, label)
+    totals = scan.groupBy("model").agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
+    joined = scan.join(totals, "model")
+    ends = F.col("pos_before").isNull() | ((F.col("pos_below") + F.col("pos") == F.col("__p")) & (F.col("neg_below") + F.col("neg") == F.col("__n")))
+    kept = joined.where(ends | (F.col("pos_before") != F.col("pos")) | (F.col("neg_before") != F.col("neg")))
+    points = kept.select(
         "model", F.col("probability").alias("threshold"),
-        S.ratio(F.col("neg_below") + F.col("neg"), "__n").alias("fpr"),
-        S.ratio(F.col("pos_below") + F.col("pos"), "__p").alias("tpr"),
-    )
+        S.ratio(F.col("__n") - F.col("neg_below"), "__n").alias("fpr"), S.ratio(F.col("__p") - F.col("pos_below"), "__p").alias("tpr"))
     start = totals.select("model", F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     out = points.unionByName(start)
     if digits is None:
@@ -158,9 +161,10 @@ def all_models_pass(checked: DataFrame) -> DataFrame:
     return checked.agg(F.bool_and("verified").alias("all_pass"))
 
 
-def flat_metrics(scored: DataFrame, label: str = "label", cv: DataFrame = None, min_recall: float = D.MIN_RECALL) -> DataFrame:
-    """One unrounded row per model: cells, metrics, AUC, cross-validation, verdict."""
-    rows = binary_metrics(confusion(scored, label)).join(roc_auc(scored, label), "model")
+def flat_metrics(scored: DataFrame, label: str = "label", cv: DataFrame = None, min_recall: float = D.MIN_RECALL, scan: DataFrame = None) -> DataFrame:
+    """One unrounded row per model: cells, metrics, AUC, cross-validation, verdict. `scan` is `score_scan`'s table, if made already."""
+    scan = scan or score_scan(scored, label)
+    rows = binary_metrics(_cells_of(scan)).join(roc_auc(scored, label, scan), "model")
     if cv is None:
         rows = rows.withColumns({c: F.lit(None).cast("double") for c in ("cv_f1_mean", "cv_f1_std")})
     else:
@@ -178,14 +182,15 @@ def evaluate_models(
     def r(c):
         return F.round(c, 4)
 
-    flat = flat_metrics(scored, label, cv, min_recall)
+    scan = score_scan(scored, label)
+    flat = flat_metrics(scored, label, cv, min_recall, scan)
     sides = F.create_map(*[
         x for name, side in _sides()
         for x in (F.lit(name), F.struct(*[(e if c == "support" else F.round(e, 4)).alias(c) for c, e in side.items()]))
     ])
     rows = flat.withColumn("por_clase", sides)
     if roc:
-        rows = rows.join(roc_arrays(roc_curve(scored, label), roc), "model", "left")
+        rows = rows.join(roc_arrays(roc_curve(scored, label, scan=scan), roc), "model", "left")
     else:
         rows = rows.withColumns({c: F.lit(None).cast("array<double>") for c in ("fpr", "tpr")})
     return rows.select(

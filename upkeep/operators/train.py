@@ -1,5 +1,7 @@
 """Classifiers on Spark ML. Input: (key, features vector, label), as `select_features` gives."""
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 
 from upkeep import defaults as D
 from upkeep.functions.scalars import sign_tag
+from upkeep.operators.gram import gram
 from upkeep.operators.prep import weighted
-from upkeep.operators.trees import MAX_BINS, fit_bagged_forest
+from upkeep.operators.trees import MAX_BINS, BaggedForest, fit_bagged_forest
 
 
 def fit_decision_tree(train: DataFrame, max_depth: int = D.TREE_DEPTH, balanced: bool = True, seed: int = D.SEED, max_bins: int = MAX_BINS):
@@ -68,8 +71,19 @@ def score(model, df: DataFrame, keep: list, name: str = None) -> DataFrame:
 
 
 def score_models(models: dict, df: DataFrame, keep: list) -> DataFrame:
-    """Scores of several classifiers in one pass over df, long: one row per input row and model."""
+    """Scores of several classifiers in one pass over df, long: one row per input row and model.
+
+    A `BaggedForest` scores by its node table, in a pass of its own.
+    """
+    bagged = {n: m for n, m in models.items() if isinstance(m, BaggedForest)}
+    models = {n: m for n, m in models.items() if n not in bagged}
     out, kept = df, [F.col(c) if isinstance(c, str) else c for c in keep]
+    tables = []
+    for name, forest in bagged.items():
+        rows = df.select(*kept, vector_to_array("features").alias("features"))
+        tables.append(forest.score(rows, rows.columns[:-1]).withColumn("model", F.lit(name)))
+    if not models:
+        return reduce(DataFrame.unionByName, tables)
     for i, model in enumerate(models.values()):
         mine = model.copy()
         mine.setPredictionCol(f"__pred{i}").setProbabilityCol(f"__prob{i}").setRawPredictionCol(f"__raw{i}")
@@ -81,7 +95,7 @@ def score_models(models: dict, df: DataFrame, keep: list) -> DataFrame:
         )
         for i, name in enumerate(models)
     ])
-    return out.select(*kept, F.inline(rows))
+    return reduce(DataFrame.unionByName, tables, out.select(*kept, F.inline(rows)))
 
 
 def tree_shape(spark, model) -> DataFrame:
@@ -103,6 +117,29 @@ def coefficients(spark, model, features: list) -> DataFrame:
     return table.select("rank", "variable", F.round("c", 4).alias("coefficient"), sign_tag("c").alias("sign"), F.round("b", 4).alias("intercept"))
 
 
+def newton_step(model, rows: DataFrame, features: list, c: float = D.LOGISTIC_C) -> DataFrame:
+    """(variable, coefficient, step): what one more Newton step would take off each fitted value, the intercept last; near zero at the optimum.
+
+    rows: (features array<double>, label). X'WX and X'(p - y) are one weighted Gram aggregate over one scan, of the features, a
+    column of ones and (p - y) / w; only these (features + 2) squared sums reach the driver.
+    """
+    n, fitted = len(features), [float(x) for x in model.coefficients.toArray()]
+    x = [F.get("features", F.lit(i)) for i in range(n)]
+    wide = rows.select(*[v.alias(f"x{i}") for i, v in enumerate(x)], F.lit(1.0).alias("one"), "label",
+                       (1 / (1 + F.exp(-sum((v * b for v, b in zip(x, fitted)), F.lit(float(model.intercept)))))).alias("p"))
+    wide = wide.withColumn("w", F.greatest(F.col("p") * (1 - F.col("p")), F.lit(1e-15))).withColumn("z", (F.col("p") - F.col("label")) / F.col("w"))
+    sums = gram(wide, [*[f"x{i}" for i in range(n)], "one", "z"], "w").select("i", "j", (F.col("both") + F.col("n") * F.col("mean_i") * F.col("mean_j")).alias("s")).collect()
+    import numpy as np
+
+    whole = np.zeros((n + 2, n + 2))
+    for r in sums:
+        whole[r["i"], r["j"]] = r["s"]
+    penalty = np.diag([1.0 / c] * n + [0.0])
+    values = np.array([*fitted, float(model.intercept)])
+    step = np.linalg.solve(whole[: n + 1, : n + 1] + penalty, whole[: n + 1, n + 1] + penalty @ values)
+    return rows.sparkSession.createDataFrame(list(zip([*features, "intercept"], values.tolist(), step.tolist())), "variable string, coefficient double, step double")
+
+
 def convergence(spark, model) -> DataFrame:
     """(iterations, max_iterations, converged)."""
     used, most = int(model.summary.totalIterations), int(model.getMaxIter())
@@ -115,17 +152,25 @@ def model_params(spark, model) -> DataFrame:
     return spark.createDataFrame(rows, "param string, value string")
 
 
-def model_records(spark, models: dict, features: list, oob: dict = None) -> DataFrame:
+def model_records(spark, models: dict, features: list, oob: dict = None, cv: DataFrame = None) -> DataFrame:
     """What training leaves for each model's record, one row per model of `models` (name -> fitted model).
 
     Maps of importances or coefficients and the intercept (4 digits), the parameters as text, the real depth and
-    leaf count of a tree, and an out-of-bag score from `oob` (name -> score); null where a model has none.
+    leaf count of a tree, an out-of-bag score from `oob` (name -> score), and mean and deviation of F1 over folds from
+    `cv` (model, cv_f1_mean, cv_f1_std); null where a model has none.
     """
+    folds = {r["model"]: tuple(None if v is None else round(v, 4) for v in (r["cv_f1_mean"], r["cv_f1_std"])) for r in cv.collect()} if cv is not None else {}
+
     def rates(vector):
         return {v: round(float(x), 4) for v, x in zip(features, vector.toArray())}
 
     rows = []
     for name, m in models.items():
+        if isinstance(m, BaggedForest):
+            share = {r["variable"]: round(r["importance"], 4) for r in m.importances(features).collect()}
+            hyper = {"max_depth": m.max_depth, "criterion": "gini", "random_state": m.seed, "n_estimators": m.trees, "max_features": m.max_features}
+            rows.append((name, share, None, None, {k: str(v) for k, v in hyper.items()}, (oob or {}).get(name), None, None, *folds.get(name, (None, None))))
+            continue
         tree, linear = hasattr(m, "featureImportances"), hasattr(m, "coefficients")
         single = tree and not hasattr(m, "trees")
         hyper = {"max_depth": m.getMaxDepth(), "criterion": m.getImpurity(), "random_state": m.getSeed()} if tree else {"max_iter": m.getMaxIter(), "reg_param": m.getRegParam()}
@@ -135,9 +180,10 @@ def model_records(spark, models: dict, features: list, oob: dict = None) -> Data
             name, rates(m.featureImportances) if tree else None, rates(m.coefficients) if linear else None,
             round(float(m.intercept), 4) if linear else None, {k: str(v) for k, v in hyper.items()},
             (oob or {}).get(name), m.depth if single else None, (m.numNodes + 1) // 2 if single else None,
+            *folds.get(name, (None, None)),
         ))
     return spark.createDataFrame(rows, "model string, feature_importance map<string,double>, coeficientes map<string,double>, intercepto double, "
-                                 "hiperparametros map<string,string>, oob_score double, profundidad_real int, num_hojas int")
+                                 "hiperparametros map<string,string>, oob_score double, profundidad_real int, num_hojas int, cv_f1_mean double, cv_f1_std double")
 
 
 def oob_score(train: DataFrame, key: str, trees: int = D.FOREST_TREES, max_depth: int = D.FOREST_DEPTH, seed: int = D.SEED, max_bins: int = MAX_BINS,

@@ -10,6 +10,7 @@ from upkeep.operators import correlation, profile, publish
 from upkeep.operators.evaluate import cross_validate, cv_summary, evaluate_models, merge_previous_metrics
 from upkeep.operators.prep import apply_scaler, fit_scaler, stratified_folds, stratified_split
 from upkeep.operators.smote import smote
+from upkeep.operators.trees import BaggedForest, fit_bagged_forest
 from upkeep.operators.train import fit_decision_tree, fit_logistic_regression, fit_random_forest, model_records, score, score_models
 
 
@@ -41,13 +42,16 @@ def prepare(df: DataFrame, key: str, features: list = None, label: str = D.TARGE
 
 
 def train_models(balanced: DataFrame, key: str, features: list = None, label: str = D.TARGET, seed: int = D.SEED,
-                 trees: int = D.FOREST_TREES) -> dict:
-    """The three classifiers on the balanced rows, by published name."""
+                 trees: int = D.FOREST_TREES, out_of_bag: bool = False) -> dict:
+    """The three classifiers on the balanced rows, by published name.
+
+    With `out_of_bag` the forest is a `BaggedForest`, which judges itself by the rows its trees did not draw, at one fit a tree.
+    """
     ready = select_features(balanced, key, features, label).persist()
     try:
         return {
             D.TREE: fit_decision_tree(ready, seed=seed),
-            D.FOREST: fit_random_forest(ready, trees=trees, seed=seed),
+            D.FOREST: fit_bagged_forest(ready, key, trees, seed=seed) if out_of_bag else fit_random_forest(ready, trees=trees, seed=seed),
             D.LOGISTIC: fit_logistic_regression(ready),
         }
     finally:
@@ -61,11 +65,18 @@ def score_test(models: dict, test: DataFrame, key: str, features: list = None, l
 
 
 def evaluate(models: dict, test: DataFrame, key: str, features: list = None, label: str = D.TARGET, cv: DataFrame = None,
-             oob: dict = None, min_recall: float = D.MIN_RECALL) -> DataFrame:
-    """One record per model: its metrics on the test rows and what its training produced."""
+             oob: dict = None, min_recall: float = D.MIN_RECALL, balanced: DataFrame = None) -> DataFrame:
+    """One record per model: its metrics on the test rows and what its training produced.
+
+    With the `balanced` rows they were trained on, bagged forests add their own out-of-bag score.
+    """
+    if balanced is not None:
+        ready = select_features(balanced, key, features, label)
+        own = {n: m.oob_score(ready, key).first()["oob_accuracy"] for n, m in models.items() if isinstance(m, BaggedForest)}
+        oob = {**own, **(oob or {})}
     order = F.create_map(*[x for i, m in enumerate(models) for x in (F.lit(m), F.lit(i))])
     records = evaluate_models(score_test(models, test, key, features, label), cv=cv, min_recall=min_recall)
-    made = model_records(test.sparkSession, models, features or D.FEATURES, oob)
+    made = model_records(test.sparkSession, models, features or D.FEATURES, oob, cv)
     records = merge_previous_metrics(records, made, [c for c in made.columns if c != "model"])
     return records.withColumn("ordinal", order[F.col("model")])
 
