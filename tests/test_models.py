@@ -1,7 +1,10 @@
+import json
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import fixture as X
 from upkeep.operators import columns, evaluate, prep, train
@@ -44,6 +47,8 @@ def test_logistic_against_newton(spark, c):
     model = train.fit_logistic_regression(columns.select_features(df, "k", list("abc"), "y"), c=c)
     want = newton(x, y, c)
     np.testing.assert_allclose([*model.coefficients, model.intercept], want, atol=1e-4)
+    steps = train.newton_step(model, columns.select_features(df, "k", list("abc"), "y", as_vector=False), list("abc"), c).collect()
+    np.testing.assert_allclose([r["coefficient"] - r["step"] for r in steps], want, atol=1e-7)  # one step reaches the optimum
     rows = train.coefficients(spark, model, list("abc")).orderBy("rank").collect()
     assert [r["variable"] for r in rows] == ["b", "a", "c"] and [r["sign"] for r in rows][:2] == ["[-]", "[+]"]
     assert train.convergence(spark, model).first()["converged"]
@@ -109,10 +114,16 @@ def test_cross_validation_resampled_inside_folds_is_lower(spark, data):
     assert honest["cv_f1_mean"] < leaky["cv_f1_mean"] and leaky["cv_f1_std"] >= 0
 
 
-def test_oob(spark, data):
-    ready = columns.select_features(data["train"], "k", X.FEATURES, "failure")
-    row = train.oob_score(ready, "k", trees=3, max_depth=4).first()
-    assert row["oob_accuracy"] > 0.9 and 0.6 * 4800 < row["rows"] <= 4800
+def test_bagged_forest_in_the_stages(spark, data):
+    feats = [*X.FEATURES, "code"]
+    models = stages.train_models(data["balanced"], "k", feats, "failure", trees=6, out_of_bag=True)
+    cv = spark.createDataFrame([("Bosque Aleatorio", 0.91234, 0.01)], "model string, cv_f1_mean double, cv_f1_std double")
+    made = stages.evaluate(models, data["test"], "k", feats, "failure", cv=cv, balanced=data["balanced"])
+    got = {r["model"]: r for r in made.collect()}
+    forest = got["Bosque Aleatorio"]
+    assert len(got) == 3 and 0.8 < forest["oob_score"] < 1 and forest["auc_roc"] > 0.9
+    assert forest["cv_f1_mean"] == 0.9123 and got["Regresión Logística"]["cv_f1_mean"] is None
+    assert sum(forest["feature_importance"].values()) == pytest.approx(1, abs=1e-3) and forest["hiperparametros"]["n_estimators"] == "6"
 
 
 def test_csv_with_padded_header(spark, tmp_path):
@@ -142,6 +153,58 @@ def test_trim_json(spark):
     assert got[0]["d"] == '{"a": ["x", {"b": "y", "n": 1.5}], "c": null}' and got[1]["d"] is None
 
 
+def test_trim_json_of_any_shape(spark):
+    def clean(v):
+        if isinstance(v, dict):
+            return {k.strip(): clean(x) for k, x in v.items()}
+        return [clean(x) for x in v] if isinstance(v, list) else v.strip() if isinstance(v, str) else v
+
+    blanks = [chr(c) for c in (9, 10, 11, 12, 13, 28, 31, 32, 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x202F, 0x205F, 0x3000)]
+    odd = ["", " ", "a\\b", ' "q" ', "back\\ ", "\u00e9 x", "  " + "long word " * 50_000]
+    values = [*odd, *[b + "x" + b + "y" + b for b in blanks], {" k ": [1, None, {"": " z "}]}, [[], {}, " w "], 1.5, None, True]
+    docs = [json.dumps(v, ensure_ascii=e) for v in [*values, values, {b + "k" + b: b for b in blanks}] for e in (True, False)]
+    got = src.trim_json(spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, d string"), "d")
+    assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
+    for r in got.collect():
+        assert json.loads(r["d"]) == clean(json.loads(docs[r["i"]]))
+    with pytest.raises(Exception, match="not JSON"):
+        src.trim_json(spark.createDataFrame([('{"a": ',)], "d string"), "d").collect()
+
+
+def test_integers_keep_all_digits(spark, tmp_path):
+    path, types = tmp_path / "n.csv", {"a": T.LongType()}
+    path.write_text("a\n9007199254740993\n9223372036854775807\n-9223372036854775808\n9007199254740993.0\n1e3\n 7 \nNA\n")
+    assert [r["a"] for r in src.read_readings(spark, str(path), types).collect()] == [2**53 + 1, 2**63 - 1, -(2**63), 2**53 + 1, 1000, 7, None]
+    for bad in ("9223372036854775808", "1.5", "1e-20", "9007199254740993.5"):
+        path.write_text(f"a\n{bad}\n")
+        with pytest.raises(Exception, match="not an integer|OVERFLOW"):
+            src.read_readings(spark, str(path), types).collect()
+
+
+def test_publication_is_all_or_nothing(spark, tmp_path):
+    path = str(tmp_path / "made")
+    one, two = (spark.createDataFrame([(k,)], "k string") for k in ("old", "new"))
+    with pytest.raises(FileNotFoundError):
+        store.read_processed(spark, path)
+    store.write_processed(path, one, one, ["x"])
+
+    def fails(to):
+        raise OSError("lost")
+
+    with pytest.raises(OSError):  # between the parts
+        store.publish(spark, path, {"train": two.write.parquet, "test": fails})
+    tr, te, names = store.read_processed(spark, path)
+    assert [r["k"] for r in tr.unionByName(te).collect()] == ["old", "old"] and names == ["x"]
+    for n, part in ((2, two), (3, two)):
+        assert store.write_processed(path, part, part, ["y"]) == n
+    tr, te, names = store.read_processed(spark, path)
+    assert [r["k"] for r in tr.unionByName(te).collect()] == ["new", "new"] and names == ["y"]
+    assert sorted(p.name for p in (tmp_path / "made" / "versions").iterdir()) == ["2", "3"]  # the oldest is gone
+    store.write_json(one, path + "-doc")
+    store.write_json(two, path + "-doc")
+    assert store.read_json(spark, path + "-doc", two.schema).first()["k"] == "new"
+
+
 def test_processed_round_trip(spark, tmp_path):
     a = spark.createDataFrame([("k1", 0.5, 1)], "k string, x double, y int")
     store.write_processed(str(tmp_path), a, a, ["x"])

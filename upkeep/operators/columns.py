@@ -3,12 +3,13 @@
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upkeep import defaults as D
 from upkeep.functions import scalars as S
-from upkeep.operators.bounds import SMALL, settle
+from upkeep.operators.bounds import settle
+from upkeep.operators.running import prefix_scan
 
 
 def rename_columns(df: DataFrame, names: dict = None) -> DataFrame:
@@ -25,22 +26,10 @@ def require_columns(df: DataFrame, columns: list) -> DataFrame:
 
 
 def category_codes(df: DataFrame, column: str = D.CATEGORY) -> DataFrame:
-    """(category, code): codes 0..k-1 in sorted order of the category.
-
-    A handful of levels is numbered in one window. Beyond `SMALL` levels they are cut into
-    sorted ranges, written, and numbered inside each range from the counts of the ranges before.
-    """
-    levels = settle(df.select(column).where(F.col(column).isNotNull()).distinct())
-    if levels.limit(SMALL + 1).count() <= SMALL:
-        return levels.withColumn("code", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(column)) - 1)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = settle(levels.repartitionByRange(parts, column).withColumn("__part", F.spark_partition_id()))
-    before = Window.partitionBy(F.lit(0)).orderBy("__part")
-    sizes = cut.groupBy("__part").count().withColumn("__before", F.sum("count").over(before) - F.col("count"))
-    inside = F.row_number().over(Window.partitionBy("__part").orderBy(column))
-    return cut.withColumn("__r", inside).join(sizes, "__part").select(
-        column, (F.col("__before") + F.col("__r") - 1).cast("int").alias("code")
-    )
+    """(category, code): codes 0..k-1 in sorted order of the category, a prefix scan over its levels, however many."""
+    levels = df.select(column).where(F.col(column).isNotNull()).distinct()
+    scan = prefix_scan(levels.select(column, F.lit(0).alias("__all"), F.lit(1).cast("bigint").alias("__n")), "__all", column, ["__n"])
+    return scan.select(column, F.col("__n_below").cast("int").alias("code"))
 
 
 def encode_category(df: DataFrame, column: str = D.CATEGORY, out: str = D.CATEGORY_CODE) -> DataFrame:
