@@ -198,13 +198,15 @@ def anchors(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, ..
     return of, grams[anchor], start - at[of], stop - start, anchor - at[of]
 
 
-def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = 400) -> DataFrame:
+def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = 400, whole_letters: bool = False) -> DataFrame:
     """`docs` with `spans` (start, end of the maximal removed runs of bytes), `n_bytes`, `n_removed`, `n_spans`, and
     `kept`, the other bytes.
 
     A byte goes if a string of `min_bytes` that covers it also starts at another place of any text, the same text
     included. A null text is empty, rows that repeat a text remove each other, ties have no effect, an empty table
     gives an empty table. Columns of `docs` with the names above, `__a` or `__b` are replaced.
+
+    With `whole_letters` a removed run takes along the rest of a letter (of UTF-8) that it would cut, so that `kept` is text.
     """
     if min_bytes < 2 * GRAM:
         raise ValueError(f"min_bytes must be at least {2 * GRAM}")
@@ -269,6 +271,9 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_b
                     gone[f["start"]] += 1
                     gone[f["end"]] -= 1
                 gone = np.cumsum(gone[:-1]) > 0
+                if whole_letters:
+                    letter = np.cumsum((raw & 0xC0) != 0x80)  # bytes of one letter have one number
+                    gone = np.isin(letter, np.unique(letter[gone]))
                 out.append((_runs(gone), len(raw), int(gone.sum()), raw[~gone].tobytes()))
             spans = pa.array([[{"start": s, "end": e} for s, e in o[0]] for o in out], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays(
