@@ -22,11 +22,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand in several places go from all of them; every document stays, with what is left; a letter cut in half goes too."""
-    out = suffix.suffix_dedup(docs, min_bytes=REPEAT_BYTES)
-    text = F.when(F.col("n_removed") > 0, F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("\ufffd"), F.lit(""))).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).drop("kept", "spans", "n_bytes", "n_removed", "n_spans")
+    """Passages that stand in several places go from all of them; every document stays, with what is left of whole letters."""
+    out = suffix.suffix_dedup(docs, min_bytes=REPEAT_BYTES, whole_letters=True)
+    cut = F.col("n_removed") > 0
+    out = out.withColumn("text", F.when(cut, F.col("kept").cast("string")).otherwise(F.col("text")))
+    return out.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))).drop(*suffix.MADE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with what the mix takes of each."""
-    return mixing.mix(docs, quality=weights(spark, sf_dir))
+    """Documents of which the mix takes words, with how many; those without any words stay."""
+    return mixing.mix(docs, quality=weights(spark, sf_dir)).where("taken > 0 OR size = 0")
 
 
 STAGES = [
