@@ -7,10 +7,14 @@ WITH coded AS (SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(co
 sized AS (SELECT *, len(w) AS n, h // 10 AS g FROM coded),
 placed AS (SELECT *, g % greatest(n, 1) AS a, 1 + (n - g % greatest(n, 1)) // (3 + g % 8) AS p FROM sized),
 texts AS MATERIALIZED (SELECT doc_id, doc, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM placed),
-tok AS MATERIALIZED (SELECT doc, i, w[i + 1] AS word, CASE WHEN i > 0 THEN w[i] END AS prev, CASE WHEN i + 16 <= len(w) THEN hash(w[i + 1 : i + 16]) END AS gram FROM (SELECT doc, w, unnest(range(len(w))) AS i FROM texts)),
-often AS (SELECT doc, gram FROM tok WHERE gram IS NOT NULL GROUP BY ALL HAVING count(*) > 1),
-again AS MATERIALIZED (SELECT tok.* FROM tok JOIN often USING (doc, gram)),
-far AS MATERIALIZED (SELECT DISTINCT x.doc, y.i - x.i AS d FROM again x JOIN again y ON x.doc = y.doc AND x.gram = y.gram AND y.i > x.i AND x.prev IS DISTINCT FROM y.prev),
+tok AS MATERIALIZED (SELECT doc, i, n, words[i + 1] AS word, CASE WHEN i > 0 THEN words[i] END AS prev FROM (SELECT doc, w AS words, len(w) AS n, unnest(range(len(w))) AS i FROM texts)),
+g2 AS (SELECT *, hash(word, lead(word) OVER (PARTITION BY doc ORDER BY i)) AS h FROM tok),
+g4 AS (SELECT * REPLACE (hash(h, lead(h, 2) OVER (PARTITION BY doc ORDER BY i)) AS h) FROM g2),
+g8 AS (SELECT * REPLACE (hash(h, lead(h, 4) OVER (PARTITION BY doc ORDER BY i)) AS h) FROM g4),
+grams AS MATERIALIZED (SELECT doc, i, n, prev, hash(h, lead(h, 8) OVER (PARTITION BY doc ORDER BY i)) AS gram FROM g8 QUALIFY i + 16 <= n),
+often AS (SELECT doc, gram FROM grams GROUP BY ALL HAVING count(*) > 1),
+again AS MATERIALIZED (SELECT grams.* FROM grams JOIN often USING (doc, gram)),
+far AS MATERIALIZED (SELECT DISTINCT x.doc, y.i - x.i AS d FROM again x JOIN again y ON x.doc = y.doc AND x.gram = y.gram AND y.i > x.i AND x.prev IS DISTINCT FROM y.prev AND 3 * (y.i - x.i) <= x.n),
 same AS (SELECT far.doc, d, x.i, x.i - row_number() OVER (PARTITION BY far.doc, d ORDER BY x.i) AS island FROM far JOIN tok x ON x.doc = far.doc JOIN tok y ON y.doc = x.doc AND y.i = x.i + d AND y.word = x.word),
 stretches AS (SELECT doc, d, min(i) AS start, count(*) + d AS length FROM same GROUP BY doc, d, island),
 runs AS MATERIALIZED (SELECT doc, start, length, min(d) AS period FROM stretches WHERE length >= greatest(24, 3 * d) GROUP BY ALL),
@@ -47,4 +51,44 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 20
 """
 
-O = {"op11_periodic_runs": OP11, "op12_topk_search": OP12, "op13_lexical_search": OP13}
+OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body) AS n, sha256(body) AS digest FROM p),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+"""
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP6 = f"""
+WITH docs AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS doc, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(len(w), 10) AS n FROM items WHERE len(w) > 0),
+windows AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+lengths AS (SELECT DISTINCT n FROM windows),
+grams AS (SELECT doc, i, n, array_to_string(w[i : i + n - 1], ' ') AS gram FROM (SELECT doc, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n)),
+hits AS MATERIALIZED (SELECT doc, i, n, item_id FROM grams JOIN windows USING (n, gram)),
+hit AS (SELECT doc, count(DISTINCT spot) AS n_hit FROM (SELECT doc, unnest(range(i, i + n)) AS spot FROM hits) GROUP BY doc),
+found AS (SELECT doc, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM hits GROUP BY doc)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (doc) LEFT JOIN found USING (doc)
+"""
+
+
+def _escaped(column):
+    """The length of a text with the template's escapes: & < [ ] become 5, 4, 5 and 5 characters."""
+    return f"(length({column}) + 4 * (length({column}) - length(replace({column}, '&', ''))) + 3 * (length({column}) - length(replace({column}, '<', ''))) + 4 * (length({column}) - length(translate({column}, '[]', ''))))"
+
+
+OP7 = f"""
+WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS spot FROM rows),
+marked AS (SELECT *, (lag(role) OVER (PARTITION BY conv_id ORDER BY spot) IS DISTINCT FROM role) AS opens FROM placed)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY spot)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY spot) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(7 + sum({_escaped('text')}) + sum(CASE WHEN opens THEN 5 + 2 * {_escaped('role')} ELSE 3 END) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+O = {"op3_warc_writer": OP3, "op6_decontamination": OP6, "op7_chat_formatting": OP7, "op11_periodic_runs": OP11, "op12_topk_search": OP12, "op13_lexical_search": OP13}

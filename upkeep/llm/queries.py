@@ -28,7 +28,7 @@ def op2_order_minhash(spark, d):
 def op3_warc_writer(spark, d):
     folder = scratch_path(spark, "warc")
     warc.write_warc(table(spark, d, "pages"), folder)
-    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "file")
+    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_source_mixing(spark, d):
