@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep.functions.hashing import digits, draw
-from upkeep.operators.bounds import bounded
+from upkeep.operators.bounds import bounded, settle
 
 PREFIX = 4  # hex digits: 65 536 buckets per class
-_MAX_CELLS = 16 * 16**PREFIX
 
 
 def _hashed(df, key, seed):
@@ -79,9 +78,7 @@ def segment_rows(df: DataFrame, key: str, group: str, ranks, cuts: int, seed, ou
 def ranked(df: DataFrame, key: str, group: str, seed, out: str) -> DataFrame:
     """Add `out`: the 0-based rank of the row inside its class, in hash order of `key`."""
     slim = _hashed(df.select(key, group), key, seed)
-    offsets = bounded(
-        _offsets(_class_cells(slim, group), group).select(group, "__b", "__before"), "rank buckets", _MAX_CELLS
-    )
+    offsets = settle(_offsets(_class_cells(slim, group), group).select(group, "__b", "__before"))  # its size decides how it is joined
     w = Window.partitionBy(group, "__b").orderBy("__h", key)
     return (
         _hashed(df, key, seed).withColumn("__r", F.row_number().over(w))
