@@ -60,6 +60,8 @@ CLASS_NAMES = {0: "Normal", 1: "Falla"}
 HOLDS, FAILS = "NO FALSADA", "FALSADA"
 RULE_OK, RULE_REVIEW = "OK", "REVISAR"
 STRONG, MODERATE = "alta", "moderada"
+P_SMALL, P_FORMAT = "(p<0.001 ***)", "(p=%.3f)"
+BAR_METRICS = ["accuracy", "precision", "recall", "f1", "auc_roc"]
 
 TREE, FOREST, LOGISTIC = "Árbol de Decisión", "Bosque Aleatorio", "Regresión Logística"
 

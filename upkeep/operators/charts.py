@@ -60,7 +60,7 @@ def histogram_by_class(df: DataFrame, features: list = None, label: str = D.TARG
     if not with_p:
         return out
     p = F.col("p")
-    label_of = F.when(p < 0.001, "(p<0.001 ***)").otherwise(F.format_string("(p=%.3f)", p))
+    label_of = F.when(p < 0.001, D.P_SMALL).otherwise(F.format_string(D.P_FORMAT, p))
     tests = t_test_by_class(df, features, label).select("variable", label_of.alias("p_label"))
     return out.join(tests, "variable")
 
@@ -115,14 +115,11 @@ def scatter_sample(df: DataFrame, key: str, columns: list, fraction: float, seed
     return df.where(unit(draw(seed, key)) < fraction).select(key, *columns)
 
 
-BAR_METRICS = ["accuracy", "precision", "recall", "f1", "auc_roc"]
-
-
 def metric_table_long(metrics: DataFrame, names: list = None) -> DataFrame:
     """(model, metric, value), with the cross-validation mean and deviation as 0 where missing."""
     cv = {c: F.coalesce(c, F.lit(0.0)) for c in ("cv_f1_mean", "cv_f1_std") if c in metrics.columns}
     wide = metrics.withColumns(cv) if cv else metrics
-    return wide.unpivot("model", [*(names or BAR_METRICS), *cv], "metric", "value")
+    return wide.unpivot("model", [*(names or D.BAR_METRICS), *cv], "metric", "value")
 
 
 def importance_ranked(importance: DataFrame, value: str = "importance") -> DataFrame:
@@ -137,7 +134,7 @@ def importance_ranked(importance: DataFrame, value: str = "importance") -> DataF
 
 def best_per_metric(metrics: DataFrame, names: list = None) -> DataFrame:
     """metric_table_long with the best value of each metric marked."""
-    long = metrics.unpivot("model", names or BAR_METRICS, "metric", "value")
+    long = metrics.unpivot("model", names or D.BAR_METRICS, "metric", "value")
     return long.withColumn("is_best", F.coalesce(F.col("value") == F.max("value").over(Window.partitionBy("metric")), F.lit(False)))
 
 
