@@ -15,6 +15,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -231,7 +232,8 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_b
         F.collect_set(F.struct("start", "n", "h")).alias("cuts"))
 
     def segment(batches):
-        for b in slices(batches, "text", 1 << 21):
+        task = TaskContext.get().partitionId() << 32
+        for number, b in enumerate(slices(batches, "text", 1 << 21)):
             data, at = text_bytes(b.column("text"))
             raw, seen, rows = data.tobytes(), {}, []
             for i, (a, bb, cuts) in enumerate(zip(*(b.column(c).to_pylist() for c in ("__a", "__b", "cuts")))):
@@ -240,20 +242,36 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_b
                     part = raw[s : s + c["n"] + min_bytes - 1]
                     sid = hashlib.blake2b(part, digest_size=16).digest()
                     if sid not in seen:
-                        seen[sid] = [c["h"], sid, c["n"], 0, part, []]
+                        seen[sid] = [c["h"], sid, c["n"], 0, part, [], task + number]
                         rows.append(seen[sid])
                     seen[sid][3] += 1
                     seen[sid][5].append({"a": a, "b": bb, "start": c["start"]})
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 6, _SEGMENT)], _SEGMENT_NAMES)
+                [pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 7, _SEGMENT)], _SEGMENT_NAMES)
 
     places = written(fit.join(own, ["__a", "__b"]).mapInArrow(segment, _SEGMENT_SQL), "segments")
     dropped(cuts, often)
     found = _runs_of_each(_repeats(places.select("h", "sid", "n", "copies", "part"), min_bytes, 0))
-    spans = places.select("sid", "at").join(found, "sid").select("runs", F.inline("at")).select(
-        F.col("a").alias("__a"), F.col("b").alias("__b"),
-        F.transform("runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("start"), (F.col("start") + r["hi"] + min_bytes - 1).alias("end"))).alias("runs"))
-    spans = written(spans.groupBy("__a", "__b").agg(F.flatten(F.collect_list("runs")).alias("__found")), "spans")
+
+    # Places meet their runs by segment and go back to their slice, which gives one row a text.
+    def merge(table: pa.Table) -> pa.Table:
+        texts: dict[tuple, list] = {}
+        for at, runs in zip(table["at"].to_pylist(), table["runs"].to_pylist()):
+            for p in at:
+                texts.setdefault((p["a"], p["b"]), []).extend((p["start"] + r["lo"], p["start"] + r["hi"] + min_bytes - 1) for r in runs)
+        made = []
+        for spans in texts.values():
+            own = []
+            for start, end in sorted(spans):
+                if own and start <= own[-1]["end"]:
+                    own[-1]["end"] = max(own[-1]["end"], end)
+                else:
+                    own.append({"start": start, "end": end})
+            made.append(own)
+        return pa.table([pa.array([k[0] for k in texts], pa.int64()), pa.array([k[1] for k in texts], pa.int64()), pa.array(made, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["__a", "__b", "spans"])
+
+    spans = places.select("slice", "sid", "at").join(found, "sid").select("slice", "at", "runs").groupBy("slice").applyInArrow(merge, "__a long, __b long, spans array<struct<start:bigint,end:bigint>>")
+    spans = written(spans.groupBy("__a", "__b").agg(F.flatten(F.collect_list("spans")).alias("__found")), "spans")
     dropped(places)
     keep = [c for c in docs.columns if c not in ("__a", "__b")]
 
@@ -286,9 +304,9 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_b
     return joined.mapInArrow(remove, schema)
 
 
-_SEGMENT_NAMES = ["h", "sid", "n", "copies", "part", "at"]
-_SEGMENT = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("start", pa.int64())]))]
-_SEGMENT_SQL = "h long, sid binary, n long, copies long, part binary, at array<struct<a:bigint,b:bigint,start:bigint>>"
+_SEGMENT_NAMES = ["h", "sid", "n", "copies", "part", "at", "slice"]
+_SEGMENT = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("start", pa.int64())])), pa.int64()]
+_SEGMENT_SQL = "h long, sid binary, n long, copies long, part binary, at array<struct<a:bigint,b:bigint,start:bigint>>, slice long"
 
 
 def _runs_of_each(found: DataFrame) -> DataFrame:
