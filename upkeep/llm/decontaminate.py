@@ -2,8 +2,10 @@
 
 The fingerprints of a document are the least of each GUARD - GRAM + 1 neighbouring hashes of GRAM words. A span of GUARD
 words that an item and a document share has the same least hash in both, so joining the documents' fingerprints with
-all hashes of the items finds each such span. Every hit names a document, an item and the shift between them; along
-that shift the words are compared and the runs of equal words extended, so a hash that collides decides nothing.
+the different hashes of all items finds each such span, with one row a fingerprint however many items hold it. The whole
+windows around these places are then joined with those of the items, so that a stem many items begin with pairs no document
+with them. Every hit names a document, an item and the shift between them; along that shift the words are compared and
+the runs of equal words extended, so a hash that collides decides nothing.
 
 Items shorter than the window are one window of their own length; for these the documents' runs of just that many words
 are joined, one pass for each length that occurs (at most window - 1).
@@ -77,7 +79,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         "row", F.sha2(F.concat_ws(" ", F.when(F.col("item").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.base64(F.encode("item", "UTF-8")))), F.array_join("own", " ")), 256)), "items")
     hashed = slim.select("__a", "__b", F.transform(words(F.col("t")), lambda w: F.xxhash64(w)).alias("h"))
     prints = _winnowed(_with_grams(hashed, gram), gram, window - gram + 1)
-    hits = _shifts(prints, bench.where(F.size("own") >= window), gram)
+    hits = _window_shifts(slim, prints, bench.where(F.size("own") >= window), window, gram)
     for n in [r[0] for r in bench.where(F.size("own") < window).select(F.size("own")).distinct().collect()]:  # window - 1 at most
         runs = _with_grams(hashed, n).select("__a", "__b", F.posexplode("g").alias("here", "print"))
         hits = hits.unionByName(_shifts(runs, bench.where(F.size("own") == n), n))
@@ -103,9 +105,31 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         "hit_words": F.coalesce("hit_words", F.array().cast("array<struct<from:int,upto:int>>")), "contaminated": F.col("n_hit").isNotNull()}).drop("__a", "__b")
 
 
+def _item_grams(bench: DataFrame, k: int) -> DataFrame:
+    """(row, there, print): the hashes of each k neighbouring words of the items."""
+    hashed = bench.select(F.col("row").alias("__a"), F.lit(0).alias("__b"), F.transform("own", lambda w: F.xxhash64(w)).alias("h"))
+    return _with_grams(hashed, k).select(F.col("__a").alias("row"), F.posexplode("g").alias("there", "print"))
+
+
+def _window_shifts(slim: DataFrame, prints: DataFrame, bench: DataFrame, window: int, gram: int) -> DataFrame:
+    """(document, row of the item, shift) where a window around one of the document's fingerprints has the hash of an item's window.
+
+    The rows are as many as windows in common, not as fingerprints in common. Texts are read again only where a
+    fingerprint is one of an item's.
+    """
+    known = prints.join(_item_grams(bench, gram).select("print").distinct(), "print", "left_semi")
+    places = known.groupBy("__a", "__b").agg(F.collect_set("here").alias("places"))
+    near = slim.join(places, ["__a", "__b"]).dropDuplicates(["__a", "__b"]).select("__a", "__b", "places", F.transform(words(F.col("t")), lambda w: F.xxhash64(w)).alias("h"))
+    around = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(F.greatest(p - (window - gram), F.lit(0)), p))))
+    near = near.select("__a", "__b", "h", F.filter(around, lambda s: s <= F.size("h") - window).alias("starts"))
+    hashes = lambda starts: F.explode(F.transform(starts, lambda s: F.struct(s.alias("at"), F.xxhash64(F.slice("h", s + 1, window)).alias("print"))))
+    ours = near.select("__a", "__b", hashes("starts").alias("v")).select("__a", "__b", F.col("v.at").alias("here"), "v.print")
+    theirs = bench.select("row", F.transform("own", lambda w: F.xxhash64(w)).alias("h")).withColumn("starts", F.sequence(F.lit(0), F.size("h") - window))
+    theirs = theirs.select("row", hashes("starts").alias("v")).select("row", F.col("v.at").alias("there"), "v.print")
+    return ours.join(theirs, "print").select("__a", "__b", "row", (F.col("here") - F.col("there")).alias("shift")).distinct()
+
+
 def _shifts(prints: DataFrame, bench: DataFrame, k: int) -> DataFrame:
     """(document, row of the item, shift) of the items' runs of k words among the documents' hashes. Spark broadcasts the items if they
     are small, by the size of the written table, and else shuffles both sides by hash."""
-    hashed = bench.select(F.col("row").alias("__a"), F.lit(0).alias("__b"), F.transform("own", lambda w: F.xxhash64(w)).alias("h"))
-    grams = _with_grams(hashed, k).select(F.col("__a").alias("row"), F.posexplode("g").alias("there", "print"))
-    return prints.join(grams, "print").select("__a", "__b", "row", (F.col("here") - F.col("there")).alias("shift")).distinct()
+    return prints.join(_item_grams(bench, k), "print").select("__a", "__b", "row", (F.col("here") - F.col("there")).alias("shift")).distinct()
