@@ -6,13 +6,12 @@ r and c from the Gamma(2, 1) distribution and b from [0, 1), and gets
     t = floor(ln w / r + b),   ln a = ln c - r (t - b) - r.
 
 The sample is the (x, t) of the least a. Two texts have the same sample with a chance of the sum of the lesser weights
-over the sum of the greater ones, their generalised Jaccard similarity. There are ROUNDS such draws. So that a term is
-not drawn for as often as there are samples, a hash deals the terms to BINS bins and each bin gives ROUNDS samples; the
-share of equal samples among bins that either text has terms in estimates the similarity, with a standard error of about
-0.5 / sqrt(BINS * ROUNDS).
+over the sum of the greater ones, their generalised Jaccard similarity. There are ROUNDS such samples, each over all terms;
+the share of equal samples estimates the similarity, with a standard error of at most 0.5 / sqrt(ROUNDS).
 
-Each candidate is one long, ln a in steps of 2 ** -32 above 24 bits of the sample's hash, so that the least of a bin is a
-plain minimum.
+Candidates depend on the term and its weight alone, so they are drawn once for each (term, weight) of a part of the rows
+and passed on to all texts of the part that have it. Each candidate is one long, ln a in steps of 2 ** -32 above 24 bits of
+the sample's hash, so that the least is a plain minimum.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,38 +19,44 @@ from pyspark.sql import functions as F
 
 from upkeep.llm.common import keyed, search, without, words, written
 
-BINS, ROUNDS, EMPTY = 8, 8, 2**24 - 1
-RANGE_ROWS = 1_000  # documents to a range of keys, about
+ROUNDS, NAMES = 64, 2**24 - 1
+RANGE_ROWS = 1_000  # documents to a part, about
 
 
-def signatures(rows: DataFrame, *keys: str, text: str = "text", bins: int = BINS, rounds: int = ROUNDS) -> DataFrame:
-    """(keys, signature): `bins` times `rounds` numbers of 24 bits for each row; keys name a row.
+def signatures(rows: DataFrame, part: str, *keys: str, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """(part, keys, signature): `rounds` numbers of 24 bits for each row; part and keys name a row.
 
-    If `rows` are partitioned by some of the keys already, nothing moves: terms are counted and sampled where they are.
-    A text without words has itself as its term; null is empty.
+    If `rows` are partitioned by `part` already, nothing moves: terms are counted and sampled where they are. The
+    signature does not depend on the parts. A text without words has itself as its term; null is empty.
     """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     found = words(F.lower(value))
-    terms = rows.select(*keys, F.explode(F.when(F.size(found) > 0, found).otherwise(F.array(value))).alias("__word"))
-    terms = terms.select(*keys, F.xxhash64("__word").alias("__term")).groupBy(*keys, "__term").agg(F.count(F.lit(1)).alias("__n"))
+    terms = rows.select(part, *keys, F.explode(F.when(F.size(found) > 0, found).otherwise(F.array(value))).alias("__word"))
+    terms = terms.select(part, *keys, F.xxhash64("__word").alias("__term")).groupBy(part, *keys, "__term").agg(F.count(F.lit(1)).alias("__n"))
+    alike = Window.partitionBy(part, "__term", "__n").orderBy("__n")
+    terms = terms.withColumn("__nth", F.row_number().over(alike)).withColumn("__drawn", F.when(F.col("__nth") == 1, _draws("__term", "__n", rounds)))
+    whole = alike.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    drawn = terms.select(part, *keys, F.first("__drawn", ignorenulls=True).over(whole).alias("__drawn"))
+    least = drawn.groupBy(part, *keys).agg(*[F.min(F.get("__drawn", F.lit(k))).alias(f"__m{k}") for k in range(rounds)])
+    return least.select(part, *keys, F.array(*[F.col(f"__m{k}").bitwiseAND(F.lit(NAMES)).cast("int") for k in range(rounds)]).alias("signature"))
+
+
+def _draws(term: str, count: str, rounds: int) -> Column:
+    """One candidate a round. Each step binds what the next one uses more than once."""
 
     def unit(h: Column, first: int) -> Column:
         """A number in (0, 1) from 31 bits of a hash."""
         return (F.shiftrightunsigned(h, first).bitwiseAND(F.lit(2**31 - 1)).cast("double") + 0.5) * F.lit(2.0**-31)
 
-    def candidate(k: int) -> Column:
-        h, i, j = (F.xxhash64("__term", F.lit(3 * k + n)) for n in range(3))
-        r, ln_c, b = -F.log(unit(h, 0) * unit(h, 32)), F.log(-F.log(unit(i, 0) * unit(i, 32))), unit(j, 0)
-        t = F.floor(F.col("__lnw") / r + b)
-        name = F.pmod(F.xxhash64("__term", t), F.lit(EMPTY))
-        return F.shiftleft(((ln_c - r * (t - b) - r) * F.lit(2.0**32)).cast("long"), 24).bitwiseOR(name)
+    def candidate(d: Column) -> Column:
+        ln_a = d["ln_c"] - d["r"] * (d["t"] - d["b"]) - d["r"]
+        return F.shiftleft((ln_a * F.lit(2.0**32)).cast("long"), 24).bitwiseOR(F.xxhash64(term, d["t"]).bitwiseAND(F.lit(NAMES)))
 
-    drawn = terms.select(*keys, F.pmod("__term", F.lit(bins)).cast("int").alias("__bin"), "__term", F.log(F.col("__n").cast("double")).alias("__lnw"))
-    least = drawn.groupBy(*keys, "__bin").agg(*[F.min(candidate(k)).alias(f"__m{k}") for k in range(rounds)])
-    names = F.array(*[F.col(f"__m{k}").bitwiseAND(F.lit(2**24 - 1)).cast("int") for k in range(rounds)])
-    whole = least.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__bin", names.alias("names")))).alias("__bins"))
-    none = F.array(*[F.lit(EMPTY)] * rounds)
-    return whole.select(*keys, F.flatten(F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.coalesce(F.try_element_at("__bins", i), none))).alias("signature"))
+    lnw = F.log(F.col(count).cast("double"))
+    hashes = F.transform(F.sequence(F.lit(0), F.lit(rounds - 1)), lambda k: F.struct(*[F.xxhash64(term, 3 * k + n).alias(x) for n, x in enumerate("hij")]))
+    gammas = F.transform(hashes, lambda d: F.struct((-F.log(unit(d["h"], 0) * unit(d["h"], 32))).alias("r"), F.log(-F.log(unit(d["i"], 0) * unit(d["i"], 32))).alias("ln_c"), unit(d["j"], 0).alias("b")))
+    steps = F.transform(gammas, lambda d: F.struct(d["r"].alias("r"), d["ln_c"].alias("ln_c"), d["b"].alias("b"), F.floor(lnw / d["r"] + d["b"]).alias("t")))
+    return F.transform(steps, candidate)
 
 
 def as_text(signature: Column) -> Column:
@@ -59,20 +64,21 @@ def as_text(signature: Column) -> Column:
 
 
 def likeness(one: Column, two: Column) -> Column:
-    """The share of equal samples among the bins in use."""
-    pairs = F.filter(F.zip_with(one, two, lambda x, y: F.struct(x.alias("x"), y.alias("y"))), lambda p: (p["x"] != EMPTY) | (p["y"] != EMPTY))
-    return F.size(F.filter(pairs, lambda p: p["x"] == p["y"])) / F.size(pairs)
+    """The share of equal samples."""
+    return F.size(F.filter(F.zip_with(one, two, lambda x, y: x == y), lambda same: same)) / F.size(one)
 
 
-def fingerprint(docs: DataFrame, text: str = "text", bins: int = BINS, rounds: int = ROUNDS) -> DataFrame:
+def fingerprint(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """`docs` with `signature` (array of int) and `fingerprint` (the same in hexadecimal).
 
     Equal texts have equal fingerprints and are sampled once; null is an empty text. An empty table gives an empty table;
     columns named as the new ones, `__a` or `__b` are replaced.
     """
     docs = keyed(without(docs, "signature", "fingerprint"), text, text)
-    once = docs.select("__a", "__b", F.col(f"`{text}`").alias("text")).dropDuplicates(["__a", "__b"])
-    made = signatures(once, "__a", "__b", text="text", bins=bins, rounds=rounds)
+    parts = max(1, docs.count() // RANGE_ROWS)
+    once = docs.select(F.pmod("__a", F.lit(parts)).alias("__part"), "__a", "__b", F.col(f"`{text}`").alias("text"))
+    once = once.dropDuplicates(["__a", "__b"]).repartition(parts, "__part")
+    made = signatures(once, "__part", "__a", "__b", rounds=rounds).drop("__part")
     return docs.join(made, ["__a", "__b"]).drop("__a", "__b").withColumn("fingerprint", as_text(F.col("signature")))
 
 
@@ -104,7 +110,7 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return both.select("part", F.row_number().over(own).alias("row"), "guest", "key", "text", F.lead("text").over(own).alias("next_text"))
 
 
-def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", bins: int = BINS, rounds: int = ROUNDS) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Per row: key, `n_chars`, `edited_sha256`, `signature`, `edited_signature`, `next_signature`.
 
     The edited text has the first half of the row's text and, for the other half, as many first characters of the next
@@ -117,7 +123,7 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     rows = rows.select("part", "row", "guest", "key", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     both = rows.select("part", "row", F.explode(F.when(F.col("guest"), F.array(F.struct(F.lit(0).alias("kind"), "text"))).otherwise(
         F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))))).alias("v")).select("part", "row", "v.*")
-    made = signatures(both, "part", "row", "kind", bins=bins, rounds=rounds)
+    made = signatures(both, "part", "row", "kind", rounds=rounds)
     pair = made.groupBy("part", "row").agg(F.max(F.when(F.col("kind") == 0, F.col("signature"))).alias("signature"), F.max(F.when(F.col("kind") == 1, F.col("signature"))).alias("edited_signature"))
     pair = pair.withColumn("next_signature", F.lead("signature").over(Window.partitionBy("part").orderBy("row")))
     info = rows.where(~F.col("guest")).select("part", "row", F.col("key").alias(key), "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
