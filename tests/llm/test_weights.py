@@ -31,3 +31,12 @@ def test_parts_do_not_change_signatures(spark, monkeypatch):
     monkeypatch.setattr(fingerprint, "RANGE_ROWS", 7)
     assert one == {r["doc_id"]: r["fingerprint"] for r in fingerprint.fingerprint(df).collect()}
     assert len(one) == 60 and _likeness(spark, [("x y", "x y"), ("x", "y")], 64) == {0: pytest.approx(1), 1: pytest.approx(0)}
+
+
+def test_draws_are_compiled(spark):
+    """No draw walks through a lambda for each term and round."""
+    docs = spark.createDataFrame([(1, "a b b c"), (2, "a b b d")], "doc_id long, text string")
+    near = fingerprint.signatures(docs.withColumn("part", F.lit(0)), "part", "doc_id")
+    assert "lambdafunction" not in near._jdf.queryExecution().executedPlan().toString()
+    one, two = (r["signature"] for r in near.orderBy("doc_id").collect())
+    assert abs(sum(x == y for x, y in zip(one, two)) / 64 - 3 / 5) < 0.2  # (1 + 2) of (1 + 2 + 1 + 1)

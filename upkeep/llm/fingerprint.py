@@ -10,8 +10,8 @@ over the sum of the greater ones, their generalised Jaccard similarity. There ar
 the share of equal samples estimates the similarity, with a standard error of at most 0.5 / sqrt(ROUNDS).
 
 Candidates depend on the term and its weight alone, so they are drawn once for each (term, weight) of a part of the rows
-and passed on to all texts of the part that have it. Each candidate is one long, ln a in steps of 2 ** -32 above 24 bits of
-the sample's hash, so that the least is a plain minimum.
+and passed on to all texts of the part that have it. Within a round, x and t decide ln a, and no two samples share it but by
+a chance in 2 ** 50 or so: the least ln a is a plain minimum, and 24 bits of its hash name the sample.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,29 +34,41 @@ def signatures(rows: DataFrame, part: str, *keys: str, text: str = "text", round
     terms = rows.select(part, *keys, F.explode(F.when(F.size(found) > 0, found).otherwise(F.array(value))).alias("__word"))
     terms = terms.select(part, *keys, F.xxhash64("__word").alias("__term")).groupBy(part, *keys, "__term").agg(F.count(F.lit(1)).alias("__n"))
     alike = Window.partitionBy(part, "__term", "__n").orderBy("__n")
-    terms = terms.withColumn("__nth", F.row_number().over(alike)).withColumn("__drawn", F.when(F.col("__nth") == 1, _draws("__term", "__n", rounds)))
+    terms = _drawn(terms.withColumn("__nth", F.row_number().over(alike)), [part, *keys], rounds)
     whole = alike.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     drawn = terms.select(part, *keys, F.first("__drawn", ignorenulls=True).over(whole).alias("__drawn"))
     least = drawn.groupBy(part, *keys).agg(*[F.min(F.get("__drawn", F.lit(k))).alias(f"__m{k}") for k in range(rounds)])
-    return least.select(part, *keys, F.array(*[F.col(f"__m{k}").bitwiseAND(F.lit(NAMES)).cast("int") for k in range(rounds)]).alias("signature"))
+    return least.select(part, *keys, F.array(*[F.xxhash64(f"__m{k}").bitwiseAND(F.lit(NAMES)).cast("int") for k in range(rounds)]).alias("signature"))
 
 
-def _draws(term: str, count: str, rounds: int) -> Column:
-    """One candidate a round. Each step binds what the next one uses more than once."""
+def _drawn(terms: DataFrame, keep: list, rounds: int) -> DataFrame:
+    """(keep..., __term, __n, __drawn): ln a of one candidate a round, on the first of the rows that share a term and its weight.
 
-    def unit(h: Column, first: int) -> Column:
+    Written out for each round: Spark compiles plain expressions, but walks through the body of a lambda for each element.
+    r and b are columns of their own, since both are used twice.
+    """
+    first = F.col("__nth") == 1
+
+    def unit(h: Column, at: int) -> Column:
         """A number in (0, 1) from 31 bits of a hash."""
-        return (F.shiftrightunsigned(h, first).bitwiseAND(F.lit(2**31 - 1)).cast("double") + 0.5) * F.lit(2.0**-31)
+        return (F.shiftrightunsigned(h, at).bitwiseAND(F.lit(2**31 - 1)).cast("double") + 0.5) * F.lit(2.0**-31)
+
+    def hashed(n: int) -> Column:
+        return F.xxhash64("__term", F.lit(n))
+
+    def gamma(h: Column) -> Column:
+        return -F.log(unit(h, 0) * unit(h, 32))
+
+    r = {f"__r{k}": F.when(first, gamma(hashed(3 * k))) for k in range(rounds)}
+    b = {f"__b{k}": F.when(first, unit(hashed(3 * k + 2), 0)) for k in range(rounds)}
+    names = [*keep, "__term", "__n"]
+    terms = terms.select(*names, "__nth", F.log(F.col("__n").cast("double")).alias("__lnw"), *[c.alias(n) for n, c in {**r, **b}.items()])
 
-    def candidate(d: Column) -> Column:
-        ln_a = d["ln_c"] - d["r"] * (d["t"] - d["b"]) - d["r"]
-        return F.shiftleft((ln_a * F.lit(2.0**32)).cast("long"), 24).bitwiseOR(F.xxhash64(term, d["t"]).bitwiseAND(F.lit(NAMES)))
+    def candidate(k: int) -> Column:
+        r, b = F.col(f"__r{k}"), F.col(f"__b{k}")
+        return F.log(gamma(hashed(3 * k + 1))) + r * (b - F.floor(F.col("__lnw") / r + b) - 1)
 
-    lnw = F.log(F.col(count).cast("double"))
-    hashes = F.transform(F.sequence(F.lit(0), F.lit(rounds - 1)), lambda k: F.struct(*[F.xxhash64(term, 3 * k + n).alias(x) for n, x in enumerate("hij")]))
-    gammas = F.transform(hashes, lambda d: F.struct((-F.log(unit(d["h"], 0) * unit(d["h"], 32))).alias("r"), F.log(-F.log(unit(d["i"], 0) * unit(d["i"], 32))).alias("ln_c"), unit(d["j"], 0).alias("b")))
-    steps = F.transform(gammas, lambda d: F.struct(d["r"].alias("r"), d["ln_c"].alias("ln_c"), d["b"].alias("b"), F.floor(lnw / d["r"] + d["b"]).alias("t")))
-    return F.transform(steps, candidate)
+    return terms.select(*names, F.when(first, F.array(*[candidate(k) for k in range(rounds)])).alias("__drawn"))
 
 
 def as_text(signature: Column) -> Column:
