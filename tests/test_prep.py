@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from upkeep.operators import prep
-from upkeep.operators.bounds import bounded
+from upkeep.operators.bounds import bounded, settle, spread
 from upkeep.operators.neighbours import listed_rows, nearest_neighbours
 from upkeep.operators.smote import smote
 
@@ -162,3 +162,18 @@ def test_null_labels_are_split_as_a_class(spark):
     df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") >= 100, F.col("id") % 2).alias("y"))
     got = prep.stratified_split(df, "k", "y")
     assert got.where("split = 'test'").count() == 200 and got.where("split = 'test' and y is null").count() == 20
+
+
+def test_spread_makes_more_tasks_of_more_rows(spark):
+    """A task's share is bounded by size; a count of tasks fixed by the cores would let it grow with the input."""
+    def tasks(n):
+        rows = spread(spark.range(0, n, 1, n // 10_000).select("id", F.md5(F.col("id").cast("string")).alias("x")))
+        return len(settle(rows).inputFiles())
+
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        few, many = tasks(50_000), tasks(800_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert many > 2 * few and many > spark.sparkContext.defaultParallelism
