@@ -45,7 +45,7 @@ def train_models(balanced: DataFrame, key: str, features: list = None, label: st
                  trees: int = D.FOREST_TREES, out_of_bag: bool = False) -> dict:
     """The three classifiers on the balanced rows, by published name.
 
-    With `out_of_bag` the forest is a `BaggedForest`, which judges itself by the rows its trees did not draw, at one fit a tree.
+    With `out_of_bag` the forest is a `BaggedForest`, which judges itself by the rows its trees did not draw.
     """
     ready = select_features(balanced, key, features, label).persist()
     try:
