@@ -1,14 +1,14 @@
 """Forests grown level by level: every task counts its rows into the histograms of all trees' open nodes, and the
 histograms of a tree are added up and searched for the best splits in a task of their own.
 
-Rows are binned once and written at one byte a feature (two above 256 bins); no copy of them is kept for each tree. How often
+Rows are binned once and written in blocks at one byte a feature (two above 256 bins); no copy of them is kept for each tree. How often
 a tree draws a row is a function of the row's key, not of where the row lies, and draws are whole numbers, so the same rows give
 the same trees on any number of tasks. Gini impurity, continuous features; a split whose leaves predict the same is taken back, as Spark ML does.
 """
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,7 @@ from upkeep.operators.prep import class_weights
 
 CELLS = 20_000_000  # histogram cells of one scan over the rows: 160 MB in a task
 CHUNK = 131_072  # rows that a task counts at once
+BLOCK = 8_192  # bytes of a block of rows, which Spark moves as one row
 LEAST_GAIN = 1e-12  # less is rounding
 DATA = ("treeID int, nodeData struct<id: int, prediction: double, impurity: double, impurityStats: array<double>, rawCount: bigint, gain: double, "
         "leftChild: int, rightChild: int, split: struct<featureIndex: int, leftCategoriesOrThreshold: array<double>, numCategories: int>>")
@@ -27,7 +28,7 @@ _BEST = "tree int, slot int, total array<long>, feature int, cut int, gain doubl
 
 @dataclass
 class Binned:
-    """Rows as bins: `rows` (bins binary, label tinyint, draws binary or row long), the cut points of each feature, weights by class."""
+    """Rows as bins: `rows` (bins, label and, for bags, draws or row, as blocks of rows), the cut points of each feature, weights by class."""
 
     rows: DataFrame
     cuts: list
@@ -59,9 +60,9 @@ def _cut_points(max_bins):
     return cut
 
 
-def binned(train: DataFrame, dims: int, max_bins: int, balanced: bool, seed: int, row: Column, draws=None) -> Binned:
+def binned(train: DataFrame, dims: int, max_bins: int, balanced: bool, seed: int, row: Column, draws=None, bags: bool = True) -> Binned:
     """`train` (features vector, label) as bins, written. `row`, a long, names a row and makes its draws; with
-    `draws`, a function from a list of names to a matrix of each tree's draws, it is a string.
+    `draws`, a function from a list of names to a matrix of each tree's draws, it is a string. Without `bags` every tree has every row once.
 
     Cut points come from a sample of max(max_bins ** 2, 10 000) rows chosen by hash of `row`, as many as Spark ML takes; all rows are binned.
     """
@@ -76,7 +77,7 @@ def binned(train: DataFrame, dims: int, max_bins: int, balanced: bool, seed: int
     cuts = [found.get(i, []) for i in range(dims)]
     wide = "uint8" if max(len(c) for c in cuts) < 256 else "uint16"
     given = draws is not None
-    kept = "draws" if given else "row"
+    kept = ["draws" if given else "row"] if bags else []
 
     def place(batches):
         import numpy as np
@@ -86,29 +87,43 @@ def binned(train: DataFrame, dims: int, max_bins: int, balanced: bool, seed: int
             if b.num_rows:
                 x = np.asarray(b.column("x").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(b.num_rows, dims)
                 own = np.stack([np.searchsorted(c, x[:, i]) for i, c in enumerate(cuts)], axis=1).astype(wide)
-                last = _binary(draws(b.column("row").to_pylist())) if given else b.column("row")
-                yield pa.RecordBatch.from_arrays([_binary(own), b.column("label"), last], ["bins", "label", kept])
+                last = [draws(b.column("row").to_pylist()) if given else b.column("row").to_numpy(zero_copy_only=False)[:, None]] if bags else []
+                label = b.column("label").to_numpy(zero_copy_only=False)[:, None].astype(np.int8)
+                yield pa.RecordBatch.from_arrays(blocks(own, label, *last), ["bins", "label", *kept])
 
-    ddl = "bins binary, label tinyint, " + ("draws binary" if given else "row long")
-    return Binned(settle(rows.mapInArrow(place, ddl)), cuts, weights)
+    ddl = ", ".join(f"{c} binary" for c in ("bins", "label", *kept))
+    return Binned(settle((rows if bags else rows.drop("row")).mapInArrow(place, ddl)), cuts, weights)
 
 
-def _binary(matrix):
-    """Rows of a matrix as an Arrow column of bytes."""
+def blocks(*matrices):
+    """Matrices with a row for each row as Arrow columns of bytes, BLOCK bytes or so a record: moving rows one by one costs more than counting them."""
     import numpy as np
     import pyarrow as pa
 
-    size = matrix.shape[1] * matrix.itemsize
-    ends = np.arange(len(matrix) + 1, dtype=np.int32) * np.int32(size)
-    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(matrix))])
+    n, sizes = len(matrices[0]), [m.shape[1] * m.itemsize for m in matrices]
+    ends = np.append(np.arange(0, n, max(1, BLOCK // sum(sizes))), n)
+    return [
+        pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * size).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(m))])
+        for m, size in zip(matrices, sizes)
+    ]
 
 
-def _matrix(column, kind):
-    """The reverse of `_binary`."""
+def matrix(column, kind, width):
+    """The rows of such a column."""
     import numpy as np
 
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind).reshape(len(column), -1)
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind).reshape(-1, width)
+
+
+def pieces(batches, rows_of):
+    """(piece of a batch of blocks, its rows), CHUNK rows or so at most; rows_of tells the rows of a batch."""
+    for b in batches:
+        if b.num_rows:
+            step = max(1, b.num_rows * CHUNK // rows_of(b))
+            for start in range(0, b.num_rows, step):
+                piece = b.slice(start, step)
+                yield piece, rows_of(piece)
 
 
 def _table():
@@ -147,17 +162,23 @@ def _counted(open_nodes, ways, level, shape, seed):
     """
     bins, classes, kind = shape
 
+    def labels(b):
+        return matrix(b.column("label"), "int8", 1).ravel()
+
     def count(chunk, sums):
         import numpy as np
 
-        flat = np.concatenate([_matrix(b.column("bins"), kind).ravel() for b in chunk])
-        label = np.concatenate([b.column("label").to_numpy(zero_copy_only=False) for b in chunk])
+        flat = np.concatenate([matrix(b.column("bins"), kind, 1).ravel() for b in chunk])
+        label = np.concatenate([labels(b) for b in chunk])
         base = np.arange(len(label), dtype=np.int64) * (len(flat) // len(label))
         if "draws" in chunk[0].schema.names:
-            table = np.ascontiguousarray(np.concatenate([_matrix(b.column("draws"), np.int8) for b in chunk]).T)
+            wide = [matrix(b.column("draws"), np.int8, 1).reshape(len(labels(b)), -1) for b in chunk]
+            table = np.ascontiguousarray(np.concatenate(wide).T)
             draws = lambda tree: table[tree]
+        elif "row" not in chunk[0].schema.names:
+            draws = lambda tree: np.ones(len(label), np.int8)
         else:
-            draws = _drawn(np.concatenate([b.column("row").to_numpy(zero_copy_only=False) for b in chunk]), seed)
+            draws = _drawn(np.concatenate([matrix(b.column("row"), np.int64, 1).ravel() for b in chunk]), seed)
         for tree, (slots, features) in open_nodes.items():
             times = draws(tree)
             r = np.flatnonzero(times.astype(bool))
@@ -183,10 +204,9 @@ def _counted(open_nodes, ways, level, shape, seed):
         import pyarrow as pa
 
         sums, chunk, rows = {t: np.zeros((f.shape[1], len(f) * bins * classes)) for t, (_, f) in open_nodes.items()}, [], 0
-        for b in batches:
-            if b.num_rows:
-                chunk.append(b)
-                rows += b.num_rows
+        for b, n in pieces(batches, lambda b: len(labels(b))):
+            chunk.append(b)
+            rows += n
             if rows >= CHUNK:
                 count(chunk, sums)
                 chunk, rows = [], 0
@@ -312,16 +332,29 @@ def _written(tree, nodes, cuts, weights):
 _frames = {}  # saved models by settings, for one application
 
 
-def as_model(spark, rows: list, settings: dict, dims: int, classes: int) -> RandomForestClassificationModel:
-    """The Spark ML model of grown trees: their nodes in place of those of a model with the same settings, fitted to one row a class."""
-    slot = (spark.sparkContext.applicationId, *sorted(settings.items()), dims, classes)
+def framed(spark, maker, settings: dict, dims: int, classes: int):
+    """(folder of a saved model with these settings, fitted to one row a class; a new path that has its metadata)."""
+    slot = (spark.sparkContext.applicationId, maker.__name__, *sorted(settings.items()), dims, classes)
     if slot not in _frames:
         few = spark.createDataFrame([(Vectors.dense([float(c)] * dims), float(c), 1.0) for c in range(classes)], ["features", "label", "weight"])
         frame = new_path(spark)
-        RandomForestClassifier(**settings).fit(few.coalesce(1)).write().save(frame)
+        maker(**settings).fit(few.coalesce(1)).write().save(frame)
         _frames[slot] = frame
     frame, path = _frames[slot], new_path(spark)
     spark.read.text(f"{frame}/metadata").coalesce(1).write.text(f"{path}/metadata")
+    return frame, path
+
+
+def as_model(spark, rows: list, settings: dict, dims: int, classes: int) -> RandomForestClassificationModel:
+    """The Spark ML model of grown trees: their nodes in place of those of a model with the same settings, fitted to one row a class."""
+    frame, path = framed(spark, RandomForestClassifier, settings, dims, classes)
     spark.read.parquet(f"{frame}/treesMetadata").coalesce(1).write.parquet(f"{path}/treesMetadata")
     spark.createDataFrame(rows, DATA).coalesce(1).write.parquet(f"{path}/data")
     return RandomForestClassificationModel.load(path)
+
+
+def as_tree(spark, rows: list, settings: dict, dims: int, classes: int) -> DecisionTreeClassificationModel:
+    """The same for one tree."""
+    _, path = framed(spark, DecisionTreeClassifier, settings, dims, classes)
+    spark.createDataFrame(rows, DATA).select("nodeData.*").coalesce(1).write.parquet(f"{path}/data")
+    return DecisionTreeClassificationModel.load(path)

@@ -3,7 +3,7 @@
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -13,15 +13,29 @@ from upkeep import defaults as D
 from upkeep.functions.scalars import sign_tag
 from upkeep.operators import forest
 from upkeep.operators.gram import gram
-from upkeep.operators.prep import weighted
+from upkeep.operators.prep import weighted  # noqa: F401
 from upkeep.operators.trees import MAX_BINS, BaggedForest, fit_bagged_forest
 
 
 def fit_decision_tree(train: DataFrame, max_depth: int = D.TREE_DEPTH, balanced: bool = True, seed: int = D.SEED, max_bins: int = MAX_BINS):
-    tree = DecisionTreeClassifier(
-        impurity="gini", maxDepth=max_depth, maxBins=max_bins, seed=seed, weightCol="weight", featuresCol="features", labelCol="label"
-    )
-    return tree.fit(weighted(train, balanced))
+    """A Spark ML tree grown by `forest.grow` from all rows, which are binned once and not cached; only its cut points hang on the seed.
+
+    What tells rows apart for these is as in `fit_random_forest`.
+    """
+    dims, row = _dims(train), _row(train)
+    data = forest.binned(train, dims, max_bins, balanced, seed, row, bags=False)
+    settings = dict(impurity="gini", maxDepth=max_depth, maxBins=max_bins, seed=seed, weightCol="weight", featuresCol="features", labelCol="label")
+    return forest.as_tree(train.sparkSession, forest.grow(data, 1, max_depth, "all", seed), settings, dims, len(data.weights))
+
+
+def _dims(train):
+    return len(train.select("features").first()[0])
+
+
+def _row(train):
+    """What tells rows apart, as a long: all columns but features and label."""
+    others = [c for c in train.columns if c not in ("features", "label", "weight")]
+    return F.xxhash64(*others) if others else F.xxhash64(F.monotonically_increasing_id())
 
 
 def fit_random_forest(
@@ -32,8 +46,7 @@ def fit_random_forest(
 
     What tells rows apart is all columns but features and label (rows equal in these are drawn alike); without any, where a row lies.
     """
-    others = [c for c in train.columns if c not in ("features", "label", "weight")]
-    dims, row = len(train.select("features").first()[0]), F.xxhash64(*others) if others else F.xxhash64(F.monotonically_increasing_id())
+    dims, row = _dims(train), _row(train)
     data = forest.binned(train, dims, max_bins, balanced, seed, row)
     settings = dict(impurity="gini", numTrees=trees, maxDepth=max_depth, maxBins=max_bins, featureSubsetStrategy="sqrt", bootstrap=True,
                     seed=seed, weightCol="weight", featuresCol="features", labelCol="label")
