@@ -35,3 +35,22 @@ def test_a_tree_is_spark_mls_without_its_cached_rows(table, fitted):
     assert (a.feature == b.feature).all()
     np.testing.assert_allclose(a[["threshold", "n0", "n1"]].astype(float), b[["threshold", "n0", "n1"]].astype(float), rtol=1e-9)
     np.testing.assert_allclose(got.featureImportances.toArray(), want.featureImportances.toArray(), atol=1e-9)
+
+
+def test_a_logistic_model_is_spark_mls_without_its_cached_rows(spark, table, fitted, tmp_path):
+    got = train.fit_logistic_regression(table.repartition(5), c=0.5)
+    assert max(fitted, default=0) <= 2
+    want = LogisticRegression(regParam=1 / (0.5 * 3000), standardization=False, maxIter=1000, tol=1e-12).fit(table)
+    np.testing.assert_allclose([*got.coefficients, got.intercept], [*want.coefficients, want.intercept], atol=1e-6)
+    told = train.convergence(spark, got).first()
+    assert told["converged"] and 0 < told["iterations"] < 20 and told["max_iterations"] == 1000
+    assert not train.convergence(spark, train.fit_logistic_regression(table, max_iter=1)).first()["converged"]
+
+
+def test_separable_rows_and_one_class(spark):
+    rows = columns.select_features(spark.createDataFrame([(i, float(i - 50) * 10, int(i > 50)) for i in range(100)], "k long, a double, y int"), "k", ["a"], "y")
+    got = train.fit_logistic_regression(rows)
+    want = LogisticRegression(regParam=1 / 100, standardization=False, maxIter=1000, tol=1e-14).fit(rows)
+    np.testing.assert_allclose([*got.coefficients, got.intercept], [*want.coefficients, want.intercept], rtol=1e-3, atol=1e-3)
+    one = train.fit_logistic_regression(rows.where("label = 1"))
+    assert one.coefficients.toArray().tolist() == [0.0] and one.intercept == float("inf")
