@@ -15,7 +15,7 @@ from upkeep import defaults as D
 from upkeep.functions import scalars as S
 from upkeep.operators import charts, choose, columns, correlation, evaluate, infer, prep, profile, publish, train, trees
 from upkeep.operators.bounds import settle, shared_dir, spread
-from upkeep.operators.neighbours import listed_rows, nearest_neighbours
+from upkeep.operators.neighbours import listed_rows, nearest_neighbours, unlisted_rows
 from upkeep.plans import stages
 from upkeep.sources import readings as src
 from upkeep.sources import store
@@ -151,7 +151,7 @@ def _(spark, d):
 
 @query("S11_trim_json_deep")
 def _(spark, d):
-    events = spread(spark.read.parquet(f"{d}/events.parquet").select("event_id", "event_type", "props"))
+    events = spread(spark.read.parquet(f"{d}/events.parquet").select("event_id", "event_type", "props"), "event_id")
     doc = F.concat(F.lit('{" a ": {"b ": [" '), "event_type", F.lit(' ", 1]}, "props": '), "props", F.lit("}"))
     trimmed = src.trim_json(events.select("event_id", doc.alias("doc")), "doc")
     return trimmed.select("event_id", F.get_json_object("doc", "$.a.b[0]").alias("kind"), F.get_json_object("doc", "$.props.k").alias("k"))
@@ -431,7 +431,8 @@ def _(spark, d):
 @query("P4_nearest_neighbours")
 def _(spark, d):
     minority = P.scaled(spark, d, "train").where(F.col(LABEL) == 1)
-    rows = listed_rows(nearest_neighbours(minority, "k", P.CODED, 5), 5)
+    places = settle(nearest_neighbours(minority, "k", P.CODED, 5))
+    rows = listed_rows(places, 5).unionByName(unlisted_rows(minority, places, "k", P.CODED, 5))
     return rows.select(F.col("key").alias("k"), F.posexplode("near").alias("place", "n")).select("k", "place", F.col("n.key").alias("neighbour"))
 
 

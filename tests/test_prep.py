@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from upkeep.operators import prep
 from upkeep.operators.bounds import bounded, settle, spread
-from upkeep.operators.neighbours import listed_rows, nearest_neighbours
+from upkeep.operators.neighbours import listed_rows, nearest_neighbours, unlisted_rows
 from upkeep.operators.smote import smote
 
 RNG = np.random.default_rng(3)
@@ -177,3 +177,29 @@ def test_spread_makes_more_tasks_of_more_rows(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
     assert many > 2 * few and many > spark.sparkContext.defaultParallelism
+
+
+def test_spread_by_a_column_and_the_readings_sort_no_rows(spark, monkeypatch):
+    """Rows dealt out in turn are sorted first, whole, and spill once a task's share outgrows its memory."""
+    from checks import fixture
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(fixture, "settle", lambda df: df)
+    monkeypatch.setattr(fixture, "_made", {})
+    made = plan(fixture.readings(spark, "/root/testdata/sf0.001"))
+    assert "RoundRobin" not in made and "REBALANCE" in made
+    made = plan(spread(spark.range(0, 1000, 1, 4), "id"))
+    assert "RoundRobin" not in made and "REBALANCE" in made
+
+
+@pytest.mark.parametrize("cell", [10_000, 8])
+def test_every_copy_of_a_crowded_point_has_its_neighbours(spark, cell):
+    x = np.concatenate([np.tile([[0.5, -0.0]], (20, 1)), RNG.normal(size=(30, 2)), np.tile([[2.0, 1.0]], (6, 1)), np.tile([[0.0, 7.0]], (7, 1))])
+    keys = [f"r{i:04d}" for i in RNG.permutation(len(x))]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"]).assign(k=keys)).repartition(5)
+    places = settle(nearest_neighbours(df, "k", ["a", "b"], 5, cell_points=cell))
+    rows = listed_rows(places, 5).unionByName(unlisted_rows(df, places, "k", ["a", "b"], 5)).collect()
+    got = {r["key"]: [n["key"] for n in r["near"]] for r in rows}
+    assert len(rows) == len(x) and got == brute(keys, x, 5)

@@ -18,6 +18,7 @@ LEVELS = 4  # binary splits of one cell in one round
 SAMPLE = 1_536  # sampled points of a cell that is split
 SIDE = 4  # sampled points that each side of a split must have
 QUERIES_PER_TASK = 20_000
+BLOCK = 100_000  # distances held at once: two such arrays stay in a core's cache
 ROOT = 1  # a cell's parent is the cell without its last LEVELS bits
 
 
@@ -135,13 +136,15 @@ def _search(k):
             first = np.concatenate([[0], np.cumsum(held)[:-1]])  # where each point's keys start
             place = pd.factorize(keys, sort=True)[0]
             d2, near_keys, near_x = [], [], []
-            step = max(1, 2_000_000 // len(xs))
+            columns = np.ascontiguousarray(xs.T)
+            step = max(1, BLOCK // len(xs))
             for s in range(0, len(qs), step):
                 q = qs[s : s + step]
-                d = np.zeros((len(q), len(xs)))
+                d, gap = np.zeros((len(q), len(xs))), np.empty((len(q), len(xs)))
                 for j in range(q.shape[1]):
-                    gap = q[:, None, j] - xs[None, :, j]
-                    d += gap * gap
+                    np.subtract(q[:, j, None], columns[j], out=gap)
+                    gap *= gap
+                    d += gap
                 kth = min(k, len(xs) - 1)
                 most = np.partition(d, kth, axis=1)[:, kth]
                 if "radius" in queries:
@@ -173,6 +176,10 @@ def _near(dims):
     )
 
 
+def _point(features):
+    return F.array(*[F.col(f).cast("double") + F.lit(0.0) for f in features])
+
+
 def _locations(rows: DataFrame, k: int) -> DataFrame:
     """Distinct points: (x, copies, keys), keys being the k + 1 smallest; id is the smallest key."""
     # the rank filter is applied before the shuffle too, so a point copied everywhere stays small
@@ -192,8 +199,7 @@ def nearest_neighbours(
     `near` is ordered by (squared distance, key) with structs (d2, key, x). A row's k neighbours
     are the first k entries of its point's `near` that are not the row itself.
     """
-    x = F.array(*[F.col(f).cast("double") + F.lit(0.0) for f in features])
-    rows = df.select(F.col(key).alias("key"), x.alias("x"))
+    rows = df.select(F.col(key).alias("key"), _point(features).alias("x"))
     places = settle(_locations(rows, k))
     key_type = dict(df.dtypes)[key]
     search, near = _search(k), _near(len(features)).alias("near")
@@ -222,8 +228,15 @@ def listed_rows(places: DataFrame, k: int) -> DataFrame:
     """(key, near): the k nearest other rows, for the first k + 1 rows of each point.
 
     Rows not listed are further copies of a point with more than k + 1 of them; all their
-    neighbours are copies of themselves.
+    neighbours are copies of themselves (see `unlisted_rows`).
     """
     rows = places.select(F.explode("keys").alias("key"), "near")
     others = F.filter("near", lambda n: n["key"] != F.col("key"))
     return rows.select("key", F.slice(others, 1, k).alias("near"))
+
+
+def unlisted_rows(df: DataFrame, places: DataFrame, key: str, features: list, k: int) -> DataFrame:
+    """(key, near) of the rows of `df` that `listed_rows` leaves out: the k smallest keys of their point are their nearest rows."""
+    rows = df.select(F.col(key).alias("key"), _point(features).alias("x"))
+    crowded = places.where(F.size("keys") > k).select("x", "keys", "near")
+    return rows.join(crowded, "x").where(~F.array_contains("keys", F.col("key"))).select("key", F.slice("near", 1, k).alias("near"))
