@@ -431,7 +431,8 @@ def _(spark, d):
 @query("P4_nearest_neighbours")
 def _(spark, d):
     minority = P.scaled(spark, d, "train").where(F.col(LABEL) == 1)
-    places = settle(nearest_neighbours(minority, "k", P.CODED, 5))
+    found = nearest_neighbours(minority, "k", P.CODED, 5)
+    places = settle(found.select("x", "keys", F.transform("near", lambda n: F.struct(n["key"].alias("key"))).alias("near")))
     rows = listed_rows(places, 5).unionByName(unlisted_rows(minority, places, "k", P.CODED, 5))
     return rows.select(F.col("key").alias("k"), F.posexplode("near").alias("place", "n")).select("k", "place", F.col("n.key").alias("neighbour"))
 

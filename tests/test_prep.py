@@ -203,3 +203,38 @@ def test_every_copy_of_a_crowded_point_has_its_neighbours(spark, cell):
     rows = listed_rows(places, 5).unionByName(unlisted_rows(df, places, "k", ["a", "b"], 5)).collect()
     got = {r["key"]: [n["key"] for n in r["near"]] for r in rows}
     assert len(rows) == len(x) and got == brute(keys, x, 5)
+
+
+def test_smote_reads_its_input_three_times_at_most(spark):
+    """Sizes, rows of the small class, rows kept: the steps for the small class do not read the other one again and again."""
+    n0, n1 = 400, 40
+    read = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    pdf = pd.DataFrame({"k": [f"k{i}" for i in range(n0 + n1)], "y": [0] * n0 + [1] * n1, "a": RNG.normal(size=n0 + n1)})
+    df = spark.createDataFrame(pdf)
+    out = smote(df.mapInPandas(passed, df.schema), "k", ["a"], "y", cell_points=10)
+    assert out.count() == 2 * n0 and 0 < read.value <= 3 * (n0 + n1)
+
+
+def test_rounded_equals_round_at_ties_and_ends(spark):
+    from upkeep.functions import scalars as S
+
+    ties = (np.arange(-2000, 2000) + 0.5) / 1e9
+    x = np.concatenate([RNG.normal(size=20_000), RNG.normal(size=2_000) * 1e-9, ties, np.nextafter(ties, 1), np.nextafter(ties, -1), ties + 3,
+                        [0.0, -0.0, 1e-300, -1e-10, 99.9999999995, 100.0000000005, 1e15 + 0.3, -1e300, np.inf, -np.inf, np.nan]])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double")
+    for digits in (9, 2):
+        got = df.select(S.rounded(F.col("x"), digits).alias("a"), F.round("x", digits).alias("b")).toPandas()
+        assert got["a"].to_numpy().tobytes() == got["b"].to_numpy().tobytes()
+
+
+def test_scaled_values_are_rounded_without_decimals_first(spark):
+    """`round` makes a decimal number of every value, most of the time that writing scaled rows took."""
+    df = spark.createDataFrame([(1.0,), (2.5,)], "a double")
+    plan = prep.apply_scaler(df, prep.fit_scaler(df, ["a"]), ["a"], digits=9)._jdf.queryExecution().executedPlan().toString()
+    assert "CASE WHEN" in plan and "ELSE round(" in plan

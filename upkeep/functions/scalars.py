@@ -74,3 +74,15 @@ def class_name(label, names=None) -> Column:
         cond = _c(label) == value
         out = F.when(cond, name) if out is None else out.when(cond, name)
     return out.otherwise(_c(label).cast("string"))
+
+
+def rounded(value, digits: int) -> Column:
+    """`round(value, digits)`, the same doubles, without a decimal number for each row.
+
+    Where the scaled value is clearly not a tie, its nearest whole number over a power of ten is the same double; ties, near
+    ties, large and non-finite values are left to `round`.
+    """
+    value = _c(value)
+    scaled = value * F.lit(10.0**digits)
+    clear = (F.abs(scaled) < 1e11) & (F.abs(scaled - F.floor(scaled) - 0.5) > 1e-3)
+    return F.when(clear, F.floor(scaled + 0.5) / F.lit(10.0**digits)).otherwise(F.round(value, digits))

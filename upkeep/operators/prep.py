@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep import defaults as D
+from upkeep.functions import scalars as S
 from upkeep.operators.bounds import bounded
 from upkeep.operators.ranks import class_sizes, segment_rows
 
@@ -82,7 +83,7 @@ def apply_scaler(df: DataFrame, scaler: DataFrame, features: list = None, digits
 
     def z(i, v):
         value = (F.col(v) - F.col(f"__m.__{i}.mean")) / F.col(f"__m.__{i}.scale")
-        return value if digits is None else F.round(value, digits)
+        return value if digits is None else S.rounded(value, digits)
 
     return out.withColumns({v: z(i, v) for i, v in enumerate(names)}).drop("__m")
 

@@ -41,7 +41,8 @@ def smote(
             continue
         if n <= k:
             raise ValueError(f"class {c} has {n} rows; more than k={k} are needed")
-        members = df.where(F.col(label) == c).select(F.col(key).cast("string").alias(key), label, *values)
+        # written once: the steps below read them several times, and would read the other classes with them
+        members = settle(df.where(F.col(label) == c).select(F.col(key).cast("string").alias(key), label, *values))
         near = listed_rows(nearest_neighbours(members, key, features, k, **search), k)
         base = ranked(members, key, label, seed, "__row").join(near.withColumnRenamed("key", key), key, "left")
         new = biggest - n
