@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,3 +52,40 @@ def test_cut_points_of_many_and_of_few_values():
     assert forest._cut_points(256)(few)["cuts"][0] == [1.5, 3.0]
     many = pd.DataFrame({"feature": 0, "x": np.arange(1000.0), "w": 1.0})
     np.testing.assert_allclose(forest._cut_points(5)(many)["cuts"][0], [199.5, 399.5, 599.5, 799.5])
+
+
+@pytest.mark.parametrize("marked", [1, 4, 1000])
+def test_rows_are_parted_as_if_walked_one_by_one(marked, monkeypatch):
+    monkeypatch.setattr(forest, "MARKED", marked)
+    rng = np.random.default_rng(2)
+    columns = rng.integers(0, 16, (3, 5000)).astype(np.uint8)
+    drawn = rng.random(5000) < 0.6
+    feature, cut, left, ends = [], [], [], [0]
+    for node in range(25):  # a tree whose nodes are split now and then
+        feature.append(int(rng.integers(3)))
+        split = node < 3 or rng.random() < 0.6
+        cut.append(int(rng.integers(3, 12)) if split else 255)
+        left.append(len(ends) if split else node)
+        ends += [0, 0] if split else []
+    for node in range(25, len(ends)):
+        feature, cut, left = [*feature, 0], [*cut, 255], [*left, node]
+    ways = np.array(feature), np.array(cut, np.uint8), np.array(left)
+    leaves = [n for n in range(len(left)) if left[n] == n]
+    slots = np.full(len(left), -1)
+    slots[leaves[::2]] = np.arange(len(leaves[::2]))  # the others are not open
+    found = {int(s): sorted(held.tolist()) for s, held in forest._held(drawn, ways, slots, forest._leading(slots, ways), columns)}
+    want = {}
+    for row in np.flatnonzero(drawn):
+        node = 0
+        while left[node] != node:
+            node = left[node] + int(columns[feature[node], row] > cut[node])
+        if slots[node] >= 0:
+            want.setdefault(int(slots[node]), []).append(int(row))
+    assert found == want
+
+
+def test_batches_are_put_together():
+    sizes = [0, 3, 4, 0, 9, 1, 0]
+    given = [pa.RecordBatch.from_pydict({"x": pa.array(range(n), pa.int64())}) for n in sizes]
+    assert [b.num_rows for b in forest.gathered(given, 6)] == [7, 9, 1]
+    assert [v for b in forest.gathered(given, 6) for v in b.column("x").to_pylist()] == [v for n in sizes for v in range(n)]
