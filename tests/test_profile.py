@@ -69,6 +69,19 @@ def test_null_feature_is_refused(spark):
         columns.select_features(df, "k", ["a"], "y").collect()
 
 
+def test_nan_feature_is_refused(spark):
+    df = spark.createDataFrame([(1, float("nan"), 0)], "k int, a double, y int")
+    with pytest.raises(Exception, match="NaN"):
+        columns.select_features(df, "k", ["a"], "y").collect()
+
+
+def test_rows_are_chosen_before_their_vectors_are_made(spark):
+    df = spark.range(100).selectExpr("id AS k", "id / 7 AS a", "CAST(id % 2 AS int) AS y")
+    plan = columns.select_features(df, "k", ["a"], "y").where("k % 10 = 3")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("UDF") < plan.index("Filter")  # the filter is below
+    assert [r["features"][0] for r in columns.select_features(df, "k", ["a"], "y").where("k = 14").collect()] == [2.0]
+
+
 def test_words(spark):
     row = spark.range(1).select(
         S.significance_stars(F.lit(0.0009)), S.significance_stars(F.lit(0.05)), S.corr_strength(F.lit(-0.71)), S.corr_strength(F.lit(0.3)),
